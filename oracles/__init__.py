@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from oracles.checks import checks
 from oracles.questions import questions
+from oracles.tracking import tracking
 
 
 def all_oracles() -> dict[str, str]:
-    return {**questions()}
+    return {**questions(), **checks(), **tracking()}

@@ -51,3 +51,8 @@ def ratio(numerator: Column, denominator: Column, digits: int = 6) -> Column:
     """Rounded quotient of two sums; null when the denominator is zero."""
     return F.round(
         F.try_divide(numerator.cast("double"), denominator.cast("double")), digits)
+
+
+def micros(name: str) -> Column:
+    """A duration in seconds as whole microseconds, so that sums stay exact."""
+    return F.rint(F.col(name) * F.lit(1_000_000.0)).cast("bigint")

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.functions.money import exact_sum, micros, money
+from tradewind.operators import quality as Quality
+from tradewind.operators import tracking as Track
 from tradewind.plans.params import TEST_VALUES
 from tradewind.plans.queries import QUERIES
 from tradewind.plans.variants import BASE_OF, VARIANTS
-from tradewind.sources.tables import Catalog
+from tradewind.sources import tracking as TrackingSource
+from tradewind.sources.tables import Catalog, read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,10 +51,81 @@ def _variant(name: str) -> Query:
         catalog_for(spark, folder, base), **TEST_VALUES[base])
 
 
+def _check(function: Callable[[Catalog], DataFrame]) -> Query:
+    return lambda spark, folder: function(Catalog(spark, folder))
+
+
+CHECKS = {
+    "cardinalities": Quality.cardinalities,
+    "check_primary_keys": Quality.primary_keys,
+    "check_foreign_keys": Quality.foreign_keys,
+    "check_not_null": Quality.not_null,
+    "check_lengths": Quality.lengths,
+    "check_domains": Quality.domains,
+    "check_consistency": Quality.consistency,
+    "column_checksum": Quality.column_checksum,
+}
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return read_columns(spark, folder, "events")
+
+
+def _report(function: Callable[[TrackingSource.Tracking], DataFrame]) -> Query:
+    return lambda spark, folder: function(TrackingSource.from_events(_events(spark, folder)))
+
+
+def _deleted(t: TrackingSource.Tracking) -> DataFrame:
+    counts = [frame.agg(F.count("*").alias("rows"), F.sum("id").alias("id_sum"))
+              .select(F.lit(name).alias("table_name"), "*")
+              for name, frame in Track.delete_run(t, "run_2").items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def _merged(t: TrackingSource.Tracking) -> DataFrame:
+    merged = Track.merge(t, t)
+    none = F.lit(None).cast("bigint")
+    rows = [frame.select(F.lit(name).alias("table_name"), "id", parent.alias("parent"), "name")
+            for (name, frame), parent in zip(merged.items(), (none, F.col("run"), F.col("job")))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def _upserted(t: TrackingSource.Tracking) -> DataFrame:
+    measured = t.query.groupBy(F.col("job").alias("id")).agg(
+        money(exact_sum(micros("duration")), 6).alias("duration"))
+    return Track.set_durations(t.job, measured).select("id", "name", "duration")
+
+
+def _log_timings(spark: SparkSession, folder: str) -> DataFrame:
+    lines, names = TrackingSource.logs_from_events(_events(spark, folder))
+    return Track.extract_query_timings(lines, Track.numbered_names(names, "event_id"))
+
+
+REPORTS = {
+    "track_results": Track.results,
+    "track_qpm": Track.queries_per_minute,
+    "track_query_timings": Track.query_timings,
+    "track_query_timings_per_run": lambda t: Track.query_timings(t, per_run=True),
+    "asof_latest_load": Track.latest_load,
+    "track_run_report": Track.run_report,
+    "track_run_summary": Track.run_summary,
+    "track_count_by_system": Track.count_by_system,
+    "track_delete_run": _deleted,
+    "track_merge": _merged,
+    "track_upsert_duration": _upserted,
+    "throughput": Track.throughput,
+}
+
+
 def all_queries() -> dict[str, Query]:
     registered: dict[str, Query] = {}
     for name, title in TITLES.items():
         registered[f"{name}_{title}"] = _question(name)
     for name, base in BASE_OF.items():
         registered[f"{name}_{TITLES[base]}"] = _variant(name)
+    for name, function in CHECKS.items():
+        registered[name] = _check(function)
+    for name, function in REPORTS.items():
+        registered[name] = _report(function)
+    registered["extract_query_timings"] = _log_timings
     return registered
