@@ -73,7 +73,7 @@ if __name__ == "__main__":
     import __spark_entry__ as E
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     wanted = sys.argv[1:]
-    spark = build("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = build("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                  "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
