@@ -13,6 +13,7 @@ from tradewind.operators import tracking as Track
 from tradewind.plans.params import TEST_VALUES
 from tradewind.plans.queries import QUERIES
 from tradewind.plans.variants import BASE_OF, VARIANTS
+from tradewind.showcase import SHOWCASE
 from tradewind.sources import tracking as TrackingSource
 from tradewind.sources.tables import Catalog, read_columns
 
@@ -128,4 +129,5 @@ def all_queries() -> dict[str, Query]:
     for name, function in REPORTS.items():
         registered[name] = _report(function)
     registered["extract_query_timings"] = _log_timings
+    registered.update(SHOWCASE)
     return registered
