@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import steps as S
 from tradewind.functions import words as W
-from tradewind.functions.draws import STREAMS, between, jump, pick, positioned, sparse_key
+from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import cents, exact_sum, money, revenue_units
+from tradewind.functions.text import comment
 from tradewind.operators import quality, refresh, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
@@ -24,7 +25,7 @@ from tradewind.schema import TABLES
 from tradewind.session import scratch
 from tradewind.sources import flatfile
 from tradewind.sources import tracking as TrackingSource
-from tradewind.sources.generate import Generator
+from tradewind.sources.generate import Generator, part_name
 from tradewind.sources.tables import Catalog, read_columns
 from tradewind.streaming import jobs
 
@@ -304,12 +305,33 @@ def _numbers(spark: SparkSession, folder: str, table: str, key: str) -> DataFram
 
 
 def draws(spark: SparkSession, folder: str) -> DataFrame:
-    """For every order: a stream's state, a draw from it, and a weighted word."""
+    """For every order, a number drawn from its place in a stream."""
     rows = positioned(_numbers(spark, folder, "orders", "o_orderkey"), "n", "o_clerk")
-    return rows.select(
-        "n", jump(STREAMS["o_clerk"][0], col("n")).alias("state"),
-        between(jump(STREAMS["o_clerk"][0], col("n")), 1, 1000).alias("value"),
-        pick("o_clerk", W.NOUNS).alias("word"))
+    return rows.select("n", draw("o_clerk", 1, 1000).alias("value"))
+
+
+def jumps(spark: SparkSession, folder: str) -> DataFrame:
+    """For every order, the state that many draws ahead."""
+    return _numbers(spark, folder, "orders", "o_orderkey").select(
+        "n", jump(STREAMS["o_clerk"][0], col("n")).alias("state"))
+
+
+def picks(spark: SparkSession, folder: str) -> DataFrame:
+    """For every order, a noun chosen by weight."""
+    rows = positioned(_numbers(spark, folder, "orders", "o_orderkey"), "n", "o_clerk")
+    return rows.select("n", pick("o_clerk", W.NOUNS).alias("word"))
+
+
+def names(spark: SparkSession, folder: str) -> DataFrame:
+    """For every part, five distinct colour words."""
+    rows = positioned(_numbers(spark, folder, "part", "p_partkey"), "n", "p_name")
+    return rows.select("n", part_name().alias("name"))
+
+
+def comments(spark: SparkSession, folder: str) -> DataFrame:
+    """For every order, a slice of the sentence pool."""
+    rows = positioned(_numbers(spark, folder, "orders", "o_orderkey"), "n", "o_comment")
+    return rows.select("n", comment("o_comment", 49).alias("text"))
 
 
 def sparse_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,6 +349,12 @@ def generated(table: str, source: str, key: str):
     return rows
 
 
+GENERATED = {
+    "part": ("part", "p_partkey"), "partsupp": ("part", "p_partkey"),
+    "supplier": ("supplier", "s_suppkey"), "customer": ("customer", "c_custkey"),
+    "orders": ("orders", "o_orderkey"), "lineitem": ("orders", "o_orderkey"),
+}
+
 SHOWCASE = {
     **{f"scan_table_{name}": scan(name) for name in TABLES},
     "write_and_scan_flat_file": pipe_files,
@@ -350,12 +378,11 @@ SHOWCASE = {
     "stream_throughput": streamed_throughput,
     "sweep_q06": swept_q06,
     "sweep_q14": swept_q14,
-    "gen_draw_jump_pick": draws,
+    "gen_draw": draws,
+    "gen_jump": jumps,
+    "gen_pick": picks,
+    "gen_name": names,
+    "gen_text": comments,
     "gen_sparse_key": sparse_keys,
-    "gen_part": generated("part", "part", "p_partkey"),
-    "gen_partsupp": generated("partsupp", "part", "p_partkey"),
-    "gen_supplier": generated("supplier", "supplier", "s_suppkey"),
-    "gen_customer": generated("customer", "customer", "c_custkey"),
-    "gen_orders": generated("orders", "orders", "o_orderkey"),
-    "gen_lineitem": generated("lineitem", "orders", "o_orderkey"),
+    **{f"gen_{table}": generated(table, *keys) for table, keys in GENERATED.items()},
 }

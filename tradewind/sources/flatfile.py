@@ -12,6 +12,7 @@ from tradewind.schema import TABLES
 
 # Quoting is off: no value holds a separator, and empty text must stay empty.
 _PLAIN = {"header": "false", "quote": "", "escape": "", "emptyValue": "",
+          "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
           "dateFormat": "yyyy-MM-dd"}
 
 

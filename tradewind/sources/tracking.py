@@ -14,6 +14,7 @@ from tradewind.schema import TRACKING
 
 # The text form of copied tables.
 DUMP_OPTIONS = {"sep": "\t", "nullValue": "\\N", "quote": "", "escape": "",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                 "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 

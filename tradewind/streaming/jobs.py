@@ -88,11 +88,12 @@ def throughput_windows(events: DataFrame, seconds: int = 60, delay: str = "1 hou
     emitted once the watermark has passed them.
     """
     counted = (
-        events.withWatermark("ts", delay)
+        events.withColumn("ts", col("ts").cast("timestamp")).withWatermark("ts", delay)
         .groupBy(F.window("ts", f"{seconds} seconds"))
         .agg(F.count("*").alias("queries")))
     return counted.select(
-        col("window.start").alias("window_start"), col("window.end").alias("window_end"),
+        col("window.start").cast("timestamp_ntz").alias("window_start"),
+        col("window.end").cast("timestamp_ntz").alias("window_end"),
         "queries", (col("queries") * F.lit(60.0) / F.lit(seconds)).alias("qpm"))
 
 
