@@ -14,10 +14,9 @@ def null_aware_anti(left: DataFrame, right: DataFrame, left_key: str, right_key:
     rejects every row, a null on the left is kept only if the right is empty.
     """
     keys = right.select(F.col(right_key).alias("_key"))
-    nulls = keys.agg(F.count("*").alias("n"), F.count("_key").alias("filled"))
-    empty = nulls.select(F.col("n") == 0).scalar()
-    complete = nulls.select(F.col("n") == F.col("filled")).scalar()
+    seen = keys.agg(F.expr("struct(count(*) as n, count(_key) as filled) as s")).scalar()
+    empty, complete = seen["n"] == 0, seen["n"] == seen["filled"]
     return (
-        left.join(keys.filter(F.col("_key").isNotNull()).distinct(),
-                  F.col(left_key) == F.col("_key"), "left_anti")
+        left.join(keys.filter("_key is not null").distinct(), F.col(left_key) == F.col("_key"),
+                  "left_anti")
         .filter(empty | (F.col(left_key).isNotNull() & complete)))

@@ -23,7 +23,7 @@ def _runs(t: Tracking) -> DataFrame:
 def _per_job(t: Tracking) -> DataFrame:
     """Query count and exact total duration per job: one row per job before any join."""
     return t.query.groupBy(col("job").alias("job_id")).agg(
-        F.count("id").alias("queries"), exact_sum(micros("duration")).alias("total"))
+        F.count("id").alias("queries"), F.expr(exact_sum(micros("duration"))).alias("total"))
 
 
 def results(t: Tracking) -> DataFrame:
@@ -48,7 +48,7 @@ def queries_per_minute(t: Tracking) -> DataFrame:
     jobs = t.job.filter(col("steps").isNotNull() | col("name").rlike("stream")).select(
         col("id").alias("job_id"), col("run").alias("run_id"), col("name").alias("job"),
         "start", "duration", "steps")
-    seconds = money(col("total"), 6)
+    seconds = F.expr(money("total", 6))
     return (
         jobs.join(_runs(t), "run_id").join(_per_job(t), "job_id", "left")
         .orderBy("run_id", "start", "job_id")
@@ -76,7 +76,7 @@ def query_timings(t: Tracking, per_run: bool = False) -> DataFrame:
     group = ["job", "name"]
     sums = t.query.groupBy(*group).agg(
         F.count("*").alias("count"), F.count("duration").alias("timed"),
-        exact_sum(micros("duration")).alias("total"))
+        F.expr(exact_sum(micros("duration"))).alias("total"))
     spread = exact_percentiles(t.query, group, "duration", PERCENTILES)
     scales = latest_load(t, per_run).select(col("id").alias("job"), "sf")
     jobs = t.job.select(col("id").alias("job"), col("run").alias("run_id"),
@@ -86,7 +86,7 @@ def query_timings(t: Tracking, per_run: bool = False) -> DataFrame:
         .join(_runs(t), "run_id")
         .orderBy("run", "system", "sf", "job", "name")
         .select("run", "system", "sf", "jobname", col("name").alias("query"), "count",
-                F.try_divide(money(col("total"), 6), col("timed")).alias("average"),
+                F.try_divide(F.expr(money("total", 6)), col("timed")).alias("average"),
                 *[F.round(p, 6).alias(p) for p in PERCENTILES]))
 
 
@@ -111,7 +111,7 @@ def run_summary(t: Tracking, run: str | None = None) -> DataFrame:
         rows.groupBy("run", "system")
         .agg(F.max("job_number").alias("current_job_number"),
              F.max_by("job", "job_number").alias("current_job"),
-             money(exact_sum(micros("duration")), 6).alias("total_duration"),
+             F.expr(money(exact_sum(micros("duration")), 6)).alias("total_duration"),
              F.max("steps").alias("step"),
              F.sum(F.when(col("count") > 1, col("count"))).alias("queries"))
         .orderBy(col("current_job_number").desc(), "run", "system"))

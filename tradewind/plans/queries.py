@@ -17,15 +17,14 @@ from __future__ import annotations
 from datetime import date, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.money import (
-    cents, charge_units, exact_sum, money, ratio, revenue_units)
+from tradewind.functions.money import CHARGE, REVENUE, cents, exact_sum, money, ratio
 from tradewind.operators.joins import null_aware_anti
 from tradewind.sources.tables import Catalog
 
-col, lit = F.col, F.lit
+col, expr = F.col, F.expr
 
 
 def months_after(day: date, months: int) -> date:
@@ -33,274 +32,249 @@ def months_after(day: date, months: int) -> date:
     return day.replace(year=day.year + years, month=month + 1)
 
 
-def _within(column: str, start: date, months: int):
-    return (col(column) >= lit(start)) & (col(column) < lit(months_after(start, months)))
+def _day(day: date) -> str:
+    return f"date'{day.isoformat()}'"
+
+
+def _within(column: str, start: date, months: int) -> str:
+    return f"{column} >= {_day(start)} and {column} < {_day(months_after(start, months))}"
+
+
+def _meet(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    return left.join(right, expr(on), how)
 
 
 def _nations_in(c: Catalog, region: str) -> DataFrame:
-    chosen = c.region.filter(col("r_name") == region).select("r_regionkey")
-    return (c.nation.join(chosen, col("n_regionkey") == col("r_regionkey"), "left_semi")
-            .select("n_nationkey", "n_name"))
+    chosen = c.region.filter(col("r_name") == region)
+    return _meet(c.nation, chosen, "n_regionkey = r_regionkey", "left_semi").select(
+        "n_nationkey", "n_name")
 
 
 def _suppliers_of(c: Catalog, nation: str) -> DataFrame:
-    chosen = c.nation.filter(col("n_name") == nation).select("n_nationkey")
-    return c.supplier.join(chosen, col("s_nationkey") == col("n_nationkey"), "left_semi")
+    chosen = c.nation.filter(col("n_name") == nation)
+    return _meet(c.supplier, chosen, "s_nationkey = n_nationkey", "left_semi")
 
 
-def _keys(frame: DataFrame, key: str) -> DataFrame:
-    return frame.select(key).distinct()
+def _total(units: str, name: str) -> Column:
+    return expr(f"{exact_sum(units)} as {name}")
 
 
 def q01(c: Catalog, days: int) -> DataFrame:
     """Pricing summary of lines shipped up to ``days`` before December 1998."""
     last = date(1998, 12, 1) - timedelta(days=days)
     sums = (
-        c.lineitem.filter(col("l_shipdate") <= lit(last))
+        c.lineitem.filter(f"l_shipdate <= {_day(last)}")
         .groupBy("l_returnflag", "l_linestatus")
-        .agg(F.sum(cents("l_quantity")).alias("quantity"),
-             exact_sum(cents("l_extendedprice")).alias("price"),
-             exact_sum(revenue_units()).alias("revenue"),
-             exact_sum(charge_units()).alias("charge"),
-             F.sum(cents("l_discount")).alias("discount"),
-             F.count("*").alias("count_order")))
-    average = lambda name: money(col(name), 2) / col("count_order")
-    return sums.select(
+        .agg(expr(f"sum({cents('l_quantity')}) as quantity"),
+             _total(cents("l_extendedprice"), "price"), _total(REVENUE, "revenue"),
+             _total(CHARGE, "charge"), expr(f"sum({cents('l_discount')}) as discount"),
+             expr("count(*) as count_order")))
+    return sums.selectExpr(
         "l_returnflag", "l_linestatus",
-        money(col("quantity"), 2).alias("sum_qty"),
-        money(col("price"), 2).alias("sum_base_price"),
-        money(col("revenue"), 4).alias("sum_disc_price"),
-        money(col("charge"), 6).alias("sum_charge"),
-        average("quantity").alias("avg_qty"),
-        average("price").alias("avg_price"),
-        average("discount").alias("avg_disc"),
+        f"{money('quantity', 2)} as sum_qty", f"{money('price', 2)} as sum_base_price",
+        f"{money('revenue', 4)} as sum_disc_price", f"{money('charge', 6)} as sum_charge",
+        f"{money('quantity', 2)} / count_order as avg_qty",
+        f"{money('price', 2)} / count_order as avg_price",
+        f"{money('discount', 2)} / count_order as avg_disc",
         "count_order").orderBy("l_returnflag", "l_linestatus")
 
 
 def q02(c: Catalog, size: int, metal: str, region: str) -> DataFrame:
     """Cheapest suppliers of a region for parts of one size and metal."""
-    parts = (c.part.filter((col("p_size") == size) & col("p_type").endswith(metal))
-             .select("p_partkey", "p_mfgr"))
-    suppliers = (
-        c.supplier.join(_nations_in(c, region), col("s_nationkey") == col("n_nationkey"))
-        .select("s_suppkey", "s_name", "s_acctbal", "s_address", "s_phone", "s_comment",
-                "n_name"))
-    offers = (
-        c.partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost")
-        .join(parts, col("ps_partkey") == col("p_partkey"))
-        .join(suppliers, col("ps_suppkey") == col("s_suppkey")))
-    cheapest = offers.groupBy(col("ps_partkey").alias("k")).agg(
-        F.min("ps_supplycost").alias("low"))
+    parts = c.part.filter((col("p_size") == size) & col("p_type").endswith(metal)).select(
+        "p_partkey", "p_mfgr")
+    suppliers = _meet(c.supplier, _nations_in(c, region), "s_nationkey = n_nationkey")
+    offers = _meet(
+        _meet(c.partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost"), parts,
+              "ps_partkey = p_partkey"),
+        suppliers, "ps_suppkey = s_suppkey")
+    cheapest = offers.groupBy(col("ps_partkey").alias("k")).agg(expr("min(ps_supplycost) as low"))
     return (
-        offers.join(cheapest, (col("ps_partkey") == col("k")) & (col("ps_supplycost") == col("low")))
-        .select("s_acctbal", "s_name", "n_name", "p_partkey", "p_mfgr", "s_address",
-                "s_phone", "s_comment", "s_suppkey")
+        _meet(offers, cheapest, "ps_partkey = k and ps_supplycost = low")
         .orderBy(col("s_acctbal").desc(), "n_name", "s_name", "p_partkey", "s_suppkey")
-        .limit(100).drop("s_suppkey"))
+        .limit(100)
+        .select("s_acctbal", "s_name", "n_name", "p_partkey", "p_mfgr", "s_address",
+                "s_phone", "s_comment"))
 
 
 def q03(c: Catalog, segment: str, day: date) -> DataFrame:
     """Ten largest open orders of a market segment."""
-    buyers = c.customer.filter(col("c_mktsegment") == segment).select("c_custkey")
-    orders = (
-        c.orders.filter(col("o_orderdate") < lit(day))
-        .select("o_orderkey", "o_custkey", "o_orderdate", "o_shippriority")
-        .join(buyers, col("o_custkey") == col("c_custkey"), "left_semi"))
-    unshipped = (c.lineitem.filter(col("l_shipdate") > lit(day))
-                 .groupBy("l_orderkey").agg(exact_sum(revenue_units()).alias("units")))
+    buyers = c.customer.filter(col("c_mktsegment") == segment)
+    orders = _meet(
+        c.orders.filter(f"o_orderdate < {_day(day)}")
+        .select("o_orderkey", "o_custkey", "o_orderdate", "o_shippriority"),
+        buyers, "o_custkey = c_custkey", "left_semi")
+    unshipped = (c.lineitem.filter(f"l_shipdate > {_day(day)}")
+                 .groupBy("l_orderkey").agg(_total(REVENUE, "units")))
     return (
-        unshipped.join(orders, col("l_orderkey") == col("o_orderkey"))
+        _meet(unshipped, orders, "l_orderkey = o_orderkey")
         .orderBy(col("units").desc(), "o_orderdate", "l_orderkey").limit(10)
-        .select("l_orderkey", money(col("units"), 4).alias("revenue"), "o_orderdate",
-                "o_shippriority"))
+        .selectExpr("l_orderkey", f"{money('units', 4)} as revenue", "o_orderdate",
+                    "o_shippriority"))
 
 
 def q04(c: Catalog, start: date) -> DataFrame:
     """Orders of a quarter with at least one late line, per priority."""
-    late = _keys(c.lineitem.filter(col("l_commitdate") < col("l_receiptdate")), "l_orderkey")
+    late = c.lineitem.filter("l_commitdate < l_receiptdate").select("l_orderkey").distinct()
     return (
-        c.orders.filter(_within("o_orderdate", start, 3))
-        .join(late, col("o_orderkey") == col("l_orderkey"), "left_semi")
-        .groupBy("o_orderpriority").agg(F.count("*").alias("order_count"))
+        _meet(c.orders.filter(_within("o_orderdate", start, 3)), late,
+              "o_orderkey = l_orderkey", "left_semi")
+        .groupBy("o_orderpriority").agg(expr("count(*) as order_count"))
         .orderBy("o_orderpriority"))
 
 
 def q05(c: Catalog, region: str, start: date) -> DataFrame:
     """Revenue per nation where customer and supplier share the nation."""
     nations = _nations_in(c, region)
-    buyers = c.customer.join(
-        nations, col("c_nationkey") == col("n_nationkey"), "left_semi"
-    ).select("c_custkey", "c_nationkey")
-    orders = (c.orders.filter(_within("o_orderdate", start, 12))
-              .select("o_orderkey", "o_custkey")
-              .join(buyers, col("o_custkey") == col("c_custkey")))
+    buyers = _meet(c.customer.select("c_custkey", "c_nationkey"), nations,
+                   "c_nationkey = n_nationkey", "left_semi")
+    orders = _meet(
+        c.orders.filter(_within("o_orderdate", start, 12)).select("o_orderkey", "o_custkey"),
+        buyers, "o_custkey = c_custkey")
     sold = (
-        c.lineitem.select("l_orderkey", "l_suppkey", revenue_units().alias("u"))
-        .join(orders, col("l_orderkey") == col("o_orderkey"))
-        .groupBy("l_suppkey", "c_nationkey").agg(exact_sum(col("u")).alias("units")))
+        _meet(c.lineitem.selectExpr("l_orderkey", "l_suppkey", f"{REVENUE} as u"), orders,
+              "l_orderkey = o_orderkey")
+        .groupBy("l_suppkey", "c_nationkey").agg(_total("u", "units")))
+    local = _meet(sold, c.supplier.select("s_suppkey", "s_nationkey"),
+                  "l_suppkey = s_suppkey and c_nationkey = s_nationkey")
     return (
-        sold.join(c.supplier.select("s_suppkey", "s_nationkey"),
-                  (col("l_suppkey") == col("s_suppkey"))
-                  & (col("c_nationkey") == col("s_nationkey")))
-        .join(nations, col("s_nationkey") == col("n_nationkey"))
-        .groupBy("n_name").agg(money(F.sum("units"), 4).alias("revenue"))
+        _meet(local, nations, "s_nationkey = n_nationkey")
+        .groupBy("n_name").agg(expr(f"{money('sum(units)', 4)} as revenue"))
         .orderBy(col("revenue").desc(), "n_name"))
 
 
 def q06(c: Catalog, start: date, discount: Decimal, quantity: int) -> DataFrame:
     """Revenue gained by dropping one discount band for small quantities."""
     low, high = float(discount - Decimal("0.01")), float(discount + Decimal("0.01"))
+    units = f"{cents('l_extendedprice')} * {cents('l_discount')}"
     return (
-        c.lineitem.filter(_within("l_shipdate", start, 12)
-                          & col("l_discount").between(low, high)
-                          & (col("l_quantity") < float(quantity)))
-        .agg(exact_sum(cents("l_extendedprice") * cents("l_discount")).alias("units"))
-        .select(money(col("units"), 4).alias("revenue")))
+        c.lineitem.filter(_within("l_shipdate", start, 12))
+        .filter(col("l_discount").between(low, high) & (col("l_quantity") < float(quantity)))
+        .agg(expr(f"{money(exact_sum(units), 4)} as revenue")))
 
 
 def q07(c: Catalog, nation_a: str, nation_b: str) -> DataFrame:
     """Yearly trade between two nations, in both directions."""
     pair = c.nation.filter(col("n_name").isin(nation_a, nation_b))
-    suppliers = (
-        c.supplier.select("s_suppkey", "s_nationkey")
-        .join(pair.select("n_nationkey", col("n_name").alias("supp_nation")),
-              col("s_nationkey") == col("n_nationkey"))
-        .select("s_suppkey", "supp_nation"))
-    buyers = (
-        c.customer.select("c_custkey", "c_nationkey")
-        .join(pair.select("n_nationkey", col("n_name").alias("cust_nation")),
-              col("c_nationkey") == col("n_nationkey"))
-        .select("c_custkey", "cust_nation"))
-    orders = (c.orders.select("o_orderkey", "o_custkey")
-              .join(buyers, col("o_custkey") == col("c_custkey")))
-    lines = (
-        c.lineitem.filter(col("l_shipdate").between(lit(date(1995, 1, 1)), lit(date(1996, 12, 31))))
-        .select("l_orderkey", "l_suppkey", F.year("l_shipdate").alias("l_year"),
-                revenue_units().alias("u"))
-        .join(suppliers, col("l_suppkey") == col("s_suppkey")))
+    suppliers = _meet(c.supplier, pair, "s_nationkey = n_nationkey").selectExpr(
+        "s_suppkey", "n_name as supp_nation")
+    buyers = _meet(c.customer, pair, "c_nationkey = n_nationkey").selectExpr(
+        "c_custkey", "n_name as cust_nation")
+    orders = _meet(c.orders.select("o_orderkey", "o_custkey"), buyers, "o_custkey = c_custkey")
+    lines = _meet(
+        c.lineitem.filter("l_shipdate between date'1995-01-01' and date'1996-12-31'")
+        .selectExpr("l_orderkey", "l_suppkey", "year(l_shipdate) as l_year", f"{REVENUE} as u"),
+        suppliers, "l_suppkey = s_suppkey")
     return (
-        lines.join(orders, col("l_orderkey") == col("o_orderkey"))
-        .filter(col("supp_nation") != col("cust_nation"))
+        _meet(lines, orders, "l_orderkey = o_orderkey and supp_nation <> cust_nation")
         .groupBy("supp_nation", "cust_nation", "l_year")
-        .agg(money(exact_sum(col("u")), 4).alias("revenue"))
+        .agg(expr(f"{money(exact_sum('u'), 4)} as revenue"))
         .orderBy("supp_nation", "cust_nation", "l_year"))
 
 
 def market_volume(c: Catalog, region: str, ptype: str) -> DataFrame:
     """Revenue per order year and supplier nation for one part type in a region."""
-    parts = c.part.filter(col("p_type") == ptype).select("p_partkey")
-    buyers = (
-        c.customer.select("c_custkey", "c_nationkey")
-        .join(_nations_in(c, region), col("c_nationkey") == col("n_nationkey"), "left_semi"))
-    orders = (
-        c.orders.filter(col("o_orderdate").between(lit(date(1995, 1, 1)), lit(date(1996, 12, 31))))
-        .select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("o_year"))
-        .join(buyers, col("o_custkey") == col("c_custkey"), "left_semi"))
-    sold = (
-        c.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", revenue_units().alias("u"))
-        .join(parts, col("l_partkey") == col("p_partkey"), "left_semi")
-        .join(orders, col("l_orderkey") == col("o_orderkey"))
-        .groupBy("l_suppkey", "o_year").agg(exact_sum(col("u")).alias("volume")))
+    parts = c.part.filter(col("p_type") == ptype)
+    buyers = _meet(c.customer, _nations_in(c, region), "c_nationkey = n_nationkey", "left_semi")
+    orders = _meet(
+        c.orders.filter("o_orderdate between date'1995-01-01' and date'1996-12-31'")
+        .selectExpr("o_orderkey", "o_custkey", "year(o_orderdate) as o_year"),
+        buyers, "o_custkey = c_custkey", "left_semi")
+    lines = _meet(
+        c.lineitem.selectExpr("l_orderkey", "l_partkey", "l_suppkey", f"{REVENUE} as u"),
+        parts, "l_partkey = p_partkey", "left_semi")
+    sold = (_meet(lines, orders, "l_orderkey = o_orderkey")
+            .groupBy("l_suppkey", "o_year").agg(_total("u", "volume")))
     return (
-        sold.join(c.supplier.select("s_suppkey", "s_nationkey"),
-                  col("l_suppkey") == col("s_suppkey"))
-        .join(c.nation.select("n_nationkey", col("n_name").alias("nation")),
-              col("s_nationkey") == col("n_nationkey"))
-        .select("o_year", "nation", "volume"))
+        _meet(_meet(sold, c.supplier, "l_suppkey = s_suppkey"), c.nation,
+              "s_nationkey = n_nationkey")
+        .selectExpr("o_year", "n_name as nation", "volume"))
 
 
 def q08(c: Catalog, nation: str, region: str, ptype: str) -> DataFrame:
     """Market share of one nation within a region, per year."""
-    own = F.sum(F.when(col("nation") == nation, col("volume")).otherwise(0))
+    own = F.when(col("nation") == nation, col("volume")).otherwise(0)
     return (
-        market_volume(c, region, ptype)
-        .groupBy("o_year").agg(ratio(own, F.sum("volume")).alias("mkt_share"))
+        market_volume(c, region, ptype).withColumn("own", own)
+        .groupBy("o_year").agg(expr(f"{ratio('sum(own)', 'sum(volume)')} as mkt_share"))
         .orderBy("o_year"))
 
 
 def q09(c: Catalog, word: str) -> DataFrame:
     """Profit per supplier nation and year on parts whose name holds a word."""
-    parts = c.part.filter(col("p_name").contains(word)).select("p_partkey")
-    orders = c.orders.select("o_orderkey", F.year("o_orderdate").alias("o_year"))
+    parts = c.part.filter(col("p_name").contains(word))
+    orders = c.orders.selectExpr("o_orderkey", "year(o_orderdate) as o_year")
+    lines = _meet(
+        c.lineitem.selectExpr("l_orderkey", "l_partkey", "l_suppkey",
+                              f"{cents('l_quantity')} as q", f"{REVENUE} as u"),
+        parts, "l_partkey = p_partkey", "left_semi")
     sold = (
-        c.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", cents("l_quantity").alias("q"),
-                          revenue_units().alias("u"))
-        .join(parts, col("l_partkey") == col("p_partkey"), "left_semi")
-        .join(orders, col("l_orderkey") == col("o_orderkey"))
+        _meet(lines, orders, "l_orderkey = o_orderkey")
         .groupBy("l_partkey", "l_suppkey", "o_year")
-        .agg(exact_sum(col("u")).alias("units"), F.sum("q").alias("quantity")))
-    stock = c.partsupp.select("ps_partkey", "ps_suppkey", cents("ps_supplycost").alias("cost"))
-    profit = col("units") - col("cost").cast("decimal(18,0)") * col("quantity").cast("decimal(19,0)")
+        .agg(_total("u", "units"), expr("sum(q) as quantity")))
+    stock = c.partsupp.selectExpr("ps_partkey", "ps_suppkey", f"{cents('ps_supplycost')} as cost")
+    costed = _meet(sold, stock, "l_partkey = ps_partkey and l_suppkey = ps_suppkey")
+    by_nation = _meet(_meet(costed, c.supplier, "l_suppkey = s_suppkey"), c.nation,
+                      "s_nationkey = n_nationkey")
+    profit = "sum(units - cast(cost as decimal(18,0)) * cast(quantity as decimal(19,0)))"
     return (
-        sold.join(stock, (col("l_partkey") == col("ps_partkey"))
-                  & (col("l_suppkey") == col("ps_suppkey")))
-        .join(c.supplier.select("s_suppkey", "s_nationkey"), col("l_suppkey") == col("s_suppkey"))
-        .join(c.nation.select("n_nationkey", col("n_name").alias("nation")),
-              col("s_nationkey") == col("n_nationkey"))
-        .groupBy("nation", "o_year").agg(money(F.sum(profit), 4).alias("sum_profit"))
+        by_nation.groupBy(col("n_name").alias("nation"), "o_year")
+        .agg(expr(f"{money(profit, 4)} as sum_profit"))
         .orderBy("nation", col("o_year").desc()))
 
 
 def q10(c: Catalog, start: date) -> DataFrame:
     """Twenty customers who lost the most revenue to returns in a quarter."""
-    returned = (
-        c.lineitem.filter(col("l_returnflag") == "R")
-        .groupBy("l_orderkey").agg(exact_sum(revenue_units()).alias("u")))
+    returned = (c.lineitem.filter("l_returnflag = 'R'")
+                .groupBy("l_orderkey").agg(_total(REVENUE, "u")))
     lost = (
-        c.orders.filter(_within("o_orderdate", start, 3)).select("o_orderkey", "o_custkey")
-        .join(returned, col("o_orderkey") == col("l_orderkey"))
-        .groupBy("o_custkey").agg(F.sum("u").alias("units")))
+        _meet(c.orders.filter(_within("o_orderdate", start, 3)).select("o_orderkey", "o_custkey"),
+              returned, "o_orderkey = l_orderkey")
+        .groupBy("o_custkey").agg(expr("sum(u) as units")))
     # Rank on narrow rows; the wide customer columns are read for twenty rows only.
-    names = c.nation.select("n_nationkey", "n_name")
+    placed = _meet(lost, c.customer.selectExpr("c_custkey as k", "c_nationkey as home"),
+                   "o_custkey = k")
     top = (
-        lost.join(c.customer.select(col("c_custkey").alias("k"), "c_nationkey"),
-                  col("o_custkey") == col("k"))
-        .join(names, col("c_nationkey") == col("n_nationkey"))
-        .select("k", "units", "n_name")
+        _meet(placed, c.nation, "home = n_nationkey").select("k", "units", "n_name")
         .orderBy(col("units").desc(), "k").limit(20))
     return (
-        c.customer.join(top, col("c_custkey") == col("k"))
+        _meet(c.customer, top, "c_custkey = k")
         .orderBy(col("units").desc(), "c_custkey")
-        .select("c_custkey", "c_name", money(col("units"), 4).alias("revenue"), "c_acctbal",
-                "n_name", "c_address", "c_phone", "c_comment"))
+        .selectExpr("c_custkey", "c_name", f"{money('units', 4)} as revenue", "c_acctbal",
+                    "n_name", "c_address", "c_phone", "c_comment"))
 
 
 def q11(c: Catalog, nation: str, fraction: Decimal) -> DataFrame:
     """Parts holding more than a fraction of the nation's stock value."""
-    suppliers = _suppliers_of(c, nation).select("s_suppkey")
     stock = (
-        c.partsupp.select("ps_partkey", "ps_suppkey",
-                          (cents("ps_supplycost") * col("ps_availqty")).alias("u"))
-        .join(suppliers, col("ps_suppkey") == col("s_suppkey"), "left_semi")
-        .groupBy("ps_partkey").agg(exact_sum(col("u")).alias("units")))
-    total = stock.agg(F.sum("units").alias("total")).scalar()
-    share = lit(Decimal(fraction))
+        _meet(c.partsupp, _suppliers_of(c, nation), "ps_suppkey = s_suppkey", "left_semi")
+        .groupBy("ps_partkey")
+        .agg(_total(f"{cents('ps_supplycost')} * ps_availqty", "units")))
+    total = stock.agg(expr("sum(units) as total")).scalar()
     return (
-        stock.filter(col("units") > total * share)
-        .select("ps_partkey", money(col("units"), 2).alias("value"))
+        stock.filter(col("units") > total * F.lit(Decimal(fraction)))
+        .selectExpr("ps_partkey", f"{money('units', 2)} as value")
         .orderBy(col("value").desc(), "ps_partkey"))
 
 
 def late_mode_lines(c: Catalog, mode_a: str, mode_b: str, start: date) -> DataFrame:
     """Late lines of two ship modes, counted per order and mode, with the priority."""
     lines = (
-        c.lineitem.filter(col("l_shipmode").isin(mode_a, mode_b)
-                          & (col("l_commitdate") < col("l_receiptdate"))
-                          & (col("l_shipdate") < col("l_commitdate"))
-                          & _within("l_receiptdate", start, 12))
-        .groupBy("l_orderkey", "l_shipmode").agg(F.count("*").alias("n")))
-    return lines.join(c.orders.select("o_orderkey", "o_orderpriority"),
-                      col("l_orderkey") == col("o_orderkey"))
+        c.lineitem.filter(col("l_shipmode").isin(mode_a, mode_b))
+        .filter("l_commitdate < l_receiptdate and l_shipdate < l_commitdate")
+        .filter(_within("l_receiptdate", start, 12))
+        .groupBy("l_orderkey", "l_shipmode").agg(expr("count(*) as n")))
+    return _meet(lines, c.orders.select("o_orderkey", "o_orderpriority"),
+                 "l_orderkey = o_orderkey")
 
 
 def q12(c: Catalog, mode_a: str, mode_b: str, start: date) -> DataFrame:
     """High and low priority line counts per ship mode."""
-    high = col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    high = "o_orderpriority in ('1-URGENT', '2-HIGH')"
     return (
-        late_mode_lines(c, mode_a, mode_b, start)
-        .groupBy("l_shipmode")
-        .agg(F.sum(F.when(high, col("n")).otherwise(0)).alias("high_line_count"),
-             F.sum(F.when(high, 0).otherwise(col("n"))).alias("low_line_count"))
+        late_mode_lines(c, mode_a, mode_b, start).groupBy("l_shipmode")
+        .agg(expr(f"sum(if({high}, n, 0)) as high_line_count"),
+             expr(f"sum(if({high}, 0, n)) as low_line_count"))
         .orderBy("l_shipmode"))
 
 
@@ -308,53 +282,48 @@ def orders_per_customer(c: Catalog, first: str, second: str) -> DataFrame:
     """Every customer with the number of orders whose comment lacks two words."""
     counted = (
         c.orders.filter(~col("o_comment").like(f"%{first}%{second}%"))
-        .groupBy("o_custkey").agg(F.count("o_orderkey").alias("n")))
+        .groupBy("o_custkey").agg(expr("count(o_orderkey) as n")))
     return (
-        c.customer.select("c_custkey")
-        .join(counted, col("c_custkey") == col("o_custkey"), "left")
-        .select("c_custkey", F.coalesce("n", lit(0)).cast("bigint").alias("c_count")))
+        _meet(c.customer.select("c_custkey"), counted, "c_custkey = o_custkey", "left")
+        .selectExpr("c_custkey", "coalesce(n, 0) as c_count"))
 
 
 def q13(c: Catalog, first: str, second: str) -> DataFrame:
     """Histogram of orders per customer."""
     return (
         orders_per_customer(c, first, second)
-        .groupBy("c_count").agg(F.count("*").alias("custdist"))
+        .groupBy("c_count").agg(expr("count(*) as custdist"))
         .orderBy(col("custdist").desc(), col("c_count").desc()))
 
 
 def month_revenue_by_part(c: Catalog, start: date) -> DataFrame:
     """Revenue of one month per part key, with the part's type."""
-    sold = (
-        c.lineitem.filter(_within("l_shipdate", start, 1))
-        .groupBy("l_partkey").agg(exact_sum(revenue_units()).alias("units")))
-    return sold.join(c.part.select("p_partkey", "p_type"), col("l_partkey") == col("p_partkey"))
+    sold = (c.lineitem.filter(_within("l_shipdate", start, 1))
+            .groupBy("l_partkey").agg(_total(REVENUE, "units")))
+    return _meet(sold, c.part.select("p_partkey", "p_type"), "l_partkey = p_partkey")
 
 
 def q14(c: Catalog, start: date) -> DataFrame:
     """Share of a month's revenue that promotion parts bring, in percent."""
-    promo = F.sum(F.when(col("p_type").startswith("PROMO"), col("units")).otherwise(0))
+    promo = "sum(if(p_type like 'PROMO%', units, 0))"
     return month_revenue_by_part(c, start).agg(
-        ratio(promo.cast("double") * 100, F.sum("units")).alias("promo_revenue"))
+        expr(f"{ratio(promo, 'sum(units)', 100)} as promo_revenue"))
 
 
 def supplier_revenue(c: Catalog, start: date) -> DataFrame:
     """Revenue per supplier over three months."""
-    return (
-        c.lineitem.filter(_within("l_shipdate", start, 3))
-        .groupBy(col("l_suppkey").alias("supplier_no"))
-        .agg(exact_sum(revenue_units()).alias("units")))
+    return (c.lineitem.filter(_within("l_shipdate", start, 3))
+            .groupBy(col("l_suppkey").alias("supplier_no")).agg(_total(REVENUE, "units")))
 
 
 def q15(c: Catalog, start: date) -> DataFrame:
     """The supplier or suppliers with the highest revenue; ties are kept."""
     revenue = supplier_revenue(c, start)
-    best = revenue.agg(F.max("units").alias("best")).scalar()
+    best = revenue.agg(expr("max(units) as best")).scalar()
     return (
-        c.supplier.join(revenue.filter(col("units") == best),
-                        col("s_suppkey") == col("supplier_no"))
-        .select("s_suppkey", "s_name", "s_address", "s_phone",
-                money(col("units"), 4).alias("total_revenue"))
+        _meet(c.supplier, revenue.filter(col("units") == best), "s_suppkey = supplier_no")
+        .selectExpr("s_suppkey", "s_name", "s_address", "s_phone",
+                    f"{money('units', 4)} as total_revenue")
         .orderBy("s_suppkey"))
 
 
@@ -364,48 +333,43 @@ def q16(c: Catalog, brand: str, ptype: str, sizes: tuple[int, ...]) -> DataFrame
         c.part.filter((col("p_brand") != brand) & ~col("p_type").startswith(ptype)
                       & col("p_size").isin(list(sizes)))
         .select("p_partkey", "p_brand", "p_type", "p_size"))
-    blamed = c.supplier.filter(col("s_comment").like("%Customer%Complaints%"))
-    offers = null_aware_anti(
-        c.partsupp.select("ps_partkey", "ps_suppkey"), blamed, "ps_suppkey", "s_suppkey")
+    blamed = c.supplier.filter("s_comment like '%Customer%Complaints%'")
+    offers = _meet(c.partsupp.select("ps_partkey", "ps_suppkey"), parts, "ps_partkey = p_partkey")
     return (
-        offers.join(parts, col("ps_partkey") == col("p_partkey"))
+        null_aware_anti(offers, blamed, "ps_suppkey", "s_suppkey")
         .groupBy("p_brand", "p_type", "p_size")
-        .agg(F.countDistinct("ps_suppkey").alias("supplier_cnt"))
+        .agg(expr("count(distinct ps_suppkey) as supplier_cnt"))
         .orderBy(col("supplier_cnt").desc(), "p_brand", "p_type", "p_size"))
 
 
 def q17(c: Catalog, brand: str, container: str) -> DataFrame:
     """Yearly revenue of orders far below a part's average quantity."""
-    parts = (c.part.filter((col("p_brand") == brand) & (col("p_container") == container))
-             .select("p_partkey"))
+    parts = c.part.filter((col("p_brand") == brand) & (col("p_container") == container))
     # One row per part and distinct quantity serves both the average and the sum.
     by_quantity = (
-        c.lineitem.select("l_partkey", cents("l_quantity").alias("q"),
-                          cents("l_extendedprice").alias("p"))
-        .join(parts, col("l_partkey") == col("p_partkey"), "left_semi")
-        .groupBy("l_partkey", "q")
-        .agg(F.count("*").alias("n"), exact_sum(col("p")).alias("price")))
+        _meet(c.lineitem.selectExpr("l_partkey", f"{cents('l_quantity')} as q",
+                                    f"{cents('l_extendedprice')} as p"),
+              parts, "l_partkey = p_partkey", "left_semi")
+        .groupBy("l_partkey", "q").agg(expr("count(*) as n"), _total("p", "price")))
     averages = by_quantity.groupBy(col("l_partkey").alias("k")).agg(
-        F.sum("n").alias("lines"), F.sum(col("q") * col("n")).alias("total"))
+        expr("sum(n) as lines"), expr("sum(q * n) as total"))
     return (
-        by_quantity.join(averages, col("l_partkey") == col("k"))
-        .filter(col("q") * 5 * col("lines") < col("total"))
-        .agg(F.sum("price").alias("price"))
-        .select((money(col("price"), 2) / lit(7.0)).alias("avg_yearly")))
+        _meet(by_quantity, averages, "l_partkey = k").filter("q * 5 * lines < total")
+        .agg(expr(f"{money('sum(price)', 2)} / 7D as avg_yearly")))
 
 
 def q18(c: Catalog, quantity: int) -> DataFrame:
     """Hundred largest orders by price among those above a total quantity."""
     large = (
-        c.lineitem.groupBy("l_orderkey").agg(F.sum(cents("l_quantity")).alias("q"))
+        c.lineitem.groupBy("l_orderkey").agg(expr(f"sum({cents('l_quantity')}) as q"))
         .filter(col("q") > quantity * 100))
+    orders = _meet(c.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+                   large, "o_orderkey = l_orderkey")
     return (
-        c.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-        .join(large, col("o_orderkey") == col("l_orderkey"))
-        .join(c.customer.select("c_custkey", "c_name"), col("o_custkey") == col("c_custkey"))
-        .select("c_name", "c_custkey", "o_orderkey", "o_orderdate", "o_totalprice",
-                money(col("q"), 2).alias("sum_qty"))
-        .orderBy(col("o_totalprice").desc(), "o_orderdate", "o_orderkey").limit(100))
+        _meet(orders, c.customer.select("c_custkey", "c_name"), "o_custkey = c_custkey")
+        .orderBy(col("o_totalprice").desc(), "o_orderdate", "o_orderkey").limit(100)
+        .selectExpr("c_name", "c_custkey", "o_orderkey", "o_orderdate", "o_totalprice",
+                    f"{money('q', 2)} as sum_qty"))
 
 
 def q19(c: Catalog, brands: tuple[str, ...], quantities: tuple[int, ...]) -> DataFrame:
@@ -415,39 +379,37 @@ def q19(c: Catalog, brands: tuple[str, ...], quantities: tuple[int, ...]) -> Dat
                   ["MED BAG", "MED BOX", "MED PKG", "MED PACK"],
                   ["LG CASE", "LG BOX", "LG PACK", "LG PKG"])
     sizes = (5, 10, 15)
-    quantity_in = lambda low: col("l_quantity").between(float(low), float(low + 10))
-    wanted_part, wanted_line, clause = lit(False), lit(False), lit(False)
+    wanted_part, wanted_line, clause = F.lit(False), F.lit(False), F.lit(False)
     for brand, kinds, size, low in zip(brands, containers, sizes, quantities):
         part = ((col("p_brand") == brand) & col("p_container").isin(kinds)
                 & col("p_size").between(1, size))
-        wanted_part = wanted_part | part
-        wanted_line = wanted_line | quantity_in(low)
-        clause = clause | (part & quantity_in(low))
+        line = col("l_quantity").between(float(low), float(low + 10))
+        wanted_part, wanted_line = wanted_part | part, wanted_line | line
+        clause = clause | (part & line)
     lines = (
-        c.lineitem.filter(col("l_shipmode").isin("AIR", "AIR REG")
-                          & (col("l_shipinstruct") == "DELIVER IN PERSON") & wanted_line)
-        .groupBy("l_partkey", "l_quantity").agg(exact_sum(revenue_units()).alias("units")))
+        c.lineitem.filter("l_shipmode in ('AIR', 'AIR REG')"
+                          " and l_shipinstruct = 'DELIVER IN PERSON'").filter(wanted_line)
+        .groupBy("l_partkey", "l_quantity").agg(_total(REVENUE, "units")))
     parts = c.part.filter(wanted_part).select("p_partkey", "p_brand", "p_container", "p_size")
     return (
-        lines.join(parts, col("l_partkey") == col("p_partkey")).filter(clause)
-        .agg(money(F.sum("units"), 4).alias("revenue")))
+        _meet(lines, parts, "l_partkey = p_partkey").filter(clause)
+        .agg(expr(f"{money('sum(units)', 4)} as revenue")))
 
 
 def q20(c: Catalog, word: str, start: date, nation: str) -> DataFrame:
     """Suppliers of a nation with excess stock of parts named by a prefix."""
     parts = c.part.filter(col("p_name").startswith(word)).select("p_partkey")
     shipped = (
-        c.lineitem.filter(_within("l_shipdate", start, 12))
-        .groupBy("l_partkey", "l_suppkey").agg(F.sum(cents("l_quantity")).alias("q")))
-    excess = (
-        c.partsupp.select("ps_partkey", "ps_suppkey", "ps_availqty")
-        .join(parts, col("ps_partkey") == col("p_partkey"), "left_semi")
-        .join(shipped, (col("ps_partkey") == col("l_partkey"))
-              & (col("ps_suppkey") == col("l_suppkey")))
-        .filter(col("ps_availqty") * 200 > col("q")))
+        _meet(c.lineitem.filter(_within("l_shipdate", start, 12))
+              .selectExpr("l_partkey", "l_suppkey", f"{cents('l_quantity')} as amount"),
+              parts, "l_partkey = p_partkey", "left_semi")
+        .groupBy("l_partkey", "l_suppkey").agg(expr("sum(amount) as q")))
+    stock = _meet(c.partsupp.select("ps_partkey", "ps_suppkey", "ps_availqty"), parts,
+                  "ps_partkey = p_partkey", "left_semi")
+    excess = _meet(shipped, stock, "l_partkey = ps_partkey and l_suppkey = ps_suppkey"
+                   " and ps_availqty * 200 > q").select("ps_suppkey").distinct()
     return (
-        _suppliers_of(c, nation)
-        .join(_keys(excess, "ps_suppkey"), col("s_suppkey") == col("ps_suppkey"), "left_semi")
+        _meet(_suppliers_of(c, nation), excess, "s_suppkey = ps_suppkey", "left_semi")
         .select("s_name", "s_address").orderBy("s_name"))
 
 
@@ -457,40 +419,37 @@ def q21(c: Catalog, nation: str) -> DataFrame:
     Least and greatest supplier key per order tell whether an order has several
     suppliers and whether all its late lines come from one: no self-join.
     """
-    late = col("l_receiptdate") > col("l_commitdate")
-    late_supplier = F.when(late, col("l_suppkey"))
+    late = "if(l_receiptdate > l_commitdate, l_suppkey, null)"
     blamed = (
         c.lineitem.groupBy("l_orderkey")
-        .agg(F.min("l_suppkey").alias("least"), F.max("l_suppkey").alias("greatest"),
-             F.min(late_supplier).alias("late_least"), F.max(late_supplier).alias("late_greatest"),
-             F.count(late_supplier).alias("late_lines"))
-        .filter((col("least") != col("greatest")) & (col("late_least") == col("late_greatest")))
-        .select("l_orderkey", col("late_least").alias("suppkey"), "late_lines"))
-    closed = c.orders.filter(col("o_orderstatus") == "F").select("o_orderkey")
+        .agg(expr("min(l_suppkey) as least"), expr("max(l_suppkey) as greatest"),
+             expr(f"min({late}) as suppkey"), expr(f"max({late}) as late_greatest"),
+             expr(f"count({late}) as late_lines"))
+        .filter("least <> greatest and suppkey = late_greatest"))
+    closed = c.orders.filter("o_orderstatus = 'F'").select("o_orderkey")
     waiting = (
-        blamed.join(closed, col("l_orderkey") == col("o_orderkey"), "left_semi")
-        .groupBy("suppkey").agg(F.sum("late_lines").alias("lines")))
+        _meet(blamed, closed, "l_orderkey = o_orderkey", "left_semi")
+        .groupBy("suppkey").agg(expr("sum(late_lines) as lines")))
     return (
-        _suppliers_of(c, nation).select("s_suppkey", "s_name")
-        .join(waiting, col("s_suppkey") == col("suppkey"))
-        .groupBy("s_name").agg(F.sum("lines").alias("numwait"))
+        _meet(_suppliers_of(c, nation).select("s_suppkey", "s_name"), waiting,
+              "s_suppkey = suppkey")
+        .groupBy("s_name").agg(expr("sum(lines) as numwait"))
         .orderBy(col("numwait").desc(), "s_name").limit(100))
 
 
 def q22(c: Catalog, codes: tuple[str, ...]) -> DataFrame:
     """Well-funded customers without orders, per country code."""
     people = (
-        c.customer.select("c_custkey", F.substring("c_phone", 1, 2).alias("cntrycode"),
-                          cents("c_acctbal").alias("bal"))
+        c.customer.selectExpr("c_custkey", "substring(c_phone, 1, 2) as cntrycode",
+                              f"{cents('c_acctbal')} as bal")
         .filter(col("cntrycode").isin(list(codes))))
-    funded = people.filter(col("bal") > 0).agg(
-        F.sum("bal").alias("total"), F.count("*").alias("n"))
-    total, n = (funded.select(name).scalar() for name in ("total", "n"))
+    funded = people.filter("bal > 0").agg(expr("struct(sum(bal) as total, count(*) as n) as s"))
+    average = funded.scalar()
     return (
-        people.filter(col("bal") * n > total)
-        .join(_keys(c.orders, "o_custkey"), col("c_custkey") == col("o_custkey"), "left_anti")
+        _meet(people.filter(col("bal") * average["n"] > average["total"]),
+              c.orders.select("o_custkey").distinct(), "c_custkey = o_custkey", "left_anti")
         .groupBy("cntrycode")
-        .agg(F.count("*").alias("numcust"), money(F.sum("bal"), 2).alias("totacctbal"))
+        .agg(expr("count(*) as numcust"), expr(f"{money('sum(bal)', 2)} as totacctbal"))
         .orderBy("cntrycode"))
 
 

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.functions.money import cents, exact_sum, money, ratio, revenue_units
+from tradewind.functions.money import REVENUE, cents, exact_sum, money, ratio
 from tradewind.plans.queries import months_after
 from tradewind.sources.tables import Catalog
 
@@ -30,9 +30,10 @@ def sweep_q06(c: Catalog, parameters: DataFrame) -> DataFrame:
     """Forecast revenue per parameter set."""
     cube = (
         c.lineitem.groupBy(
-            F.year("l_shipdate").alias("ship_year"), cents("l_discount").alias("off"),
-            cents("l_quantity").alias("amount"))
-        .agg(exact_sum(cents("l_extendedprice") * cents("l_discount")).alias("units")))
+            F.year("l_shipdate").alias("ship_year"), F.expr(cents("l_discount")).alias("off"),
+            F.expr(cents("l_quantity")).alias("amount"))
+        .agg(F.expr(exact_sum(f"{cents('l_extendedprice')} * {cents('l_discount')}"))
+             .alias("units")))
     # The discount band spans three cents: an equality join on each of them.
     wanted = parameters.withColumn(
         "off", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)),
@@ -42,7 +43,7 @@ def sweep_q06(c: Catalog, parameters: DataFrame) -> DataFrame:
         & (col("amount") < col("quantity") * 100), "left")
     return (
         matched.groupBy("set_id", "year", "discount", "quantity")
-        .agg(money(F.sum("units"), 4).alias("revenue")).orderBy("set_id"))
+        .agg(F.expr(money("sum(units)", 4)).alias("revenue")).orderBy("set_id"))
 
 
 def q14_parameters(spark: SparkSession, first: date = date(1993, 1, 1), months: int = 60) -> DataFrame:
@@ -54,7 +55,7 @@ def sweep_q14(c: Catalog, parameters: DataFrame) -> DataFrame:
     """Promotion share per month."""
     sold = (
         c.lineitem.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("ship_month"))
-        .agg(exact_sum(revenue_units()).alias("units")))
+        .agg(F.expr(exact_sum(REVENUE)).alias("units")))
     promo = F.when(col("p_type").startswith("PROMO"), col("units")).otherwise(0)
     monthly = (
         sold.join(c.part.select("p_partkey", "p_type"), col("l_partkey") == col("p_partkey"))
@@ -62,5 +63,5 @@ def sweep_q14(c: Catalog, parameters: DataFrame) -> DataFrame:
     return (
         parameters.join(monthly, col("month") == col("ship_month"), "left")
         .select("set_id", "month",
-                ratio(col("promo").cast("double") * 100, col("units")).alias("promo_revenue"))
+                F.expr(ratio("promo", "units", 100)).alias("promo_revenue"))
         .orderBy("set_id"))

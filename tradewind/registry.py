@@ -34,8 +34,20 @@ TITLES = {
 CUSTOMER_QUESTIONS = ("q13", "q22")
 
 
+# Table definitions (schemas and file lists, no rows) are kept for the session, so
+# that a query over known tables starts without looking at the files again.
+_CATALOGS: dict[tuple[str, str], Catalog] = {}
+
+
+def shared_catalog(spark: SparkSession, folder: str) -> Catalog:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _CATALOGS:
+        _CATALOGS[key] = Catalog(spark, folder)
+    return _CATALOGS[key]
+
+
 def catalog_for(spark: SparkSession, folder: str, question: str) -> Catalog:
-    catalog = Catalog(spark, folder)
+    catalog = shared_catalog(spark, folder)
     if question in CUSTOMER_QUESTIONS:
         return catalog.with_tables(orders=catalog.orders.filter(F.col("o_custkey") % 3 != 0))
     return catalog
@@ -53,7 +65,7 @@ def _variant(name: str) -> Query:
 
 
 def _check(function: Callable[[Catalog], DataFrame]) -> Query:
-    return lambda spark, folder: function(Catalog(spark, folder))
+    return lambda spark, folder: function(shared_catalog(spark, folder))
 
 
 CHECKS = {
@@ -93,7 +105,7 @@ def _merged(t: TrackingSource.Tracking) -> DataFrame:
 
 def _upserted(t: TrackingSource.Tracking) -> DataFrame:
     measured = t.query.groupBy(F.col("job").alias("id")).agg(
-        money(exact_sum(micros("duration")), 6).alias("duration"))
+        F.expr(money(exact_sum(micros("duration")), 6)).alias("duration"))
     return Track.set_durations(t.job, measured).select("id", "name", "duration")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import steps as S
 from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
-from tradewind.functions.money import cents, exact_sum, money, revenue_units
+from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
 from tradewind.operators import quality, refresh, warehouse
 from tradewind.operators.joins import null_aware_anti
@@ -41,7 +41,7 @@ def scan(name: str):
 def _lines_summary(lines: DataFrame) -> DataFrame:
     return (
         lines.groupBy("l_returnflag", "l_linestatus")
-        .agg(F.count("*").alias("rows"), money(exact_sum(cents("l_extendedprice")), 2).alias("price"),
+        .agg(F.count("*").alias("rows"), F.expr(money(exact_sum(cents("l_extendedprice")), 2)).alias("price"),
              F.min("l_shipdate").alias("first_ship"), F.max("l_receiptdate").alias("last_receipt"),
              F.count_distinct("l_shipmode").alias("modes"),
              F.count(F.when(col("l_comment") == "", 1)).alias("blank_comments"))
@@ -76,7 +76,7 @@ def _step_report(rows: DataFrame) -> DataFrame:
     return rows.groupBy("step").agg(
         F.count("*").alias("rows"), F.min("o_orderkey").alias("first_key"),
         F.max("o_orderkey").alias("last_key"),
-        money(exact_sum(cents("o_totalprice")), 2).alias("price")).orderBy("step")
+        F.expr(money(exact_sum(cents("o_totalprice")), 2)).alias("price")).orderBy("step")
 
 
 def steps_appended(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,7 +138,7 @@ def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
         Catalog(spark, folder).lineitem, scratch(spark, "layout"), "lineitem")
     return (spark.read.parquet(path).groupBy("year", "l_linestatus")
             .agg(F.count("*").alias("rows"),
-                 money(exact_sum(revenue_units()), 4).alias("revenue")))
+                 F.expr(money(exact_sum(REVENUE), 4)).alias("revenue")))
 
 
 def colocated_join(spark: SparkSession, folder: str, buckets: int = 16) -> DataFrame:
@@ -150,11 +150,11 @@ def colocated_join(spark: SparkSession, folder: str, buckets: int = 16) -> DataF
             getattr(catalog, table), f"{name}.{table}", warehouse.BUCKET_KEYS[table],
             os.path.join(path, table), buckets)
     lines = (spark.table(f"{name}.lineitem").groupBy("l_orderkey")
-             .agg(exact_sum(revenue_units()).alias("units")))
+             .agg(F.expr(exact_sum(REVENUE)).alias("units")))
     return (
         spark.table(f"{name}.orders").join(lines, col("o_orderkey") == col("l_orderkey"))
         .groupBy("o_orderpriority")
-        .agg(F.count("*").alias("orders"), money(F.sum("units"), 4).alias("revenue")))
+        .agg(F.count("*").alias("orders"), F.expr(money("sum(units)", 4)).alias("revenue")))
 
 
 # -- joins and functions ----------------------------------------------------

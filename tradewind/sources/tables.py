@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.schema import TABLES
 
@@ -25,89 +24,60 @@ ORDER_WORDS = ["special", "pending", "unusual", "express", "regular", "even"]
 ORDER_NOUNS = ["packages", "requests", "accounts", "deposits"]
 
 
-def choose(values: list[str], index: Column) -> Column:
-    return F.array(*[F.lit(v) for v in values])[index.cast("int")]
+def choose(values: list[str], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"array({listed})[cast({index} as int)]"
 
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
+def _phone(key: str, nation: str) -> str:
+    return (f"concat_ws('-', {nation} + 10, {key} % 900 + 100, {key} * 7 % 900 + 100,"
+            f" {key} * 13 % 9000 + 1000)")
 
 
-def _phone(key: str, nation: str) -> Column:
-    k, n = F.col(key), F.col(nation)
-    return F.concat(
-        _text(n + 10), F.lit("-"), _text(k % 900 + 100), F.lit("-"),
-        _text(k * 7 % 900 + 100), F.lit("-"), _text(k * 13 % 9000 + 1000))
+def _after_shipping(days: str) -> str:
+    return f"date_add(cast(l_shipdate as date), cast({days} as int))"
 
 
-def _day(column: Column, offset: Column) -> Column:
-    return F.date_add(column.cast("date"), offset.cast("int"))
-
-
-def _lineitem_rules() -> dict[str, Column]:
-    order, part, supp, line = (
-        F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    return {
-        "l_commitdate": _day(F.col("l_shipdate"),
-                             (order * 7 + part * 3 + line * 13) % 61 - 30),
-        "l_receiptdate": _day(F.col("l_shipdate"),
-                              (order * 11 + supp * 5 + line) % 30 + 1),
-        "l_shipinstruct": choose(SHIP_INSTRUCTIONS, (part + supp + line) % 4),
-        "l_shipmode": choose(SHIP_MODES, (order + part + line) % 7),
-        "l_comment": F.lit(""),
-    }
-
-
-def _part_rules() -> dict[str, Column]:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return {
-        "p_mfgr": F.concat(F.lit("Manufacturer#"), _text(key % 5 + 1)),
-        "p_container": F.concat_ws(
-            " ", choose(CONTAINER_SIZES, (key + size) % 5),
-            choose(CONTAINER_KINDS, (key * 3 + size) % 8)),
-        "p_comment": F.lit(""),
-    }
-
-
-def _supplier_rules() -> dict[str, Column]:
-    key = F.col("s_suppkey")
-    return {
-        "s_address": F.concat(F.lit("addr "), _text(key * 37 % 1000)),
-        "s_phone": _phone("s_suppkey", "s_nationkey"),
-        "s_comment": F.when(key % 25 == 7, "slow Customer service Complaints")
-                      .when(key % 25 == 8, "good Customer service Recommends")
-                      .otherwise(F.concat(F.lit("quiet deposits "), _text(key % 11))),
-    }
-
-
-def _customer_rules() -> dict[str, Column]:
-    key = F.col("c_custkey")
-    return {
-        "c_address": F.concat(F.lit("addr "), _text(key * 41 % 1000)),
-        "c_phone": _phone("c_custkey", "c_nationkey"),
-        "c_comment": F.concat(F.lit("final accounts "), _text(key % 13)),
-    }
-
-
-def _orders_rules() -> dict[str, Column]:
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    return {
-        "o_clerk": F.concat(F.lit("Clerk#"), F.lpad(_text(key % 1000 + 1), 9, "0")),
-        "o_shippriority": F.lit(0),
-        "o_comment": F.concat_ws(
-            " ", choose(ORDER_WORDS, key % 6), choose(ORDER_NOUNS, (key + cust) % 4),
-            F.lit("sleep")),
-    }
-
+_LINEITEM_RULES = {
+    "l_commitdate": _after_shipping("(l_orderkey*7 + l_partkey*3 + l_linenumber*13) % 61 - 30"),
+    "l_receiptdate": _after_shipping("(l_orderkey*11 + l_suppkey*5 + l_linenumber) % 30 + 1"),
+    "l_shipinstruct": choose(SHIP_INSTRUCTIONS, "(l_partkey + l_suppkey + l_linenumber) % 4"),
+    "l_shipmode": choose(SHIP_MODES, "(l_orderkey + l_partkey + l_linenumber) % 7"),
+    "l_comment": "''",
+}
+_PART_RULES = {
+    "p_mfgr": "concat('Manufacturer#', p_partkey % 5 + 1)",
+    "p_container": (f"concat_ws(' ', {choose(CONTAINER_SIZES, '(p_partkey + p_size) % 5')},"
+                    f" {choose(CONTAINER_KINDS, '(p_partkey*3 + p_size) % 8')})"),
+    "p_comment": "''",
+}
+# One-word types get a finish and a metal, as the questions look for those.
+_THREE_WORD_TYPE = (f"concat_ws(' ', p_type, {choose(FINISHES, 'p_partkey % 5')},"
+                    f" {choose(METALS, '(p_partkey*3 + p_size) % 5')})")
+_SUPPLIER_RULES = {
+    "s_address": "concat('addr ', s_suppkey * 37 % 1000)",
+    "s_phone": _phone("s_suppkey", "s_nationkey"),
+    "s_comment": ("case s_suppkey % 25 when 7 then 'slow Customer service Complaints'"
+                  " when 8 then 'good Customer service Recommends'"
+                  " else concat('quiet deposits ', s_suppkey % 11) end"),
+}
+_CUSTOMER_RULES = {
+    "c_address": "concat('addr ', c_custkey * 41 % 1000)",
+    "c_phone": _phone("c_custkey", "c_nationkey"),
+    "c_comment": "concat('final accounts ', c_custkey % 13)",
+}
+_ORDERS_RULES = {
+    "o_clerk": "concat('Clerk#', lpad(o_orderkey % 1000 + 1, 9, '0'))",
+    "o_shippriority": "0",
+    "o_comment": (f"concat_ws(' ', {choose(ORDER_WORDS, 'o_orderkey % 6')},"
+                  f" {choose(ORDER_NOUNS, '(o_orderkey + o_custkey) % 4')}, 'sleep')"),
+}
+_PARTSUPP_RULES = {"ps_comment": "''"}
 
 RULES = {
-    "region": lambda: {"r_comment": F.lit(None).cast("string")},
-    "nation": lambda: {"n_comment": F.lit(None).cast("string")},
-    "part": _part_rules,
-    "supplier": _supplier_rules,
-    "customer": _customer_rules,
-    "orders": _orders_rules,
-    "lineitem": _lineitem_rules,
+    "region": {"r_comment": "null"}, "nation": {"n_comment": "null"},
+    "part": _PART_RULES, "supplier": _SUPPLIER_RULES, "partsupp": _PARTSUPP_RULES,
+    "customer": _CUSTOMER_RULES, "orders": _ORDERS_RULES, "lineitem": _LINEITEM_RULES,
 }
 
 
@@ -118,7 +88,6 @@ def read_columns(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table with the declared columns, in order and typed."""
-    table = TABLES[name]
     if name == "partsupp" and not exists(spark, folder, name):
         return conform(derive_partsupp(read_columns(spark, folder, "lineitem")), name)
     return conform(read_columns(spark, folder, name), name)
@@ -126,46 +95,27 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def conform(stored: DataFrame, name: str) -> DataFrame:
     """Add missing columns by rule and cast to the declared types."""
-    table = TABLES[name]
-    present = set(stored.columns)
-    rules = RULES.get(name, dict)()
-    narrow_part = name == "part" and "p_container" not in present
+    present = dict(stored.dtypes)
+    rules = dict(RULES[name])
+    if name == "part" and "p_container" not in present:
+        present.pop("p_type")
+        rules["p_type"] = _THREE_WORD_TYPE
     columns = []
-    for c in table.columns:
-        if c.name == "p_type" and narrow_part:
-            value = _three_word_type()
-        elif c.name in present:
-            value = F.col(c.name)
-        else:
-            value = rules.get(c.name, F.lit(""))
-        if c.name in present and stored.schema[c.name].dataType == c.dtype:
-            columns.append(value.alias(c.name))
-        else:
-            columns.append(value.cast(c.dtype).alias(c.name))
-    return stored.select(*columns)
-
-
-def _three_word_type() -> Column:
-    """One-word types get a finish and a metal, as the queries look for those."""
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return F.concat_ws(
-        " ", F.col("p_type"), choose(FINISHES, key % 5),
-        choose(METALS, (key * 3 + size) % 5))
+    for c in TABLES[name].columns:
+        wanted = c.dtype.simpleString()
+        value = c.name if c.name in present else rules[c.name]
+        columns.append(c.name if present.get(c.name) == wanted
+                       else f"cast({value} as {wanted}) as {c.name}")
+    return stored.selectExpr(*columns)
 
 
 def derive_partsupp(lineitem: DataFrame) -> DataFrame:
     """The (part, supplier) pairs that lines refer to, with stock and cost."""
-    part, supp = F.col("ps_partkey"), F.col("ps_suppkey")
-    return (
-        lineitem.select(F.col("l_partkey").alias("ps_partkey"),
-                        F.col("l_suppkey").alias("ps_suppkey"))
-        .distinct()
-        .select(
-            part, supp,
-            ((part * 31 + supp * 17) % 9999 + 1).alias("ps_availqty"),
-            (((part * 7919 + supp * 104729) % 99901 + 100) / F.lit(100.0))
-            .alias("ps_supplycost"),
-            F.lit("").alias("ps_comment")))
+    pairs = lineitem.selectExpr("l_partkey as ps_partkey", "l_suppkey as ps_suppkey").distinct()
+    return pairs.selectExpr(
+        "ps_partkey", "ps_suppkey",
+        "(ps_partkey * 31 + ps_suppkey * 17) % 9999 + 1 as ps_availqty",
+        "((ps_partkey * 7919 + ps_suppkey * 104729) % 99901 + 100) / 100D as ps_supplycost")
 
 
 def exists(spark: SparkSession, folder: str, name: str) -> bool:

@@ -38,13 +38,13 @@ def from_events(events: DataFrame) -> Tracking:
     loads = user % 3 == 0
     job = (
         events.groupBy("user_id")
-        .agg(F.min("ts").alias("start"), exact_sum(micros("value")).alias("total"))
+        .agg(F.min("ts").alias("start"), F.expr(exact_sum(micros("value"))).alias("total"))
         .select(
             user.alias("id"), (user % 5 + 1).alias("run"),
             F.when(loads, F.concat(F.lit("load"), user.cast("string")))
              .when(user % 3 == 1, "single-user-stream").otherwise("multi-user-stream")
              .alias("name"),
-            "start", money(F.col("total"), 6).alias("duration"),
+            "start", F.expr(money("total", 6)).alias("duration"),
             F.when(loads, F.sequence((user + 1).cast("int"), (user + 3).cast("int")))
              .alias("steps")))
     run = (
