@@ -96,3 +96,12 @@ def test_exact_sum_survives_overflow_and_signs(spark):
     mixed = big.unionByName(spark.range(3).select(F.lit(-(2 ** 61) - 7).cast("bigint").alias("v")))
     got = mixed.agg(F.expr(exact_sum("v")).alias("s")).first().s
     assert int(got) == 4 * 2 ** 62 - 3 * (2 ** 61 + 7)
+
+
+def test_cluster_settings_follow_the_data():
+    from tradewind.session import cluster_settings
+    big = cluster_settings(100 << 40, executors=1000, cores=8, memory_gb=64)
+    assert big["spark.sql.shuffle.partitions"] == "819200"
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 256 << 20
+    small = cluster_settings(1 << 30, executors=2, cores=4, memory_gb=4)
+    assert small["spark.sql.shuffle.partitions"] == "16"

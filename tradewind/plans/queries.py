@@ -258,14 +258,24 @@ def q11(c: Catalog, nation: str, fraction: Decimal) -> DataFrame:
 
 
 def late_mode_lines(c: Catalog, mode_a: str, mode_b: str, start: date) -> DataFrame:
-    """Late lines of two ship modes, counted per order and mode, with the priority."""
+    """Late lines of two ship modes, counted per order and mode, with the priority.
+
+    Both counts are kept on one row per order, so that one shuffle by order key
+    serves the aggregation and the join; the modes become rows after it.
+    """
     lines = (
         c.lineitem.filter(col("l_shipmode").isin(mode_a, mode_b))
         .filter("l_commitdate < l_receiptdate and l_shipdate < l_commitdate")
         .filter(_within("l_receiptdate", start, 12))
-        .groupBy("l_orderkey", "l_shipmode").agg(expr("count(*) as n")))
-    return _meet(lines, c.orders.select("o_orderkey", "o_orderpriority"),
-                 "l_orderkey = o_orderkey")
+        .groupBy("l_orderkey")
+        .agg(F.count_if(col("l_shipmode") == mode_a).alias("a"),
+             F.count_if(col("l_shipmode") == mode_b).alias("b")))
+    counted = _meet(lines, c.orders.select("o_orderkey", "o_orderpriority"),
+                    "l_orderkey = o_orderkey")
+    return counted.select(
+        "o_orderpriority", F.explode(F.create_map(
+            F.lit(mode_a), col("a"), F.lit(mode_b), col("b"))).alias("l_shipmode", "n")
+    ).filter("n > 0")
 
 
 def q12(c: Catalog, mode_a: str, mode_b: str, start: date) -> DataFrame:
@@ -373,26 +383,30 @@ def q18(c: Catalog, quantity: int) -> DataFrame:
 
 
 def q19(c: Catalog, brands: tuple[str, ...], quantities: tuple[int, ...]) -> DataFrame:
-    """Revenue of hand-delivered air lines for three brand/container/size clauses."""
+    """Revenue of hand-delivered air lines for three brand/container/size clauses.
+
+    Containers tell the clauses apart, so a part meets one at most.  Lines are
+    summed per part with one sum per quantity range; the part picks its sum.
+    """
     # Containers and the largest size of each clause.
     containers = (["SM CASE", "SM BOX", "SM PACK", "SM PKG"],
                   ["MED BAG", "MED BOX", "MED PKG", "MED PACK"],
                   ["LG CASE", "LG BOX", "LG PACK", "LG PKG"])
     sizes = (5, 10, 15)
-    wanted_part, wanted_line, clause = F.lit(False), F.lit(False), F.lit(False)
-    for brand, kinds, size, low in zip(brands, containers, sizes, quantities):
-        part = ((col("p_brand") == brand) & col("p_container").isin(kinds)
-                & col("p_size").between(1, size))
-        line = col("l_quantity").between(float(low), float(low + 10))
-        wanted_part, wanted_line = wanted_part | part, wanted_line | line
-        clause = clause | (part & line)
+    clauses = [
+        (col("p_brand") == brand) & col("p_container").isin(kinds) & col("p_size").between(1, size)
+        for brand, kinds, size in zip(brands, containers, sizes)]
+    ranges = [f"l_quantity between {int(low)} and {int(low) + 10}" for low in quantities]
     lines = (
         c.lineitem.filter("l_shipmode in ('AIR', 'AIR REG')"
-                          " and l_shipinstruct = 'DELIVER IN PERSON'").filter(wanted_line)
-        .groupBy("l_partkey", "l_quantity").agg(_total(REVENUE, "units")))
-    parts = c.part.filter(wanted_part).select("p_partkey", "p_brand", "p_container", "p_size")
+                          " and l_shipinstruct = 'DELIVER IN PERSON'")
+        .filter(" or ".join(ranges)).groupBy("l_partkey")
+        .agg(*[_total(f"if({r}, {REVENUE}, null)", f"u{i}") for i, r in enumerate(ranges)]))
+    parts = c.part.select("p_partkey", *[
+        clause.alias(f"c{i}") for i, clause in enumerate(clauses)]).filter("c0 or c1 or c2")
     return (
-        _meet(lines, parts, "l_partkey = p_partkey").filter(clause)
+        _meet(lines, parts, "l_partkey = p_partkey")
+        .selectExpr("case when c0 then u0 when c1 then u1 else u2 end as units")
         .agg(expr(f"{money('sum(units)', 4)} as revenue")))
 
 

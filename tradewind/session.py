@@ -27,6 +27,29 @@ def build(master: str = "local[*]", app: str = "tradewind", **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def cluster_settings(data_bytes: int, executors: int, cores: int, memory_gb: int) -> dict[str, str]:
+    """Settings for a cluster, derived from the bytes that the largest shuffle may carry.
+
+    Adaptive execution merges small partitions but cannot add any, so the
+    initial number follows the data: 128 MB each, at least two per core.  A
+    broadcast table is held by every executor next to its running tasks, so the
+    limit stays a small part of the memory of one core.
+    """
+    slots = executors * cores
+    partitions = max(2 * slots, -(-data_bytes // (128 << 20)))
+    broadcast = min(256 << 20, (memory_gb << 30) // cores // 32)
+    return {
+        **SETTINGS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.cbo.enabled": "true",
+    }
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
