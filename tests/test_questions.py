@@ -100,8 +100,8 @@ def test_exact_sum_survives_overflow_and_signs(spark):
 
 def test_cluster_settings_follow_the_data():
     from tradewind.session import cluster_settings
-    big = cluster_settings(100 << 40, executors=1000, cores=8, memory_gb=64)
-    assert big["spark.sql.shuffle.partitions"] == "819200"
+    big = cluster_settings(10 << 40, executors=1000, cores=8, memory_gb=64)
+    assert big["spark.sql.shuffle.partitions"] == "81920"
     assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 256 << 20
     small = cluster_settings(1 << 30, executors=2, cores=4, memory_gb=4)
     assert small["spark.sql.shuffle.partitions"] == "16"

@@ -104,7 +104,7 @@ def test_logs_of_files_in_parts(spark, tmp_path):
     def put(log, part, lines):
         folder = tmp_path / f"log={log}" / f"part={part}"
         folder.mkdir(parents=True)
-        (folder / "psql.txt").write_text("\n".join(lines) + "\n")
+        (folder / "run.txt").write_text("\n".join(lines) + "\n")
     put("a", 0, ["Timing is on.", "Time: 9.0 ms", "select", " 1", "Time: 1.5 ms", "select"])
     put("a", 1, ["", "Time: 2.5 ms (00:02)", "Time: 7.0 ms", "select", "select", "Time: 3.5 ms"])
     put("b", 0, ["select", "Time: 4.0 ms"])
