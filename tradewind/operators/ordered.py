@@ -25,10 +25,6 @@ def _before(keys: list[str], order: str):
     return window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _attach(frame: DataFrame, per_block: DataFrame, keys: list[str]) -> DataFrame:
-    return frame.join(per_block, keys)
-
-
 def prefix_sum(frame: DataFrame, group: list[str], block: str, order: str,
                value: Column, name: str, total: str | None = None) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows before this one in its group.
@@ -43,7 +39,7 @@ def prefix_sum(frame: DataFrame, group: list[str], block: str, order: str,
         *([F.sum("_sum").over(Window.partitionBy(*group)).alias(total)] if total else []))
     within = F.coalesce(F.sum("_value").over(_before(keys, order)), F.lit(0))
     return (
-        _attach(valued.withColumn("_within", within), offsets, keys)
+        valued.withColumn("_within", within).join(offsets, keys)
         .withColumn(name, F.col("_offset") + F.col("_within"))
         .drop("_value", "_within", "_offset"))
 
@@ -65,7 +61,7 @@ def carry_forward(frame: DataFrame, group: list[str], block: str, order: str,
         *keys, F.last("_last", ignorenulls=True).over(_before(group, block)).alias("_carried"))
     within = F.last(value, ignorenulls=True).over(_before(keys, order))
     return (
-        _attach(frame.withColumn("_within", within), carried, keys)
+        frame.withColumn("_within", within).join(carried, keys)
         .withColumn(name, F.coalesce("_within", "_carried"))
         .drop("_within", "_carried"))
 

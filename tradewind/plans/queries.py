@@ -84,13 +84,16 @@ def q02(c: Catalog, size: int, metal: str, region: str) -> DataFrame:
     parts = c.part.filter((col("p_size") == size) & col("p_type").endswith(metal)).select(
         "p_partkey", "p_mfgr")
     suppliers = _meet(c.supplier, _nations_in(c, region), "s_nationkey = n_nationkey")
+    # Narrow rows decide which offers win; the wide columns join the winners only.
     offers = _meet(
         _meet(c.partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost"), parts,
-              "ps_partkey = p_partkey"),
-        suppliers, "ps_suppkey = s_suppkey")
+              "ps_partkey = p_partkey", "left_semi"),
+        suppliers.select("s_suppkey"), "ps_suppkey = s_suppkey", "left_semi")
     cheapest = offers.groupBy(col("ps_partkey").alias("k")).agg(expr("min(ps_supplycost) as low"))
+    winners = _meet(offers, cheapest, "ps_partkey = k and ps_supplycost = low")
     return (
-        _meet(offers, cheapest, "ps_partkey = k and ps_supplycost = low")
+        _meet(_meet(winners, parts, "ps_partkey = p_partkey"), suppliers,
+              "ps_suppkey = s_suppkey")
         .orderBy(col("s_acctbal").desc(), "n_name", "s_name", "p_partkey", "s_suppkey")
         .limit(100)
         .select("s_acctbal", "s_name", "n_name", "p_partkey", "p_mfgr", "s_address",
@@ -212,7 +215,8 @@ def q09(c: Catalog, word: str) -> DataFrame:
         _meet(lines, orders, "l_orderkey = o_orderkey")
         .groupBy("l_partkey", "l_suppkey", "o_year")
         .agg(_total("u", "units"), expr("sum(q) as quantity")))
-    stock = c.partsupp.selectExpr("ps_partkey", "ps_suppkey", f"{cents('ps_supplycost')} as cost")
+    stock = _meet(c.partsupp, parts, "ps_partkey = p_partkey", "left_semi").selectExpr(
+        "ps_partkey", "ps_suppkey", f"{cents('ps_supplycost')} as cost")
     costed = _meet(sold, stock, "l_partkey = ps_partkey and l_suppkey = ps_suppkey")
     by_nation = _meet(_meet(costed, c.supplier, "l_suppkey = s_suppkey"), c.nation,
                       "s_nationkey = n_nationkey")

@@ -15,7 +15,7 @@ from tradewind.plans.queries import QUERIES
 from tradewind.plans.variants import BASE_OF, VARIANTS
 from tradewind.showcase import SHOWCASE
 from tradewind.sources import tracking as TrackingSource
-from tradewind.sources.tables import Catalog, read_columns
+from tradewind.sources.tables import Catalog, read_columns, shared_catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,18 +34,6 @@ TITLES = {
 CUSTOMER_QUESTIONS = ("q13", "q22")
 
 
-# Table definitions (schemas and file lists, no rows) are kept for the session, so
-# that a query over known tables starts without looking at the files again.
-_CATALOGS: dict[tuple[str, str], Catalog] = {}
-
-
-def shared_catalog(spark: SparkSession, folder: str) -> Catalog:
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _CATALOGS:
-        _CATALOGS[key] = Catalog(spark, folder)
-    return _CATALOGS[key]
-
-
 def catalog_for(spark: SparkSession, folder: str, question: str) -> Catalog:
     catalog = shared_catalog(spark, folder)
     if question in CUSTOMER_QUESTIONS:
