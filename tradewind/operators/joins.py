@@ -10,13 +10,15 @@ def null_aware_anti(left: DataFrame, right: DataFrame, left_key: str, right_key:
     """``left_key NOT IN (select right_key from right)`` for a right side of any size.
 
     The SQL form always broadcasts its subquery.  Here the match is an ordinary
-    anti join, and SQL's null rules become one scalar test: a null on the right
-    rejects every row, a null on the left is kept only if the right is empty.
+    anti join, and SQL's null rules become one scalar: how much a left key must
+    bring to stay, 0 (right side empty: anything), 1 (a value) or 2 (a null on
+    the right: nothing does).
     """
     keys = right.select(F.col(right_key).alias("_key"))
-    seen = keys.agg(F.expr("struct(count(*) as n, count(_key) as filled) as s")).scalar()
-    empty, complete = seen["n"] == 0, seen["n"] == seen["filled"]
+    needed = keys.agg(F.expr(
+        "case when count(*) = 0 then 0 when count(*) = count(_key) then 1 else 2 end as needed"
+    )).scalar()
     return (
         left.join(keys.filter("_key is not null").distinct(), F.col(left_key) == F.col("_key"),
                   "left_anti")
-        .filter(empty | (F.col(left_key).isNotNull() & complete)))
+        .filter(F.col(left_key).isNotNull().cast("int") >= needed))
