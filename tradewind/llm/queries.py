@@ -30,3 +30,13 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_packing, op3_chat_formatting, op5_secret_scans, op8_exact_dedup)}
+
+
+def llm_oracles() -> dict[str, str]:
+    return {
+        "op8_exact_dedup": """
+            with rows as (select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents)
+            select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+                   doc_id = max(doc_id) over same as kept, text_sha256
+            from rows window same as (partition by text_sha256)""",
+    }
