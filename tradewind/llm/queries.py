@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import chat_format, exact_dedup, packing, secrets
+from tradewind.llm import chat_format, exact_dedup, language, packing, quality, secrets, toxicity
 from tradewind.llm.common import table
 
 
@@ -24,12 +24,25 @@ def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digests(found)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_language(table(spark, folder, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_chat_formatting, op5_secret_scans, op8_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_packing, op3_chat_formatting, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity)}
 
 
 def llm_oracles() -> dict[str, str]:
