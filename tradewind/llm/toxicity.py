@@ -180,7 +180,7 @@ def choose_features(words: list, positives: int, negatives: int) -> dict[str, in
         a, b = toxic[feature], clean[feature]
         if a + b >= LEAST_SUPPORT:
             odds = math.log((a + 0.5) / (positives + 1)) - math.log((b + 0.5) / (negatives + 1))
-            bound[feature] = odds - 3 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) if odds > 0 else -1.0
+            bound[feature] = odds - 1.5 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) if odds > 0 else -1.0
     best = sorted((f for f in bound if bound[f] > 0.5), key=lambda f: (-bound[f], f))[:MODEL_FEATURES]
     return {feature: at for at, feature in enumerate(best)}
 
