@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import chat_format, exact_dedup, language, packing, quality, secrets, toxicity
+from tradewind.llm import chat_format, exact_dedup, language, near_dedup, packing, quality, secrets, toxicity
 from tradewind.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.chat_digests(chat_format.format_chat(turns.unionByName(chat_format.probe(spark))))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, folder, "documents"), words=2, percent=80)
+
+
 def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = secrets.scan_secrets(table(spark, folder, "documents"))
     return secrets.secret_digests(found)
@@ -42,7 +46,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_packing, op3_chat_formatting, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity)}
+        op1_packing, op3_chat_formatting, op4_minhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity)}
 
 
 def llm_oracles() -> dict[str, str]:

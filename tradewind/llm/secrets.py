@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import stored, texts
 
-LEDGER = "blob string, rule string, version int, spans array<struct<start:int,stop:int>>"
 SPANS = "array<struct<start:int,stop:int>>"
 
 
@@ -72,6 +71,10 @@ def spans_of(text: Column, rule: Rule) -> Column:
     return F.when(text.rlike(_can_match(rule)), walked).otherwise(F.array().cast(SPANS))
 
 
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    return spark.range(0).selectExpr("cast(id as string) blob", "cast(id as string) rule", "cast(id as int) version", f"cast(array() as {SPANS}) spans")
+
+
 def paths_of(docs: DataFrame) -> DataFrame:
     """``doc_id, blob`` for every version of every document."""
     return texts(docs).select("doc_id", F.sha2("text", 256).alias("blob"))
@@ -97,7 +100,7 @@ def scan_unseen(docs: DataFrame, paths: DataFrame, ledger: DataFrame, rules: tup
 
 def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """``doc_id, blob, findings`` for every path, and the ledger with what was scanned now."""
-    past = docs.sparkSession.createDataFrame([], LEDGER) if ledger is None else ledger
+    past = empty_ledger(docs.sparkSession) if ledger is None else ledger
     paths = stored(paths_of(docs), "secret-paths")
     now = past.unionByName(stored(scan_unseen(docs, paths, past, rules), "secret-ledger"))
     current = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
