@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +165,10 @@ class Model:
         self.words, self.features = words, features
         self.weights, self.bias = np.zeros(len(features)), -30.0
 
+    def score(self, found: list[int]) -> float:
+        z = self.bias + float(self.weights[found].sum())
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
     def workers(self) -> tuple[Decoder, Scorer]:
         return Decoder(CharModel(self.words)), Scorer(self.features)
 
@@ -213,16 +218,26 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(batch: pa.RecordBatch, workers: tuple[Decoder, Scorer]) -> pa.RecordBatch:
         decoder, scorer = workers
-        scores = []
-        for text in batch.column(1).to_pylist():
-            z = model.bias + float(model.weights[scorer.of(decoder.words(text))].sum())
-            scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+        scores = [model.score(scorer.of(decoder.words(text))) for text in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return by_batch(texts(docs), "doc_id long, score double", work, model.workers)
 
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose text scores below the threshold; nothing is shuffled."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder, scorer = model.workers()
+        for batch in batches:
+            clean = [model.score(scorer.of(decoder.words(t or ""))) < threshold for t in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def restore_texts(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, restored``: the decoded words of every text, separated by single spaces."""
 
