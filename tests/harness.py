@@ -59,7 +59,7 @@ def compare(spark, connection, folder, query, sql) -> tuple[bool, str]:
 
 
 PAIRS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-         "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 if __name__ == "__main__":
