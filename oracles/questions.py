@@ -182,8 +182,9 @@ def questions() -> dict[str, str]:
             from customer_h
             where left(c_phone, 2) in ('13', '31', '23', '29', '30', '18', '17')
               and c_acctbal * (select count(*) from rich) > (select sum(c_acctbal) from rich)
-              and not exists (select 1 from orders_m where o_custkey = c_custkey)
-            group by 1 order by 1""", "customer_h", "orders_h", "orders_m", extra="""
+              and not exists (select 1 from orders where o_custkey = c_custkey
+                              and o_orderdate >= date '2001-01-01')
+            group by 1 order by 1""", "customer_h", extra="""
             rich as (select c_acctbal from customer_h where c_acctbal > 0
                      and left(c_phone, 2) in ('13', '31', '23', '29', '30', '18', '17'))"""),
         "q08a_market_share": market_share(),
@@ -229,10 +230,10 @@ def customer_distribution(name: str) -> str:
     return with_views(f"""
         select n as {name}, count(*) as custdist
         from (select c_custkey, count(o_orderkey) as n
-              from customer left join orders_m
+              from customer left join orders_h
                 on c_custkey = o_custkey and o_comment not like '%special%requests%'
               group by c_custkey) counts
-        group by n order by custdist desc, n desc""", "orders_h", "orders_m")
+        group by n order by custdist desc, n desc""", "orders_h")
 
 
 def promotion_effect() -> str:

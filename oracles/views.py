@@ -1,6 +1,6 @@
 """The typed, filled-in tables as common table expressions over the raw ones.
 
-The rules are the same integer arithmetic as in ``tradewind.sources.tables``,
+The rules are the same integer arithmetic as in ``tradewind.sources.filled``,
 written a second time for the other engine; money becomes DECIMAL(12,2) here.
 """
 
@@ -76,9 +76,6 @@ VIEWS = {
                     {pick('packages|requests|accounts|deposits', '(o_orderkey + o_custkey) % 4')},
                     ' sleep') as o_comment
       from orders""",
-    # A third of all customers never order: the rule of the generated data, which the
-    # customer questions need and the plain tables do not follow.
-    "orders_m": "select * from orders_h where o_custkey % 3 <> 0",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradewind.plans import params
 from tradewind.plans.queries import QUERIES, months_after
 from tradewind.plans.variants import BASE_OF, VARIANTS
+from tradewind.sources.filled import FilledCatalog
 from tradewind.sources.tables import Catalog
 
 
@@ -34,7 +35,7 @@ def test_variants_equal_their_base(spark, generated, name):
 def test_random_parameters_fit_the_question(spark, small, name):
     values = params.draw(name, random.Random(7), 0.01)
     assert set(values) == set(params.DEFAULTS[name])
-    QUERIES[name](Catalog(spark, small), **values).schema
+    QUERIES[name](FilledCatalog(spark, small), **values).schema
 
 
 def test_stock_fraction_shrinks_with_scale():
@@ -47,14 +48,14 @@ def test_months_after_crosses_years():
 
 
 def test_no_qualifying_line_gives_one_null(spark, small):
-    catalog = Catalog(spark, small)
+    catalog = FilledCatalog(spark, small)
     nothing = {"start": date(1950, 1, 1), "discount": Decimal("0.06"), "quantity": 24}
     assert rows(QUERIES["q06"](catalog, **nothing)) == [(None,)]
     assert rows(QUERIES["q14"](catalog, start=date(1950, 1, 1))) == [(None,)]
 
 
 def test_top_supplier_keeps_ties(spark, small):
-    catalog = Catalog(spark, small)
+    catalog = FilledCatalog(spark, small)
     line = catalog.lineitem.limit(1).withColumn("l_shipdate", F.lit(date(1996, 2, 1)))
     twice = line.withColumn("l_suppkey", F.lit(1).cast("bigint")).unionByName(
         line.withColumn("l_suppkey", F.lit(3).cast("bigint")))
@@ -63,7 +64,7 @@ def test_top_supplier_keeps_ties(spark, small):
 
 
 def test_null_among_blamed_suppliers_rejects_all(spark, small):
-    catalog = Catalog(spark, small)
+    catalog = FilledCatalog(spark, small)
     unknown = catalog.supplier.limit(1).withColumns({
         "s_suppkey": F.lit(None).cast("bigint"), "s_comment": F.lit("Customer Complaints")})
     values = params.TEST_VALUES["q16"]
@@ -73,7 +74,7 @@ def test_null_among_blamed_suppliers_rejects_all(spark, small):
 
 
 def test_ties_at_the_cut_follow_the_key(spark, small):
-    catalog = Catalog(spark, small)
+    catalog = FilledCatalog(spark, small)
     same = catalog.lineitem.withColumns({
         "l_extendedprice": F.lit(100.0), "l_discount": F.lit(0.0)}).dropDuplicates(["l_orderkey"])
     got = rows(QUERIES["q03"](catalog.with_tables(lineitem=same), **params.TEST_VALUES["q03"]))
@@ -84,7 +85,7 @@ def test_ties_at_the_cut_follow_the_key(spark, small):
 def test_money_is_whole_cents(spark, small):
     """Cents by ``rint`` agree with the decimal reading of every stored amount."""
     from tradewind.functions.money import cents
-    lines = Catalog(spark, small).lineitem
+    lines = FilledCatalog(spark, small).lineitem
     for name in ("l_extendedprice", "l_discount", "l_tax", "l_quantity"):
         exact = (F.col(name).cast("decimal(12,2)") * 100).cast("bigint")
         assert lines.filter(exact != F.expr(cents(name))).count() == 0

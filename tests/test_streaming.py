@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators import refresh, warehouse
@@ -24,16 +25,29 @@ def test_steps_arrive_one_after_another(spark, tmp_path):
         assert stored.count() == total and stored.agg(F.max("step")).first()[0] == step
 
 
-def test_redelivered_set_counts_once(spark, tmp_path):
+# (set, delivery, part or None for the whole) as they land before each trigger; an empty trigger is a restart.
+DELIVERIES = {
+    "again later": [[(1, 1, None)], [(2, 1, None)], [(1, 2, None)]],
+    "twice before one trigger": [[(1, 1, None), (1, 2, None), (2, 1, None)]],
+    "in two parts": [[(1, 1, 0), (2, 1, None)], [(1, 1, 1)]],
+    "parts and copies with restarts": [[(1, 1, 0), (1, 2, 0)], [], [(1, 2, 1), (2, 1, None)], [(1, 1, 1)], []],
+}
+
+
+@pytest.mark.parametrize("landed", list(DELIVERIES))
+def test_a_set_counts_once_and_whole(spark, tmp_path, landed):
     generator = Generator(spark, 0.01)
     base = Catalog(spark, "").with_tables(orders=generator.orders(), lineitem=generator.lineitem())
     landing, store, state = (str(tmp_path / n) for n in ("landing", "store", "state"))
-    for number in (1, 2, 1):
-        rows = generator.refresh_rows(number)
-        for name, made in (("orders", generator.orders(rows)), ("lineitem", generator.lineitem(rows)),
-                           ("deletes", generator.deleted_keys(number).toDF("key"))):
-            (made.withColumn("refresh", F.lit(number)).write.mode("append")
-             .partitionBy("refresh").parquet(f"{landing}/{name}"))
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey", "deletes": "key"}
+    for trigger in DELIVERIES[landed]:
+        for number, delivery, half in trigger:
+            rows = generator.refresh_rows(number)
+            for name, made in (("orders", generator.orders(rows)), ("lineitem", generator.lineitem(rows)),
+                               ("deletes", generator.deleted_keys(number).toDF("key"))):
+                own = F.lit(True) if half is None else F.hash(keys[name]) % 2 == F.lit(half) * F.sign(F.hash(keys[name]))
+                (made.filter(own).withColumns({"refresh": F.lit(number), "delivery": F.lit(delivery)})
+                 .write.mode("append").partitionBy("refresh", "delivery").parquet(f"{landing}/{name}"))
         for query in jobs.apply_refresh_sets(
                 spark, base.orders.schema, base.lineitem.schema, landing, store, state):
             query.awaitTermination()
@@ -72,6 +86,18 @@ def test_late_events_are_dropped(spark, tmp_path):
                    start + timedelta(minutes=31): 1}
 
 
+def test_open_windows_are_added_once(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("source", "target", "state"))
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(minutes=m), i) for i, m in enumerate([0, 0, 1, 30, 55, 60, 60])]
+    frame = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint")
+    frame.coalesce(1).write.parquet(source)
+    jobs.stream_throughput(spark, frame.schema, source, target, state, delay="10 minutes").awaitTermination()
+    got = jobs.all_windows(spark, frame.schema, source, target, delay="10 minutes").collect()
+    assert {r.window_start: r.queries for r in got} == {
+        start + timedelta(minutes=m): n for m, n in ((0, 2), (1, 1), (30, 1), (55, 1), (60, 2))} and len(got) == 5
+
+
 def test_report_interval():
     assert (jobs.report_seconds(5), jobs.report_seconds(90)) == (5, 60)
 

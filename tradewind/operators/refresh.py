@@ -1,8 +1,10 @@
 """Refresh sets: new orders with their lines, and keys of orders to delete.
 
-Sets are stored beside the base table, one partition per set, and merged when
-read.  Applying a set writes only that set: at any table size the cost is the
-size of the set, and writing a set again replaces it instead of doubling it.
+Sets are stored beside the base table, one partition per set and delivery, and
+merged when read.  Applying a set writes only that set: at any table size the
+cost is the size of the set.  Of the deliveries of a set the one with the
+smallest number counts, with all its parts; that is read from the names of the
+partitions, so delivering or writing a set again neither loses nor doubles rows.
 """
 
 from __future__ import annotations
@@ -12,12 +14,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.operators.warehouse import numbered_steps
-from tradewind.sources.tables import Catalog, exists
+from tradewind.operators.warehouse import boundary_keys, run_of
+from tradewind.sources.tables import Catalog, stored
 
 col, lit = F.col, F.lit
 
 KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+PARTITIONS = ("refresh", "delivery", "batch")
 
 
 def insert_orders(base: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -43,8 +46,18 @@ def write_delete_set(spark: SparkSession, folder: str, number: int, keys: DataFr
 
 
 def _write_set(rows: DataFrame, path: str, number: int) -> None:
-    (rows.withColumn("refresh", lit(number)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("refresh").parquet(path))
+    (rows.withColumns({"refresh": lit(number), "delivery": lit(1), "batch": lit(0).cast("bigint")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITIONS).parquet(path))
+
+
+def _counting(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
+    """The stored rows of the first delivery of every set."""
+    rows = stored(spark, folder, name)
+    if rows is None:
+        return None
+    firsts = rows.groupBy(col("refresh").alias("_set")).agg(F.min("delivery").alias("_first"))
+    return rows.join(firsts, (col("refresh") == col("_set")) & (col("delivery") == col("_first")), "left_semi")
 
 
 def refreshed(base: Catalog, folder: str, name: str) -> DataFrame:
@@ -54,12 +67,11 @@ def refreshed(base: Catalog, folder: str, name: str) -> DataFrame:
     """
     spark, key = base.spark, KEYS[name]
     rows = getattr(base, name).withColumn("refresh", lit(0))
-    if exists(spark, folder, f"{name}_inserts"):
-        fresh = spark.read.parquet(os.path.join(folder, f"{name}_inserts"))
+    fresh, deletes = _counting(spark, folder, f"{name}_inserts"), _counting(spark, folder, "deletes")
+    if fresh is not None:
         rows = rows.unionByName(fresh.select(*rows.columns))
-    if exists(spark, folder, "deletes"):
-        last = (spark.read.parquet(os.path.join(folder, "deletes"))
-                .groupBy(col("key").alias("_gone")).agg(F.max("refresh").alias("_last")))
+    if deletes is not None:
+        last = deletes.groupBy(col("key").alias("_gone")).agg(F.max("refresh").alias("_last"))
         rows = rows.join(last, (col(key) == col("_gone")) & (col("refresh") <= col("_last")),
                          "left_anti")
     return rows.drop("refresh")
@@ -68,8 +80,6 @@ def refreshed(base: Catalog, folder: str, name: str) -> DataFrame:
 def segments(rows: DataFrame, key: str, count: int) -> DataFrame:
     """Add ``segment`` 1..count: equal runs of keys, so an order stays with its lines.
 
-    The runs come from the position of each distinct key, found block by block.
+    The first keys of the runs are found among the distinct keys; each row then compares its own.
     """
-    keys = rows.select(key).distinct()
-    placed = numbered_steps(keys, key, count).withColumnRenamed("step", "segment")
-    return rows.join(placed, key)
+    return rows.withColumn("segment", run_of(key, boundary_keys(rows.select(key).distinct(), key, count)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators import quality
@@ -49,13 +49,25 @@ def load_step(generator, folder: str) -> None:
         append_step(generator.table(name), folder, name, generator.step)
 
 
+def boundary_keys(keys: DataFrame, key: str, runs: int) -> list[int]:
+    """First keys of runs 2 to ``runs`` of unique keys: equal runs in key order, the last takes the remainder.
+
+    Only keys move, once and to their block of ids; ``runs - 1`` numbers reach the driver.
+    """
+    numbered = row_numbers(keys.select(key).withColumn("_block", id_block(key)), [], "_block", key, "_row")
+    size = max(1, keys.count() // runs)
+    starts = numbered.filter(((col("_row") - 1) % size == 0) & col("_row").between(size + 1, size * (runs - 1) + 1))
+    return [row[0] for row in starts.select(key).orderBy(key).collect()]
+
+
+def run_of(key: str, boundaries: list[int]) -> Column:
+    """Number of the run that a key lies in, found by comparison in the map task."""
+    return F.lit(1) + sum([(col(key) >= first).cast("int") for first in boundaries], F.lit(0))
+
+
 def numbered_steps(frame: DataFrame, key: str, children: int) -> DataFrame:
     """Add ``step``: equal runs of rows in key order, the last takes the remainder."""
-    numbered = row_numbers(frame.withColumn("_block", id_block(key)), [], "_block", key, "_row")
-    size = F.greatest(
-        F.floor(frame.agg(F.count("*").alias("n")).scalar() / F.lit(children)), F.lit(1))
-    step = F.least(F.floor((col("_row") - 1) / size) + 1, F.lit(children)).cast("int")
-    return numbered.withColumn("step", step).drop("_block", "_row")
+    return frame.withColumn("step", run_of(key, boundary_keys(frame, key, children)))
 
 
 # -- databases --------------------------------------------------------------
@@ -130,24 +142,26 @@ def write_clustered(frame: DataFrame, folder: str, name: str, partitions: int |
     return path
 
 
-def hottest_share(frame: DataFrame, key: str) -> float:
-    """Largest share of rows that one key value has."""
+def hottest_share(frame: DataFrame, key: str) -> DataFrame:
+    """One row: the rows, and the largest number and share of them that one key value has.
+
+    A bucket is read by one task; ask this before choosing keys and buckets of a table with uneven keys.
+    """
     counts = frame.groupBy(key).agg(F.count("*").alias("n"))
-    top, total = counts.agg(F.max("n"), F.sum("n")).first()
-    return (top or 0) / total if total else 0.0
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.max("n").alias("hottest"),
+                      F.try_divide(F.max("n"), F.sum("n")).alias("share"))
+
+
+def buckets_for(data_bytes: int, bucket_bytes: int = 256 << 20) -> int:
+    """Number of buckets that keeps a bucket of evenly spread keys near ``bucket_bytes``."""
+    return max(1, -(-data_bytes // bucket_bytes))
 
 
-def write_bucketed(frame: DataFrame, table: str, key: str, path: str, buckets: int) -> bool:
-    """Bucket a table on its join key, so joins of bucketed tables need no shuffle.
+def write_bucketed(frame: DataFrame, table: str, keys: str | list[str], path: str, buckets: int) -> None:
+    """Bucket a table on its join keys, so joins of tables bucketed alike need no shuffle.
 
-    A bucket is read by one task.  If one key alone would overfill a bucket the
-    table is written unbucketed, and joins shuffle it and split the hot key.
+    A second key splits the rows of a hot first one; both tables of a join need the same keys.
     """
-    balanced = hottest_share(frame, key) * buckets <= 2.0
-    writer = frame.write.mode("overwrite").option("path", path)
-    if balanced:
-        frame = frame.repartition(buckets, key)
-        writer = (frame.write.mode("overwrite").option("path", path)
-                  .bucketBy(buckets, key).sortBy(key))
-    writer.saveAsTable(table)
-    return balanced
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    (frame.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))

@@ -89,8 +89,9 @@ def q02(c: Catalog, size: int, metal: str, region: str) -> DataFrame:
         _meet(c.partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost"), parts,
               "ps_partkey = p_partkey", "left_semi"),
         suppliers.select("s_suppkey"), "ps_suppkey = s_suppkey", "left_semi")
-    cheapest = offers.groupBy(col("ps_partkey").alias("k")).agg(expr("min(ps_supplycost) as low"))
-    winners = _meet(offers, cheapest, "ps_partkey = k and ps_supplycost = low")
+    # A part has at most one offer per supplier of the region.
+    low = expr("min(ps_supplycost) over (partition by ps_partkey)")
+    winners = offers.withColumn("low", low).filter("ps_supplycost = low")
     return (
         _meet(_meet(winners, parts, "ps_partkey = p_partkey"), suppliers,
               "ps_suppkey = s_suppkey")
@@ -325,8 +326,8 @@ def q14(c: Catalog, start: date) -> DataFrame:
 
 
 def supplier_revenue(c: Catalog, start: date) -> DataFrame:
-    """Revenue per supplier over three months."""
-    return (c.lineitem.filter(_within("l_shipdate", start, 3))
+    """Revenue per supplier over three months; the null filter makes all its uses one exchange."""
+    return (c.lineitem.filter(_within("l_shipdate", start, 3)).filter("l_suppkey is not null")
             .groupBy(col("l_suppkey").alias("supplier_no")).agg(_total(REVENUE, "units")))
 
 
@@ -359,16 +360,15 @@ def q16(c: Catalog, brand: str, ptype: str, sizes: tuple[int, ...]) -> DataFrame
 def q17(c: Catalog, brand: str, container: str) -> DataFrame:
     """Yearly revenue of orders far below a part's average quantity."""
     parts = c.part.filter((col("p_brand") == brand) & (col("p_container") == container))
-    # One row per part and distinct quantity serves both the average and the sum.
+    # Lines are counted per part and quantity before they meet the parts, so a hot part has one row per quantity.
     by_quantity = (
-        _meet(c.lineitem.selectExpr("l_partkey", f"{cents('l_quantity')} as q",
-                                    f"{cents('l_extendedprice')} as p"),
-              parts, "l_partkey = p_partkey", "left_semi")
+        c.lineitem.selectExpr("l_partkey", f"{cents('l_quantity')} as q", f"{cents('l_extendedprice')} as p")
         .groupBy("l_partkey", "q").agg(expr("count(*) as n"), _total("p", "price")))
-    averages = by_quantity.groupBy(col("l_partkey").alias("k")).agg(
-        expr("sum(n) as lines"), expr("sum(q * n) as total"))
+    chosen = _meet(by_quantity, parts, "l_partkey = p_partkey", "left_semi")
     return (
-        _meet(by_quantity, averages, "l_partkey = k").filter("q * 5 * lines < total")
+        chosen.withColumns({"lines": expr("sum(n) over (partition by l_partkey)"),
+                            "total": expr("sum(q * n) over (partition by l_partkey)")})
+        .filter("q * 5 * lines < total")
         .agg(expr(f"{money('sum(price)', 2)} / 7D as avg_yearly")))
 
 
@@ -417,10 +417,10 @@ def q19(c: Catalog, brands: tuple[str, ...], quantities: tuple[int, ...]) -> Dat
 def q20(c: Catalog, word: str, start: date, nation: str) -> DataFrame:
     """Suppliers of a nation with excess stock of parts named by a prefix."""
     parts = c.part.filter(col("p_name").startswith(word)).select("p_partkey")
+    # Summed per offer before any join: a hot part is one row per supplier.
     shipped = (
-        _meet(c.lineitem.filter(_within("l_shipdate", start, 12))
-              .selectExpr("l_partkey", "l_suppkey", f"{cents('l_quantity')} as amount"),
-              parts, "l_partkey = p_partkey", "left_semi")
+        c.lineitem.filter(_within("l_shipdate", start, 12))
+        .selectExpr("l_partkey", "l_suppkey", f"{cents('l_quantity')} as amount")
         .groupBy("l_partkey", "l_suppkey").agg(expr("sum(amount) as q")))
     stock = _meet(c.partsupp.select("ps_partkey", "ps_suppkey", "ps_availqty"), parts,
                   "ps_partkey = p_partkey", "left_semi")
@@ -455,8 +455,12 @@ def q21(c: Catalog, nation: str) -> DataFrame:
         .orderBy(col("numwait").desc(), "s_name").limit(100))
 
 
-def q22(c: Catalog, codes: tuple[str, ...]) -> DataFrame:
-    """Well-funded customers without orders, per country code."""
+def q22(c: Catalog, codes: tuple[str, ...], since: date | None = None) -> DataFrame:
+    """Well-funded customers without orders, per country code.
+
+    With ``since``, orders before that day do not count; by default any order counts.
+    """
+    orders = c.orders if since is None else c.orders.filter(f"o_orderdate >= {_day(since)}")
     people = (
         c.customer.selectExpr("c_custkey", "substring(c_phone, 1, 2) as cntrycode",
                               f"{cents('c_acctbal')} as bal")
@@ -465,7 +469,7 @@ def q22(c: Catalog, codes: tuple[str, ...]) -> DataFrame:
     average = people.filter("bal > 0").agg(
         expr("sum(bal) div nullif(count(*), 0) as average")).scalar()
     return (
-        _meet(people.filter(col("bal") > average), c.orders.select("o_custkey").distinct(),
+        _meet(people.filter(col("bal") > average), orders.select("o_custkey").distinct(),
               "c_custkey = o_custkey", "left_anti")
         .groupBy("cntrycode")
         .agg(expr("count(*) as numcust"), expr(f"{money('sum(bal)', 2)} as totacctbal"))

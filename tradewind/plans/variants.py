@@ -52,7 +52,7 @@ TOP_SUPPLIER = """
              sum(cast(l_extendedprice as decimal(12, 2))
                  * (1 - cast(l_discount as decimal(12, 2)))) as total
       from {lineitem}
-      where l_shipdate >= :first and l_shipdate < :after
+      where l_shipdate >= :first and l_shipdate < :after and l_suppkey is not null
       group by l_suppkey
     )
     select s_suppkey, s_name, s_address, s_phone, cast(total as double) as total_revenue

@@ -15,7 +15,8 @@ from tradewind.plans.queries import QUERIES
 from tradewind.plans.variants import BASE_OF, VARIANTS
 from tradewind.showcase import SHOWCASE
 from tradewind.sources import tracking as TrackingSource
-from tradewind.sources.tables import Catalog, read_columns, shared_catalog
+from tradewind.sources.filled import filled_catalog
+from tradewind.sources.tables import Catalog, read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,30 +31,20 @@ TITLES = {
     "q22": "global_sales",
 }
 
-# The customer questions assume that a third of all customers never order.
-CUSTOMER_QUESTIONS = ("q13", "q22")
-
-
-def catalog_for(spark: SparkSession, folder: str, question: str) -> Catalog:
-    catalog = shared_catalog(spark, folder)
-    if question in CUSTOMER_QUESTIONS:
-        return catalog.with_tables(orders=catalog.orders.filter(F.col("o_custkey") % 3 != 0))
-    return catalog
-
 
 def _question(name: str) -> Query:
     return lambda spark, folder: QUERIES[name](
-        catalog_for(spark, folder, name), **TEST_VALUES[name])
+        filled_catalog(spark, folder), **TEST_VALUES[name])
 
 
 def _variant(name: str) -> Query:
     base = BASE_OF[name]
     return lambda spark, folder: VARIANTS[name](
-        catalog_for(spark, folder, base), **TEST_VALUES[base])
+        filled_catalog(spark, folder), **TEST_VALUES[base])
 
 
 def _check(function: Callable[[Catalog], DataFrame]) -> Query:
-    return lambda spark, folder: function(shared_catalog(spark, folder))
+    return lambda spark, folder: function(filled_catalog(spark, folder))
 
 
 CHECKS = {

@@ -26,7 +26,8 @@ from tradewind.session import scratch
 from tradewind.sources import flatfile
 from tradewind.sources import tracking as TrackingSource
 from tradewind.sources.generate import Generator, part_name
-from tradewind.sources.tables import Catalog, read_columns, shared_catalog
+from tradewind.sources.filled import filled_catalog
+from tradewind.sources.tables import Catalog, read_columns
 from tradewind.streaming import jobs
 
 col, lit = F.col, F.lit
@@ -35,7 +36,7 @@ col, lit = F.col, F.lit
 # -- scans and files --------------------------------------------------------
 
 def scan(name: str):
-    return lambda spark, folder: getattr(shared_catalog(spark, folder), name)
+    return lambda spark, folder: getattr(filled_catalog(spark, folder), name)
 
 
 def _lines_summary(lines: DataFrame) -> DataFrame:
@@ -49,12 +50,12 @@ def _lines_summary(lines: DataFrame) -> DataFrame:
 
 
 def pipe_files(spark: SparkSession, folder: str) -> DataFrame:
-    path = flatfile.write_pipe(shared_catalog(spark, folder).lineitem, scratch(spark, "pipe"), "lineitem")
+    path = flatfile.write_pipe(filled_catalog(spark, folder).lineitem, scratch(spark, "pipe"), "lineitem")
     return _lines_summary(flatfile.read_pipe(spark, path, "lineitem"))
 
 
 def tab_files(spark: SparkSession, folder: str) -> DataFrame:
-    path = flatfile.write_tabs(shared_catalog(spark, folder).lineitem, scratch(spark, "tabs"), "lineitem")
+    path = flatfile.write_tabs(filled_catalog(spark, folder).lineitem, scratch(spark, "tabs"), "lineitem")
     return _lines_summary(flatfile.read_tabs(spark, path, "lineitem")
                           .withColumn("l_comment", F.coalesce("l_comment", lit(""))))
 
@@ -81,9 +82,9 @@ def _step_report(rows: DataFrame) -> DataFrame:
 
 def steps_appended(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "steps")
-    stepped = warehouse.numbered_steps(shared_catalog(spark, folder).orders, "o_orderkey", 4)
-    (stepped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("step").parquet(os.path.join(path, "orders")))
+    stepped = warehouse.numbered_steps(filled_catalog(spark, folder).orders, "o_orderkey", 4)
+    for step in (1, 2, 3, 4, 2):  # the second step is loaded again
+        warehouse.append_step(stepped.filter(col("step") == step).drop("step"), path, "orders", step)
     return _step_report(spark.read.parquet(os.path.join(path, "orders")))
 
 
@@ -96,14 +97,14 @@ def _database(spark: SparkSession, label: str) -> tuple[str, str]:
 
 def loaded_tables(spark: SparkSession, folder: str) -> DataFrame:
     name, path = _database(spark, "loaded")
-    reports = warehouse.initial_load(shared_catalog(spark, folder), name, path)
+    reports = warehouse.initial_load(filled_catalog(spark, folder), name, path)
     return reports["cardinalities"]
 
 
 def dropped_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Tables before and after dropping them."""
     name, path = _database(spark, "dropped")
-    warehouse.create_tables(shared_catalog(spark, folder), name, path)
+    warehouse.create_tables(filled_catalog(spark, folder), name, path)
     count = lambda: spark.sql(f"SHOW TABLES IN {name}").count()
     before = count()
     warehouse.drop_tables(spark, name)
@@ -113,7 +114,7 @@ def dropped_tables(spark: SparkSession, folder: str) -> DataFrame:
 def analyzed_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts as the statistics report them."""
     name, path = _database(spark, "analyzed")
-    warehouse.create_tables(shared_catalog(spark, folder), name, path)
+    warehouse.create_tables(filled_catalog(spark, folder), name, path)
     warehouse.analyze_tables(spark, name)
     described = [
         spark.sql(f"DESCRIBE TABLE EXTENDED {name}.{t}").filter(col("col_name") == "Statistics")
@@ -127,7 +128,7 @@ def analyzed_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 def cached_tables(spark: SparkSession, folder: str) -> DataFrame:
     name, path = _database(spark, "cached")
-    warehouse.create_tables(shared_catalog(spark, folder), name, path)
+    warehouse.create_tables(filled_catalog(spark, folder), name, path)
     warehouse.warm_cache(spark, name)
     return quality.cardinalities(warehouse.Database(spark, name))
 
@@ -135,7 +136,7 @@ def cached_tables(spark: SparkSession, folder: str) -> DataFrame:
 def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
     """Lines per ship year and flag, read from a year-partitioned, sorted copy."""
     path = warehouse.write_clustered(
-        shared_catalog(spark, folder).lineitem, scratch(spark, "layout"), "lineitem")
+        filled_catalog(spark, folder).lineitem, scratch(spark, "layout"), "lineitem")
     return (spark.read.parquet(path).groupBy("year", "l_linestatus")
             .agg(F.count("*").alias("rows"),
                  F.expr(money(exact_sum(REVENUE), 4)).alias("revenue")))
@@ -144,7 +145,7 @@ def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
 def colocated_join(spark: SparkSession, folder: str, buckets: int = 16) -> DataFrame:
     """Revenue per order priority, from orders and lines bucketed on the order key."""
     name, path = _database(spark, "bucketed")
-    catalog = shared_catalog(spark, folder)
+    catalog = filled_catalog(spark, folder)
     for table in ("orders", "lineitem"):
         warehouse.write_bucketed(
             getattr(catalog, table), f"{name}.{table}", warehouse.BUCKET_KEYS[table],
@@ -161,7 +162,7 @@ def colocated_join(spark: SparkSession, folder: str, buckets: int = 16) -> DataF
 
 def not_in_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
     """NOT IN against a clean list, a list with a null, and an empty list."""
-    catalog = shared_catalog(spark, folder)
+    catalog = filled_catalog(spark, folder)
     orders = catalog.orders.select("o_orderkey", "o_custkey")
     buyers = catalog.customer.filter(col("c_mktsegment") == "BUILDING").select("c_custkey")
     holed = buyers.select(F.when(col("c_custkey") > 0, col("c_custkey")).alias("c_custkey"))
@@ -216,7 +217,7 @@ def _status_report(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def insert_set(spark: SparkSession, folder: str) -> DataFrame:
-    catalog = shared_catalog(spark, folder)
+    catalog = filled_catalog(spark, folder)
     _, orders, lines = _sets(catalog, 1)
     return _status_report(
         refresh.insert_orders(catalog.orders, orders.select(*catalog.orders.columns)),
@@ -224,7 +225,7 @@ def insert_set(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def delete_set(spark: SparkSession, folder: str) -> DataFrame:
-    catalog = shared_catalog(spark, folder)
+    catalog = filled_catalog(spark, folder)
     members, _, _ = _sets(catalog, 1)
     return _status_report(refresh.delete_orders(catalog.orders, members, "o_orderkey"),
                           refresh.delete_orders(catalog.lineitem, members, "l_orderkey"))
@@ -232,7 +233,7 @@ def delete_set(spark: SparkSession, folder: str) -> DataFrame:
 
 def segmented_set(spark: SparkSession, folder: str) -> DataFrame:
     """All orders as one set, cut into three segments together with their lines."""
-    lines = refresh.segments(shared_catalog(spark, folder).lineitem, "l_orderkey", 3)
+    lines = refresh.segments(filled_catalog(spark, folder).lineitem, "l_orderkey", 3)
     return lines.groupBy("segment").agg(
         F.count_distinct("l_orderkey").alias("orders"), F.count("*").alias("lines"),
         F.min("l_orderkey").alias("first_key"), F.max("l_orderkey").alias("last_key"))
@@ -240,7 +241,7 @@ def segmented_set(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Two stored sets merged with the base; set two is written twice."""
-    catalog, store = shared_catalog(spark, folder), scratch(spark, "refresh")
+    catalog, store = filled_catalog(spark, folder), scratch(spark, "refresh")
     members, orders, lines = _sets(catalog, 2)
     for number in (1, 2, 2):
         own = col("refresh") == number
@@ -255,7 +256,7 @@ def stored_sets(spark: SparkSession, folder: str) -> DataFrame:
 # -- streaming --------------------------------------------------------------
 
 def streamed_steps(spark: SparkSession, folder: str) -> DataFrame:
-    orders = shared_catalog(spark, folder).orders
+    orders = filled_catalog(spark, folder).orders
     landing, target, state = (scratch(spark, n) for n in ("landing", "ingested", "state"))
     (warehouse.numbered_steps(orders, "o_orderkey", 4)
      .write.partitionBy("step").parquet(landing))
@@ -264,16 +265,23 @@ def streamed_steps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streamed_sets(spark: SparkSession, folder: str) -> DataFrame:
-    """Two sets delivered by file, the second delivered again under another name."""
-    catalog = shared_catalog(spark, folder)
+    """Two sets delivered by file: the first in two parts over two triggers, the second twice before
+    one trigger and once more later."""
+    catalog = filled_catalog(spark, folder)
     landing, store, state = (scratch(spark, n) for n in ("sets", "store", "state"))
     members, orders, lines = _sets(catalog, 2)
     deletes = members.select(col("o_orderkey").alias("key"), "refresh")
     schemas = (catalog.orders.schema, catalog.lineitem.schema)
-    for chosen in (col("refresh") <= 2, col("refresh") == 2):
-        for name, rows in (("orders", orders), ("lineitem", lines), ("deletes", deletes)):
-            (rows.filter(chosen).write.mode("append").partitionBy("refresh")
-             .parquet(os.path.join(landing, name)))
+    triggers = (  # (set, delivery, part of it) as they land before each trigger
+        ((1, 1, 0), (2, 1, None), (2, 2, None)), ((1, 1, 1), (2, 3, None)))
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey", "deletes": "key"}
+    for landed in triggers:
+        for number, delivery, half in landed:
+            for name, rows in (("orders", orders), ("lineitem", lines), ("deletes", deletes)):
+                own = col("refresh") == number
+                own = own if half is None else own & (col(keys[name]) % 2 == half)
+                (rows.filter(own).withColumn("delivery", lit(delivery)).write.mode("append")
+                 .partitionBy("refresh", "delivery").parquet(os.path.join(landing, name)))
         for query in jobs.apply_refresh_sets(spark, *schemas, landing, store, state):
             query.awaitTermination()
     return _status_report(refresh.refreshed(catalog, store, "orders"),
@@ -281,21 +289,22 @@ def streamed_sets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streamed_throughput(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries per minute over all events: the windows written by the stream and the open ones at its end."""
     target, state = scratch(spark, "windows"), scratch(spark, "state")
     schema = read_columns(spark, folder, "events").schema
     jobs.stream_throughput(spark, schema, folder, target, state,
                            pattern="events.parquet").awaitTermination()
-    return spark.read.parquet(target).orderBy("window_start")
+    return jobs.all_windows(spark, schema, folder, target, pattern="events.parquet").orderBy("window_start")
 
 
 # -- sweeps -----------------------------------------------------------------
 
 def swept_q06(spark: SparkSession, folder: str) -> DataFrame:
-    return sweeps.sweep_q06(shared_catalog(spark, folder), sweeps.q06_parameters(spark))
+    return sweeps.sweep_q06(filled_catalog(spark, folder), sweeps.q06_parameters(spark))
 
 
 def swept_q14(spark: SparkSession, folder: str) -> DataFrame:
-    return sweeps.sweep_q14(shared_catalog(spark, folder), sweeps.q14_parameters(spark))
+    return sweeps.sweep_q14(filled_catalog(spark, folder), sweeps.q14_parameters(spark))
 
 
 # -- generation, driven by the keys of the given tables ---------------------

@@ -1,167 +1,73 @@
-"""Typed scans of the eight tables.
-
-A folder may hold the full model (as the generator writes it) or a narrower
-set of columns.  Columns the folder lacks are filled by fixed integer rules,
-so every query runs on either; a column that exists is never recomputed.
-"""
+"""Typed scans of the eight tables."""
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.schema import TABLES
 
-# Fixed values of the fill-in rules for folders without these columns.
-SHIP_INSTRUCTIONS = ["DELIVER IN PERSON", "COLLECT COD", "NONE", "TAKE BACK RETURN"]
-SHIP_MODES = ["REG AIR", "AIR", "RAIL", "TRUCK", "MAIL", "FOB", "SHIP"]
-FINISHES = ["ANODIZED", "BURNISHED", "PLATED", "POLISHED", "BRUSHED"]
-METALS = ["TIN", "NICKEL", "BRASS", "STEEL", "COPPER"]
-CONTAINER_SIZES = ["SM", "LG", "MED", "JUMBO", "WRAP"]
-CONTAINER_KINDS = ["CASE", "BOX", "BAG", "JAR", "PACK", "PKG", "CAN", "DRUM"]
-ORDER_WORDS = ["special", "pending", "unusual", "express", "regular", "even"]
-ORDER_NOUNS = ["packages", "requests", "accounts", "deposits"]
-
-
-def choose(values: list[str], index: str) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"array({listed})[cast({index} as int)]"
-
-
-def _phone(key: str, nation: str) -> str:
-    return (f"concat_ws('-', {nation} + 10, {key} % 900 + 100, {key} * 7 % 900 + 100,"
-            f" {key} * 13 % 9000 + 1000)")
-
-
-def _after_shipping(days: str) -> str:
-    return f"date_add(cast(l_shipdate as date), cast({days} as int))"
-
-
-_LINEITEM_RULES = {
-    "l_commitdate": _after_shipping("(l_orderkey*7 + l_partkey*3 + l_linenumber*13) % 61 - 30"),
-    "l_receiptdate": _after_shipping("(l_orderkey*11 + l_suppkey*5 + l_linenumber) % 30 + 1"),
-    "l_shipinstruct": choose(SHIP_INSTRUCTIONS, "(l_partkey + l_suppkey + l_linenumber) % 4"),
-    "l_shipmode": choose(SHIP_MODES, "(l_orderkey + l_partkey + l_linenumber) % 7"),
-    "l_comment": "''",
-}
-_PART_RULES = {
-    "p_mfgr": "concat('Manufacturer#', p_partkey % 5 + 1)",
-    "p_container": (f"concat_ws(' ', {choose(CONTAINER_SIZES, '(p_partkey + p_size) % 5')},"
-                    f" {choose(CONTAINER_KINDS, '(p_partkey*3 + p_size) % 8')})"),
-    "p_comment": "''",
-}
-# One-word types get a finish and a metal, as the questions look for those.
-_THREE_WORD_TYPE = (f"concat_ws(' ', p_type, {choose(FINISHES, 'p_partkey % 5')},"
-                    f" {choose(METALS, '(p_partkey*3 + p_size) % 5')})")
-_SUPPLIER_RULES = {
-    "s_address": "concat('addr ', s_suppkey * 37 % 1000)",
-    "s_phone": _phone("s_suppkey", "s_nationkey"),
-    "s_comment": ("case s_suppkey % 25 when 7 then 'slow Customer service Complaints'"
-                  " when 8 then 'good Customer service Recommends'"
-                  " else concat('quiet deposits ', s_suppkey % 11) end"),
-}
-_CUSTOMER_RULES = {
-    "c_address": "concat('addr ', c_custkey * 41 % 1000)",
-    "c_phone": _phone("c_custkey", "c_nationkey"),
-    "c_comment": "concat('final accounts ', c_custkey % 13)",
-}
-_ORDERS_RULES = {
-    "o_clerk": "concat('Clerk#', lpad(o_orderkey % 1000 + 1, 9, '0'))",
-    "o_shippriority": "0",
-    "o_comment": (f"concat_ws(' ', {choose(ORDER_WORDS, 'o_orderkey % 6')},"
-                  f" {choose(ORDER_NOUNS, '(o_orderkey + o_custkey) % 4')}, 'sleep')"),
-}
-_PARTSUPP_RULES = {"ps_comment": "''"}
-
-RULES = {
-    "region": {"r_comment": "null"}, "nation": {"n_comment": "null"},
-    "part": _PART_RULES, "supplier": _SUPPLIER_RULES, "partsupp": _PARTSUPP_RULES,
-    "customer": _CUSTOMER_RULES, "orders": _ORDERS_RULES, "lineitem": _LINEITEM_RULES,
-}
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
+    """``name.parquet`` or the ``name`` folder as it is stored, or None if neither is there or has files."""
+    for candidate in (f"{name}.parquet", name):
+        try:
+            return spark.read.parquet(os.path.join(folder, candidate))
+        except AnalysisException as problem:
+            if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return None
 
 
-def read_columns(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The stored columns of one table, from ``name.parquet`` or a ``name`` folder."""
-    return spark.read.parquet(_location(spark, folder, name))
+def exists(spark: SparkSession, folder: str, name: str) -> bool:
+    return stored(spark, folder, name) is not None
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One table with the declared columns, in order and typed."""
-    if name == "partsupp" and not exists(spark, folder, name):
-        return conform(derive_partsupp(read_columns(spark, folder, "lineitem")), name)
-    return conform(read_columns(spark, folder, name), name)
+def read_columns(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The stored columns of one table."""
+    frame = stored(spark, folder, name)
+    if frame is None:
+        raise FileNotFoundError(f"no {name} below {folder}")
+    return frame
 
 
-def conform(stored: DataFrame, name: str) -> DataFrame:
-    """Add missing columns by rule and cast to the declared types."""
-    present = dict(stored.dtypes)
-    rules = dict(RULES[name])
-    if name == "part" and "p_container" not in present:
-        present.pop("p_type")
-        rules["p_type"] = _THREE_WORD_TYPE
-    columns = []
+def conform(frame: DataFrame, name: str, rules: dict[str, str] | None = None) -> DataFrame:
+    """The declared columns in order and typed; a column that is not stored needs a rule."""
+    present, columns = dict(frame.dtypes), []
     for c in TABLES[name].columns:
         wanted = c.dtype.simpleString()
-        value = c.name if c.name in present else rules[c.name]
-        columns.append(c.name if present.get(c.name) == wanted
+        value = (rules or {}).get(c.name) if c.name not in present else c.name
+        if value is None:
+            raise ValueError(f"table {name} has no column {c.name}")
+        columns.append(c.name if present.get(c.name) == wanted and value == c.name
                        else f"cast({value} as {wanted}) as {c.name}")
-    return stored.selectExpr(*columns)
-
-
-def derive_partsupp(lineitem: DataFrame) -> DataFrame:
-    """The (part, supplier) pairs that lines refer to, with stock and cost."""
-    pairs = lineitem.selectExpr("l_partkey as ps_partkey", "l_suppkey as ps_suppkey").distinct()
-    return pairs.selectExpr(
-        "ps_partkey", "ps_suppkey",
-        "(ps_partkey * 31 + ps_suppkey * 17) % 9999 + 1 as ps_availqty",
-        "((ps_partkey * 7919 + ps_suppkey * 104729) % 99901 + 100) / 100D as ps_supplycost")
-
-
-def exists(spark: SparkSession, folder: str, name: str) -> bool:
-    return _location(spark, folder, name, required=False) is not None
-
-
-def _location(spark: SparkSession, folder: str, name: str, required: bool = True) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for candidate in (f"{name}.parquet", name):
-        path = jvm.org.apache.hadoop.fs.Path(os.path.join(folder, candidate))
-        if path.getFileSystem(conf).exists(path):
-            return path.toString()
-    if required:
-        raise FileNotFoundError(f"no {name} below {folder}")
-    return None
+    return frame.selectExpr(*columns)
 
 
 class Catalog:
-    """Lazy access to one folder's tables: ``catalog.orders`` is a DataFrame."""
+    """Lazy access to one folder's tables: ``catalog.orders`` is a DataFrame.
+
+    A catalog lists a table's files when it is first asked for it; a new catalog sees what was added since.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
         self._frames: dict[str, DataFrame] = {}
 
+    def load(self, name: str) -> DataFrame:
+        return conform(read_columns(self.spark, self.folder, name), name)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
         if name not in self._frames:
-            self._frames[name] = load(self.spark, self.folder, name)
+            self._frames[name] = self.load(name)
         return self._frames[name]
 
     def with_tables(self, **frames: DataFrame) -> "Catalog":
-        other = Catalog(self.spark, self.folder)
+        other = type(self)(self.spark, self.folder)
         other._frames = {**self._frames, **frames}
         return other
-
-
-# Table definitions (schemas and file lists, no rows) are kept for the session, so
-# that a query over known tables starts without looking at the files again.
-_CATALOGS: dict[tuple[str, str], Catalog] = {}
-
-
-def shared_catalog(spark: SparkSession, folder: str) -> Catalog:
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _CATALOGS:
-        _CATALOGS[key] = Catalog(spark, folder)
-    return _CATALOGS[key]

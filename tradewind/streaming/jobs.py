@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tradewind.sources.tables import exists
+from tradewind.operators.refresh import PARTITIONS
+from tradewind.sources.tables import stored
 
 col = F.col
 
@@ -40,38 +41,33 @@ def apply_refresh_sets(spark: SparkSession, orders: T.StructType, lineitem: T.St
                        landing: str, store: str, checkpoint: str) -> list[StreamingQuery]:
     """Copy arriving refresh sets into the store that ``refreshed`` merges.
 
-    Files land below ``orders/refresh=<u>``, ``lineitem/refresh=<u>`` and
-    ``deletes/refresh=<u>``; a set arrives whole.  A batch that runs twice
-    writes the same partitions twice, and a set that an earlier batch stored is
-    skipped, so a set counts once however often it is delivered.
+    Files land below ``orders/refresh=<u>/delivery=<d>``, and so for ``lineitem``
+    and ``deletes``; a delivery may come in parts.  Every part is stored under
+    the numbers of its set, delivery and batch, so a batch that runs twice
+    replaces its own partitions.  ``refreshed`` counts the first delivery of a
+    set with all its parts and leaves the others out.
     """
-    number = T.StructField("refresh", T.IntegerType())
+    numbers = [T.StructField("refresh", T.IntegerType()), T.StructField("delivery", T.IntegerType())]
     inputs = {
         "orders": (orders, "orders_inserts"), "lineitem": (lineitem, "lineitem_inserts"),
         "deletes": (T.StructType([T.StructField("key", T.LongType())]), "deletes")}
     queries = []
     for name, (schema, target) in inputs.items():
-        arriving = _source(spark, T.StructType([*schema.fields, number]),
+        arriving = _source(spark, T.StructType([*schema.fields, *numbers]),
                            os.path.join(landing, name))
         queries.append(
-            arriving.writeStream.foreachBatch(_store_once(store, target))
+            arriving.writeStream.foreachBatch(_store(store, target))
             .option("checkpointLocation", os.path.join(checkpoint, name))
             .trigger(availableNow=True).start())
     return queries
 
 
-def _store_once(store: str, target: str):
+def _store(store: str, target: str):
     path = os.path.join(store, target)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch
-        if exists(batch.sparkSession, store, target):
-            stored = (batch.sparkSession.read.parquet(path)
-                      .filter(col("batch") != batch_id).select("refresh").distinct())
-            fresh = batch.join(stored, "refresh", "left_anti")
-        (fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("refresh", "batch").parquet(path))
+        (batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
 
     return write
 
@@ -100,8 +96,24 @@ def throughput_windows(events: DataFrame, seconds: int = 60, delay: str = "1 hou
 def stream_throughput(spark: SparkSession, schema: T.StructType, source: str, target: str,
                       checkpoint: str, seconds: int = 60, delay: str = "1 hour",
                       pattern: str = "*.parquet") -> StreamingQuery:
+    """Write the windows that the watermark has passed; ``all_windows`` adds the open ones."""
     arriving = _source(spark, schema, source, pathGlobFilter=pattern)
-    return (throughput_windows(arriving.filter(col("user_id") % 3 != 0), seconds, delay)
+    return (throughput_windows(arriving, seconds, delay)
             .writeStream.outputMode("append").format("parquet")
             .option("path", target).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def all_windows(spark: SparkSession, schema: T.StructType, source: str, target: str, seconds: int = 60,
+                delay: str = "1 hour", pattern: str = "*.parquet") -> DataFrame:
+    """The written windows and those still open when the source was closed.
+
+    An open window ends after the watermark, so none of its events was late: the events
+    themselves give it.
+    """
+    events = spark.read.schema(schema).option("pathGlobFilter", pattern).parquet(source)
+    counted = throughput_windows(events, seconds, delay)
+    newest = events.agg((F.max(col("ts").cast("timestamp")) - F.expr(f"interval '{delay}'")).alias("mark")).scalar()
+    still_open = counted.filter(col("window_end") > newest.cast("timestamp_ntz"))
+    written = stored(spark, *os.path.split(target))
+    return still_open if written is None else written.select(counted.columns).unionByName(still_open)
