@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.checks import COLUMNS, MONEY, NAMES, cardinalities, source
+from oracles.checks import COLUMNS, KEYS, MONEY, NAMES, cardinalities, checks, source
 from oracles.questions import REV
 from oracles.views import with_views
 
@@ -61,6 +61,15 @@ def scan(table: str) -> str:
         *NAMES)
 
 
+def initial_load(counts: str) -> str:
+    facts = " union all ".join(f"select 'layout', '{t}', count(*) from {t}" for t in ("lineitem", "orders"))
+    return with_views(f"""
+        select 'load' as stage, table_name as object_name, rows as value from ({counts})
+        union all select 'primary key', table_name, cast(repeated_keys + null_keys as bigint) from ({checks()["check_primary_keys"]})
+        union all select 'foreign key', constraint_name, cast(orphan_rows as bigint) from ({checks()["check_foreign_keys"]})
+        union all {facts}""", *NAMES)
+
+
 def jobs() -> dict[str, str]:
     counts = " union all ".join(
         f"select '{t}' as table_name, count(*) as rows from {source(t)}" for t in COLUMNS)
@@ -80,10 +89,12 @@ def jobs() -> dict[str, str]:
             from events group by user_id""",
         "load_step_append": STEPS,
         "stream_step_ingest": STEPS,
-        "initial_load": cardinalities(),
+        "initial_load": initial_load(counts),
         "warm_cache": cardinalities(),
-        "drop_tables": "select 8 as before, 0 as after",
-        "analyze_tables": with_views(counts, *NAMES),
+        "drop_tables": with_views(f"select *, false as there from ({counts})", *NAMES),
+        "analyze_tables": with_views(" union all ".join(
+            f"select '{t}' as table_name, count(*) as rows, cast(min({KEYS[t].split(',')[0]}) as bigint) as least_key,"
+            f" cast(max({KEYS[t].split(',')[0]}) as bigint) as greatest_key from {source(t)}" for t in COLUMNS), *NAMES),
         "cluster_layout": with_views(f"""
             select cast(year(l_shipdate) as int) as year, l_linestatus, count(*) as rows,
                    cast(sum({REV}) as double) as revenue
@@ -92,6 +103,9 @@ def jobs() -> dict[str, str]:
             select o_orderpriority, count(distinct o_orderkey) as orders,
                    cast(sum({REV}) as double) as revenue
             from orders join lineitem_h on o_orderkey = l_orderkey group by 1""", "lineitem_h"),
+        "colocated_parts": with_views("""
+            select p_brand, count(*) as offers, cast(sum(ps_availqty) as bigint) as quantity
+            from part join partsupp_h on p_partkey = ps_partkey group by p_brand""", "partsupp_h"),
         "null_aware_anti_join": """
             with buyers as (select c_custkey from customer where c_mktsegment = 'BUILDING'),
                  holed as (select case when c_custkey > 0 then c_custkey end as c_custkey from buyers

@@ -101,6 +101,14 @@ def tracking() -> dict[str, str]:
             select cast(user_id as varchar) as log, event_type as name,
                    concat(cast(arg_max(value, event_id) as varchar), ' ms') as timing
             from events where user_id % 3 <> 0 group by user_id, event_type""",
+        "track_register": """
+            select cast(user_id as varchar) as log, event_type as name,
+                   cast(arg_max(value, event_id) as double) / 1000 as duration
+            from events where user_id % 3 <> 0 group by user_id, event_type""",
+        "check_tracking": _with("""
+            select 'run_name_system_unique' as check_name, count(*) as violations from run
+            union all select unnest(['run_id_unique', 'job_id_unique', 'query_id_unique', 'run_not_null',
+                                     'job_not_null', 'query_not_null', 'job_run_known', 'query_job_known']), 0"""),
         "throughput": _with("""
             select j.id as job_id, j.name as job, cast(max(n) as bigint) as streams,
                    cast(sum(n) as bigint) as queries, j.duration,

@@ -63,8 +63,17 @@ def test_carry_forward(frame, data):
 
 def test_exact_percentiles(frame, data):
     points = {"p0": 0.0, "half": 0.5, "p98": 0.98, "top": 1.0}
-    got = {r.g: r for r in exact_percentiles(frame, ["g"], "v", points, blocks=8).collect()}
-    for group, rows in by_group(data).items():
-        values = [r[2] for r in rows]
-        for name, point in points.items():
-            assert got[group][name] == pytest.approx(np.percentile(values, point * 100))
+    for limit in (4096, 4):  # small brackets are narrowed again and again
+        got = {r.g: r for r in exact_percentiles(frame, ["g"], "v", points, limit=limit).collect()}
+        for group, rows in by_group(data).items():
+            values = [r[2] for r in rows]
+            for name, point in points.items():
+                assert got[group][name] == pytest.approx(np.percentile(values, point * 100))
+
+
+def test_percentiles_narrow_a_large_group(spark):
+    rows = spark.range(60000).selectExpr("'one' as g", "pow(id, 1.5) as v")
+    limit = 64
+    result = exact_percentiles(rows, ["g"], "v", {"half": 0.5, "p99": 0.99}, limit=limit)
+    got, values = result.first(), [i ** 1.5 for i in range(60000)]
+    assert got.half == pytest.approx(np.percentile(values, 50)) and got.p99 == pytest.approx(np.percentile(values, 99))

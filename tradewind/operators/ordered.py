@@ -9,10 +9,15 @@ and the two are added, so the result is exact and no task sees a whole group.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.session import stored
+
 BLOCK_BITS = 20
+LIMIT = 4096
 
 
 def id_block(key: str, bits: int = BLOCK_BITS) -> Column:
@@ -67,33 +72,51 @@ def carry_forward(frame: DataFrame, group: list[str], block: str, order: str,
 
 
 def exact_percentiles(frame: DataFrame, group: list[str], value: str,
-                      points: dict[str, float], blocks: int = 64) -> DataFrame:
+                      points: dict[str, float], limit: int = LIMIT) -> DataFrame:
     """Interpolated percentiles per group, one column per entry of ``points``.
 
-    Values are first counted per (group, value).  A bounded sketch proposes
-    split points, which only balance the blocks; ranks and values are exact.
+    Values are counted per (group, value).  Each wanted rank has a bracket of values, at first the whole
+    range of its group; a bracket with more than ``limit`` values is cut into ``limit`` equal
+    parts, counted, and replaced by the part that holds the rank, until all are small enough to sort.
+    So no task ever orders more than ``limit`` rows of a group, whatever its size.
     """
     rows = frame.filter(F.col(value).isNotNull())
-    counted = rows.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    splits = rows.groupBy(*group).agg(
-        F.percentile_approx(value, [i / blocks for i in range(1, blocks)], 1000).alias("_splits"))
-    placed = (
-        counted.join(splits, group)
-        .withColumn("_block", F.size(F.filter("_splits", lambda s: s < F.col(value))))
-        .drop("_splits"))
-    ranked = prefix_sum(placed, group, "_block", value, F.col("_n"), "_start", total="_rows")
-
-    def at(index: Column) -> Column:
-        covers = (F.col("_start") <= index) & (index < F.col("_start") + F.col("_n"))
-        return F.max(F.when(covers, F.col(value)))
-
-    sums = []
-    for name, point in points.items():
-        position = (F.col("_rows") - 1) * F.lit(float(point))
-        low = F.floor(position)
-        sums += [at(low).alias(f"_low_{name}"), at(F.ceil(position)).alias(f"_high_{name}"),
-                 F.max(position - low).alias(f"_part_{name}")]
-    between = lambda n: (F.col(f"_low_{n}")
-                         + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.col(f"_part_{n}"))
-    return ranked.groupBy(*group).agg(*sums).select(
-        *group, *[between(name).alias(name) for name in points])
+    counted = stored(rows.groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n")), "percentiles")
+    totals = counted.groupBy(*group).agg(
+        F.sum("_n").alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_values"))
+    place = lambda point: (F.col("_rows") - 1) * F.lit(float(point))
+    ranks = F.array_distinct(F.array(*[f(place(p)).cast("bigint") for p in points.values() for f in (F.floor, F.ceil)]))
+    wanted = stored(totals.select(*group, "_rows", F.explode(ranks).alias("_rank"), "_lo", "_hi", "_values",
+                                  F.lit(0).cast("bigint").alias("_before")), "percentiles")
+    while not wanted.filter(F.col("_values") > limit).isEmpty():
+        wide, fine = wanted.filter(F.col("_values") > limit), wanted.filter(F.col("_values") <= limit)
+        brackets = wide.select(*[F.col(g).alias(f"_{g}") for g in group], "_lo", "_hi", "_before").distinct()
+        inside = counted.join(brackets, _same(group) & F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        part = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * limit), F.lit(limit - 1))
+        parts = inside.groupBy(*group, "_lo", "_before", part.alias("_part")).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_first"), F.max("_v").alias("_last"), F.count("*").alias("_inside"))
+        start = F.col("_before") + F.coalesce(F.sum("_n").over(_before([*group, "_lo"], "_part")), F.lit(0))
+        parts = parts.withColumn("_start", start).select(
+            *[F.col(g).alias(f"_{g}") for g in group], F.col("_lo").alias("_of"), "_n", "_first", "_last", "_inside", "_start")
+        cut = wide.join(parts, _same(group) & (F.col("_lo") == F.col("_of")) & (F.col("_rank") >= F.col("_start"))
+                        & (F.col("_rank") < F.col("_start") + F.col("_n")))
+        wanted = stored(fine.unionByName(cut.select(
+            *group, "_rows", "_rank", F.col("_first").alias("_lo"), F.col("_last").alias("_hi"),
+            F.col("_inside").alias("_values"), F.col("_start").alias("_before"))), "percentiles")
+    small = wanted.select(*[F.col(g).alias(f"_{g}") for g in group], "_rows", "_rank", "_lo", "_hi", "_before")
+    near = counted.join(small, _same(group) & F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    start = F.col("_before") + F.coalesce(F.sum("_n").over(_before([*group, "_rank"], "_v")), F.lit(0))
+    found = near.withColumn("_start", start).filter(
+        (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n")))
+
+    def between(point: float) -> Column:
+        at = lambda rank: F.max(F.when(F.col("_rank") == rank.cast("bigint"), F.col("_v")))
+        low = F.floor(place(point))
+        return at(low) + (at(F.ceil(place(point))) - at(low)) * F.max(place(point) - low)
+
+    return found.groupBy(*group).agg(*[between(p).alias(name) for name, p in points.items()])
+
+
+def _same(group: list[str]) -> Column:
+    """Equality of a group's columns with their copies that start with an underscore."""
+    return reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], F.lit(True))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import steps as S
@@ -27,10 +29,14 @@ def _per_job(t: Tracking) -> DataFrame:
 
 
 def results(t: Tracking) -> DataFrame:
-    """One row per job with its place within the run.
+    """One row per job with its place within the run, in order of runs and starts.
 
     A job without queries counts one, as an outer join counted by rows does.
     """
+    return _results(t).orderBy("run_id", "start", "job_id").drop("run_id", "job_id")
+
+
+def _results(t: Tracking) -> DataFrame:
     numbered = row_numbers(
         t.job.withColumn("block", id_block("id")), ["run"], "block", "id", "job_number")
     jobs = numbered.select(
@@ -38,8 +44,7 @@ def results(t: Tracking) -> DataFrame:
         "job_number", "start", "duration", S.label(col("steps")).alias("steps"))
     return (
         jobs.join(_runs(t), "run_id").join(_per_job(t), "job_id", "left")
-        .orderBy("run_id", "start", "job_id")
-        .select("run", "system", "schedule", "job", "job_number", "start", "duration", "steps",
+        .select("run_id", "job_id", "run", "system", "schedule", "job", "job_number", "start", "duration", "steps",
                 F.greatest(F.coalesce("queries", lit(0)), lit(1)).alias("count")))
 
 
@@ -92,7 +97,7 @@ def query_timings(t: Tracking, per_run: bool = False) -> DataFrame:
 
 def run_report(t: Tracking, run: str | None = None) -> DataFrame:
     """Results of one run, or of every run, by job number and system."""
-    rows = results(t)
+    rows = _results(t)
     if run is not None:
         rows = rows.filter(col("run") == run)
     return rows.select("run", "system", "job", "job_number", "duration", "steps", "count").orderBy(
@@ -104,7 +109,7 @@ def run_summary(t: Tracking, run: str | None = None) -> DataFrame:
 
     Steps are compared as text, so ``'41..80'`` ranks above ``'161..300'``.
     """
-    rows = results(t)
+    rows = _results(t)
     if run is not None:
         rows = rows.filter(col("run") == run)
     return (
@@ -210,3 +215,59 @@ def throughput(t: Tracking) -> DataFrame:
                 rate("streams").alias("streams_per_minute"),
                 rate("queries").alias("queries_per_minute"))
         .orderBy("job_id"))
+
+
+def timing_seconds(timing: Column) -> Column:
+    """Seconds of a printed timing such as ``12.5 ms``."""
+    return F.regexp_extract(timing, r"([0-9]+(?:\.[0-9]+)?)", 1).cast("double") / 1000
+
+
+def register(t: Tracking, run: str, system: str, schedule: str, jobs: DataFrame, timings: DataFrame) -> Tracking:
+    """Append one run with its jobs and query timings under fresh ids.
+
+    ``jobs`` has name, start, duration and steps, ``timings`` has job (a name), name and duration in seconds.  A
+    (name, system) that is registered already is refused, as are timings of an unknown job.
+    """
+    if not t.run.filter((col("name") == run) & (col("system") == system)).isEmpty():
+        raise ValueError(f"run {run} on {system} is registered already")
+    if not timings.join(jobs.select(col("name").alias("job")), "job", "left_anti").isEmpty():
+        raise ValueError("a timing names an unknown job")
+    after = lambda name: dict(t.items())[name].agg((F.coalesce(F.max("id"), lit(-1)) + 1).alias("v")).scalar()
+    fill = lambda frame, like: frame.select(*[
+        (col(f.name) if f.name in frame.columns else lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+    own = jobs.agg(F.min("start").alias("start")).select(
+        after("run").alias("id"), lit(run).alias("name"), lit(system).alias("system"), lit(schedule).alias("schedule"), "start")
+    # Ids follow the order of a hash of the name, block by block.
+    placed = jobs.withColumns({"hash": F.xxhash64("name"), "block": F.shiftright(F.xxhash64("name"), 48)})
+    numbered = row_numbers(placed, [], "block", "hash", "place")
+    new_jobs = numbered.withColumns({"id": after("job") + col("place") - 1, "run": after("run")})
+    of_job = new_jobs.select(col("id").alias("job_id"), col("name").alias("job_name"), "place")
+    named = timings.join(of_job, col("job") == col("job_name"))
+    counted = row_numbers(named.select(col("job_id").alias("job"), "name", "duration", "place"), [], "place", "name", "nth")
+    new_queries = counted.withColumn("id", after("query") + col("nth") - 1)
+    return Tracking(t.run.unionByName(fill(own, t.run)), t.job.unionByName(fill(new_jobs, t.job)),
+                    t.query.unionByName(fill(new_queries, t.query)))
+
+
+REQUIRED = {"run": ("id", "name", "system"), "job": ("id", "run", "name"), "query": ("id", "job", "name")}
+
+
+def check_tracking(t: Tracking) -> DataFrame:
+    """``check_name, violations``: unique ids and run names, required values, and both references."""
+    tables = dict(t.items())
+    repeated = lambda frame, *keys: frame.groupBy(*keys).count().filter("count > 1")
+    orphans = lambda child, key, parent: (
+        child.filter(col(key).isNotNull()).groupBy(col(key).alias("k")).agg(F.count("*").alias("n"))
+        .join(parent.select(col("id").alias("k")).distinct(), "k", "left_anti"))
+    counts = [repeated(tables[name], "id").agg(F.count("*").alias("violations")).select(lit(f"{name}_id_unique").alias("check_name"), "violations")
+              for name in tables]
+    counts.append(repeated(t.run, "name", "system").agg(F.count("*").alias("violations")).select(
+        lit("run_name_system_unique").alias("check_name"), "violations"))
+    for name, columns in REQUIRED.items():
+        missing = [F.count(F.when(col(c).isNull(), 1)) for c in columns]
+        counts.append(tables[name].agg(sum(missing[1:], missing[0]).alias("violations")).select(
+            lit(f"{name}_not_null").alias("check_name"), "violations"))
+    for child, key, parent in (("job", "run", "run"), ("query", "job", "job")):
+        counts.append(orphans(tables[child], key, tables[parent]).agg(F.coalesce(F.sum("n"), lit(0)).alias("violations")).select(
+            lit(f"{child}_{key}_known").alias("check_name"), "violations"))
+    return reduce(DataFrame.unionByName, counts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.operators import quality
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.schema import TABLES
+from tradewind.session import stored
 from tradewind.sources.tables import Catalog
 
 col = F.col
@@ -72,12 +74,15 @@ def numbered_steps(frame: DataFrame, key: str, children: int) -> DataFrame:
 
 # -- databases --------------------------------------------------------------
 
-def create_tables(c: Catalog, database: str, location: str) -> None:
+def create_tables(c: Catalog, database: str, location: str, step: int = 1) -> None:
+    """Load every table as a step of its folder and put a table over the folder."""
     spark = c.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in TABLES:
-        (getattr(c, name).write.mode("overwrite").option("path", os.path.join(location, name))
-         .saveAsTable(f"{database}.{name}"))
+        append_step(getattr(c, name), location, name, step)
+        path = os.path.join(location, name)
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet OPTIONS (path '{path}')")
+        spark.catalog.recoverPartitions(f"{database}.{name}")
 
 
 def drop_tables(spark: SparkSession, database: str) -> None:
@@ -92,10 +97,30 @@ def analyze_tables(spark: SparkSession, database: str) -> None:
         spark.sql(f"ANALYZE TABLE {database}.{name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
-def warm_cache(spark: SparkSession, database: str) -> None:
-    """Mark the tables for caching; each is kept, with spill to disk, once it is read."""
-    for name in TABLES:
-        spark.sql(f"CACHE LAZY TABLE {database}.{name}")
+def table_statistics(spark: SparkSession, database: str) -> DataFrame:
+    """Per table the rows, and the least and greatest leading key, as the stored statistics have them."""
+    frames = []
+    for name, table in TABLES.items():
+        key = table.primary_key[0]
+        whole = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").filter(col("col_name") == "Statistics").agg(
+            F.max(F.regexp_extract("data_type", r"(\d+) rows", 1)).cast("bigint").alias("rows"))
+        column = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name} {key}").agg(*[
+            F.max(F.when(col("info_name") == item, col("info_value"))).cast("bigint").alias(alias)
+            for item, alias in (("min", "least_key"), ("max", "greatest_key"))])
+        frames.append(whole.withColumn("table_name", F.lit(name)).join(
+            column.withColumn("of", F.lit(name)), col("table_name") == col("of")).drop("of"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def warm_cache(spark: SparkSession, database: str, tables: list[str]) -> None:
+    """Read the listed tables into the cache now; they stay, with spill to disk, until they are released."""
+    for name in tables:
+        spark.sql(f"CACHE TABLE {database}.{name}")
+
+
+def release_cache(spark: SparkSession, database: str, tables: list[str]) -> None:
+    for name in tables:
+        spark.sql(f"UNCACHE TABLE IF EXISTS {database}.{name}")
 
 
 class Database(Catalog):
@@ -107,18 +132,31 @@ class Database(Catalog):
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.table(f"{self.folder}.{name}")
+        declared = [c.name for c in TABLES[name].columns]
+        return self.spark.table(f"{self.folder}.{name}").select(*declared)
+
 
+def initial_load(c: Catalog, database: str, location: str) -> DataFrame:
+    """Drop, create, load, analyze, check all keys and lay the fact tables out; one report.
 
-def initial_load(c: Catalog, database: str, location: str) -> dict[str, DataFrame]:
-    """Drop, create, load, analyze, then check keys; returns the check reports."""
+    ``stage, object_name, value``: rows by the statistics, repeated or null primary keys, orphan rows of every
+    reference, and rows of the laid-out copies below ``<location>_clustered``.
+    """
     drop_tables(c.spark, database)
     create_tables(c, database, location)
     analyze_tables(c.spark, database)
     loaded = Database(c.spark, database)
-    return {"cardinalities": quality.cardinalities(loaded),
-            "primary_keys": quality.primary_keys(loaded),
-            "foreign_keys": quality.foreign_keys(loaded)}
+    line = lambda frame, stage, name, value: frame.select(
+        F.lit(stage).alias("stage"), col(name).alias("object_name"), F.expr(value).cast("bigint").alias("value"))
+    stages = [
+        line(table_statistics(c.spark, database), "load", "table_name", "rows"),
+        line(quality.primary_keys(loaded), "primary key", "table_name", "repeated_keys + null_keys"),
+        line(quality.foreign_keys(loaded), "foreign key", "constraint_name", "orphan_rows")]
+    for name in YEAR_OF:
+        path = write_clustered(getattr(loaded, name), f"{location}_clustered", name)
+        counted = c.spark.read.parquet(path).agg(F.count("*").alias("n")).withColumn("name", F.lit(name))
+        stages.append(line(counted, "layout", "name", "n"))
+    return stored(reduce(DataFrame.unionByName, stages), "initial-load")
 
 
 # -- layout -----------------------------------------------------------------

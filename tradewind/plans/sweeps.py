@@ -28,8 +28,10 @@ def q06_parameters(spark: SparkSession, years=range(1993, 1998), discounts=range
 
 def sweep_q06(c: Catalog, parameters: DataFrame) -> DataFrame:
     """Forecast revenue per parameter set."""
+    first = parameters.agg(F.make_date(F.min("year"), F.lit(1), F.lit(1)).alias("day")).scalar()
+    after = parameters.agg(F.make_date(F.max("year") + 1, F.lit(1), F.lit(1)).alias("day")).scalar()
     cube = (
-        c.lineitem.groupBy(
+        c.lineitem.filter((col("l_shipdate") >= first) & (col("l_shipdate") < after)).groupBy(
             F.year("l_shipdate").alias("ship_year"), F.expr(cents("l_discount")).alias("off"),
             F.expr(cents("l_quantity")).alias("amount"))
         .agg(F.expr(exact_sum(f"{cents('l_extendedprice')} * {cents('l_discount')}"))
@@ -53,8 +55,10 @@ def q14_parameters(spark: SparkSession, first: date = date(1993, 1, 1), months:
 
 def sweep_q14(c: Catalog, parameters: DataFrame) -> DataFrame:
     """Promotion share per month."""
+    first = parameters.agg(F.min("month").alias("day")).scalar()
+    after = parameters.agg(F.add_months(F.max("month"), 1).alias("day")).scalar()
     sold = (
-        c.lineitem.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("ship_month"))
+        c.lineitem.filter((col("l_shipdate") >= first) & (col("l_shipdate") < after)).groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("ship_month"))
         .agg(F.expr(exact_sum(REVENUE)).alias("units")))
     promo = F.when(col("p_type").startswith("PROMO"), col("units")).otherwise(0)
     monthly = (

@@ -13,6 +13,7 @@ from tradewind.operators import tracking as Track
 from tradewind.plans.params import TEST_VALUES
 from tradewind.plans.queries import QUERIES
 from tradewind.plans.variants import BASE_OF, VARIANTS
+from tradewind.session import scratch
 from tradewind.showcase import SHOWCASE
 from tradewind.sources import tracking as TrackingSource
 from tradewind.sources.filled import filled_catalog
@@ -93,7 +94,27 @@ def _log_timings(spark: SparkSession, folder: str) -> DataFrame:
     return Track.extract_query_timings(lines, Track.numbered_names(names, "event_id"))
 
 
+def _registered(spark: SparkSession, folder: str) -> DataFrame:
+    """Timings read from log files, registered as a new run; the new queries with their jobs."""
+    events = _events(spark, folder)
+    t = TrackingSource.from_events(events)
+    lines, names = TrackingSource.logs_from_events(events)
+    path = scratch(spark, "logs")
+    # One file per log and part, its lines in order.
+    (lines.select("log", F.col("block").alias("part"), "pos", F.col("line").alias("value")).repartition("log", "part")
+     .sortWithinPartitions("log", "part", "pos").drop("pos").write.partitionBy("log", "part").text(path))
+    timings = Track.extract_query_timings(TrackingSource.read_logs(spark, path), Track.numbered_names(names, "event_id"))
+    jobs = t.job.select(F.col("id").cast("string").alias("name"), "start", "duration", "steps")
+    measured = timings.select(F.col("log").alias("job"), "name", Track.timing_seconds(F.col("timing")).alias("duration"))
+    whole = Track.register(t, "nightly", "sys_new", "full", jobs, measured)
+    known = t.query.select(F.col("id").alias("old"))
+    fresh = whole.query.join(known, F.col("id") == F.col("old"), "left_anti")
+    return fresh.select("job", "name", "duration").join(
+        whole.job.select(F.col("id").alias("job"), F.col("name").alias("log")), "job").select("log", "name", "duration")
+
+
 REPORTS = {
+    "check_tracking": lambda t: Track.check_tracking(Track.merge(t, t)),
     "track_results": Track.results,
     "track_qpm": Track.queries_per_minute,
     "track_query_timings": Track.query_timings,
@@ -120,5 +141,6 @@ def all_queries() -> dict[str, Query]:
     for name, function in REPORTS.items():
         registered[name] = _report(function)
     registered["extract_query_timings"] = _log_timings
+    registered["track_register"] = _registered
     registered.update(SHOWCASE)
     return registered

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits skewed join partitions and coalesces small ones;
 # broadcasts are left to Catalyst, which checks sizes against the threshold.
@@ -46,6 +48,8 @@ def cluster_settings(data_bytes: int, executors: int, cores: int, memory_gb: int
         "spark.sql.files.maxPartitionBytes": "256MB",
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        # A filter may be made from a side whose keys still fit the filter's 64 MB at most.
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(8 * broadcast),
         "spark.sql.cbo.enabled": "true",
     }
 
@@ -61,5 +65,13 @@ def scratch(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="tradewind-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write below the shared folder and read back: cuts lineage and survives lost executors."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

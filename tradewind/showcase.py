@@ -8,6 +8,7 @@ folder.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
 from tradewind.schema import TABLES
-from tradewind.session import scratch
+from tradewind.session import scratch, stored
 from tradewind.sources import flatfile
 from tradewind.sources import tracking as TrackingSource
 from tradewind.sources.generate import Generator, part_name
@@ -97,40 +98,37 @@ def _database(spark: SparkSession, label: str) -> tuple[str, str]:
 
 def loaded_tables(spark: SparkSession, folder: str) -> DataFrame:
     name, path = _database(spark, "loaded")
-    reports = warehouse.initial_load(filled_catalog(spark, folder), name, path)
-    return reports["cardinalities"]
+    return warehouse.initial_load(filled_catalog(spark, folder), name, path)
 
 
 def dropped_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Tables before and after dropping them."""
+    """Rows of each table before it was dropped, and whether a table is left."""
     name, path = _database(spark, "dropped")
     warehouse.create_tables(filled_catalog(spark, folder), name, path)
-    count = lambda: spark.sql(f"SHOW TABLES IN {name}").count()
-    before = count()
+    loaded = warehouse.Database(spark, name)
+    counts = [getattr(loaded, t).agg(F.count("*").alias("rows")).select(lit(t).alias("table_name"), "rows") for t in TABLES]
+    before = stored(reduce(DataFrame.unionByName, counts), "dropped-counts")
     warehouse.drop_tables(spark, name)
-    return spark.range(1).select(lit(before).alias("before"), lit(count()).alias("after"))
+    left = spark.sql(f"SHOW TABLES IN {name}").select(col("tableName").alias("table_name"), lit(True).alias("there"))
+    return before.join(left, "table_name", "left").select(
+        "table_name", "rows", F.coalesce("there", lit(False)).alias("there"))
 
 
 def analyzed_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Row counts as the statistics report them."""
+    """Row counts and key ranges as the statistics report them."""
     name, path = _database(spark, "analyzed")
     warehouse.create_tables(filled_catalog(spark, folder), name, path)
     warehouse.analyze_tables(spark, name)
-    described = [
-        spark.sql(f"DESCRIBE TABLE EXTENDED {name}.{t}").filter(col("col_name") == "Statistics")
-        .select(lit(t).alias("table_name"),
-                F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("rows"))
-        for t in TABLES]
-    for frame in described[1:]:
-        described[0] = described[0].unionByName(frame)
-    return described[0]
+    return warehouse.table_statistics(spark, name)
 
 
 def cached_tables(spark: SparkSession, folder: str) -> DataFrame:
     name, path = _database(spark, "cached")
     warehouse.create_tables(filled_catalog(spark, folder), name, path)
-    warehouse.warm_cache(spark, name)
-    return quality.cardinalities(warehouse.Database(spark, name))
+    warehouse.warm_cache(spark, name, list(TABLES))
+    counts = stored(quality.cardinalities(warehouse.Database(spark, name)), "cached-counts")
+    warehouse.release_cache(spark, name, list(TABLES))
+    return counts
 
 
 def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,14 +140,34 @@ def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
                  F.expr(money(exact_sum(REVENUE), 4)).alias("revenue")))
 
 
-def colocated_join(spark: SparkSession, folder: str, buckets: int = 16) -> DataFrame:
-    """Revenue per order priority, from orders and lines bucketed on the order key."""
-    name, path = _database(spark, "bucketed")
+LINE_BYTES, OFFER_BYTES = 150, 160  # widths of a stored row of the larger table of each pair
+
+
+def _bucketed(spark: SparkSession, folder: str, larger: str, smaller: str, width: int) -> str:
+    """A database with a pair of tables bucketed alike; the rows of the larger one set the number of buckets."""
+    name, path = _database(spark, f"bucketed-{larger}")
     catalog = filled_catalog(spark, folder)
-    for table in ("orders", "lineitem"):
+    buckets = warehouse.buckets_for(getattr(catalog, larger).count() * width)
+    for table in (larger, smaller):
         warehouse.write_bucketed(
             getattr(catalog, table), f"{name}.{table}", warehouse.BUCKET_KEYS[table],
             os.path.join(path, table), buckets)
+    return name
+
+
+def colocated_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock per brand, from parts and offers bucketed on the part key."""
+    name = _bucketed(spark, folder, "partsupp", "part", OFFER_BYTES)
+    stock = spark.table(f"{name}.partsupp").groupBy("ps_partkey").agg(
+        F.sum("ps_availqty").alias("quantity"), F.count("*").alias("offers"))
+    return (
+        spark.table(f"{name}.part").join(stock, col("p_partkey") == col("ps_partkey"))
+        .groupBy("p_brand").agg(F.sum("offers").alias("offers"), F.sum("quantity").alias("quantity")))
+
+
+def colocated_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue per order priority, from orders and lines bucketed on the order key."""
+    name = _bucketed(spark, folder, "lineitem", "orders", LINE_BYTES)
     lines = (spark.table(f"{name}.lineitem").groupBy("l_orderkey")
              .agg(F.expr(exact_sum(REVENUE)).alias("units")))
     return (
@@ -376,6 +394,7 @@ SHOWCASE = {
     "warm_cache": cached_tables,
     "cluster_layout": clustered_layout,
     "colocated_join": colocated_join,
+    "colocated_parts": colocated_parts,
     "null_aware_anti_join": not_in_with_nulls,
     "expand_step_range": step_ranges,
     "rf1_insert": insert_set,
