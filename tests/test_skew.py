@@ -4,12 +4,17 @@ The questions must still give whole results; the SQL of the other engine is
 run over the same skewed files.
 """
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from harness import compare, connect
+from tradewind.plans.params import TEST_VALUES
+from tradewind.plans.queries import QUERIES
 from tradewind.registry import TITLES
+from tradewind.sources.filled import FilledCatalog
 from tradewind.sources.tables import read_columns
 
 
@@ -48,3 +53,19 @@ def test_whole_results_under_skew(spark, skewed, name):
                     "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
             spark.conf.unset(key)
     assert good, note
+
+
+@pytest.mark.parametrize("name", ["q17", "q18", "q20"])
+def test_lines_are_summed_before_they_are_shuffled(spark, small, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = QUERIES[name](FilledCatalog(spark, small), **TEST_VALUES[name])
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [at for at, line in enumerate(plan) if re.search(r"FileScan parquet \[[^]]*l_quantity", line)]
+    assert scans
+    for at in scans:
+        shuffle = max(i for i in range(at) if " Exchange hashpartitioning" in plan[i])
+        assert any("partial_" in line for line in plan[shuffle:at]), "\n".join(plan)
