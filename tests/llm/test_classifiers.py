@@ -57,6 +57,8 @@ def test_language(spark):
     assert all(edge[i].lang_pred == "und" and edge[i].score == 0 for i in (1, 2, 3))
     assert all(0 <= r.score <= 1 for r in edge.values())
     assert language.predict(no_docs(spark), model).count() == 0
+    odd = spark.createDataFrame([(1, "12 ²³ !?"), (2, "²und")], "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in language.predict(odd, model).orderBy("doc_id").collect()] == [True, False]
     assert {r.lang_pred for r in language.identify_language(docs.withColumn("lang", F.lit(None).cast("string")).limit(20)).collect()} == {"und"}
 
 

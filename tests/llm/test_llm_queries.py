@@ -3,7 +3,8 @@
 import pytest
 from harness import compare, connect
 
-from tradewind.llm.queries import llm_oracles, llm_queries
+from tradewind.llm.oracles import llm_oracles
+from tradewind.llm.queries import llm_queries
 
 
 @pytest.mark.parametrize("name", sorted(llm_queries()))

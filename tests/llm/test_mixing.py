@@ -5,7 +5,7 @@ import pytest
 from cases import EDGES, documents, edge_docs, no_docs
 
 from tradewind.llm import mixing as M
-from tradewind.llm.queries import mixing_oracle
+from tradewind.llm.oracles import mixing_oracle
 
 
 def by_sql(frame, mix):

@@ -107,7 +107,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         langs, sure = [], []
         for text in batch.column(1).to_pylist():
             words = LETTERS.findall(text.lower())
-            if not words or not model.languages:
+            lettered = any(map(str.isalpha, words)) or any(map(str.isalpha, text))
+            if not lettered or not model.languages:
                 langs.append(UNKNOWN)
                 sure.append(0.0)
                 continue

@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage, with production parameters, and their SQL."""
+"""The registered queries of this subpackage, with production parameters."""
 
 from __future__ import annotations
 
@@ -55,74 +55,3 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_pii, op3_chat_formatting, op4_minhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity, op10_mixing)}
-
-
-def _case(column: str, values: dict, default: object) -> str:
-    quote = lambda x: f"'{x}'" if isinstance(x, str) else str(x)
-    return f"case {column} " + " ".join(f"when '{k}' then {quote(v)}" for k, v in values.items()) + f" else {quote(default)} end" if values else quote(default)
-
-
-def _filled(name: str, source: str, parent: str, level: str) -> str:
-    """Common table expressions that share ``parent_budget`` among the children of ``source``."""
-    return f"""
-        {name}_ranked as (
-            select *, coalesce(sum(capacity::hugeint) over (partition by {parent} order by capacity / weight, {level}
-                      rows between unbounded preceding and 1 preceding), 0) as before,
-                   sum(weight) over (partition by {parent} order by capacity / weight, {level}
-                      rows between current row and unbounded following) as rest_weight
-            from {source}),
-        {name}_full as (
-            select *, capacity::hugeint * rest_weight <= (parent_budget - before)::hugeint * weight as is_full from {name}_ranked),
-        {name} as (
-            select *, case when is_full then capacity else ((parent_budget - coalesce(sum(capacity::hugeint) filter (is_full)
-                      over (partition by {parent}), 0))::hugeint * weight // sum(weight) filter (not is_full) over (partition by {parent}))::bigint
-                      end as budget
-            from {name}_full)"""
-
-
-def mixing_oracle(mix: mixing.Mix) -> str:
-    w = lambda level: _case(level, mix.weights.get(level, {}), mix.default_weight)
-    return f"""
-        with rows as (
-            select doc_id, {_case("coalesce(source, 'unknown')", mix.domains, mix.default_domain)} as domain,
-                   coalesce(lang, 'unknown') as lang, coalesce(source, 'unknown') as source,
-                   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as tokens
-            from documents),
-        leaves as (
-            select domain, lang, source, sum(tokens)::bigint as tokens, (sum(tokens) * {mix.epochs})::bigint as capacity
-            from rows group by all),
-        domain_nodes as (
-            select domain, sum(capacity)::bigint as capacity, {w("domain")} as weight,
-                   ((sum(sum(tokens)) over ())::hugeint * {mix.share[0]} // {mix.share[1]})::bigint as parent_budget
-            from leaves group by domain),
-        {_filled("domains", "domain_nodes", "1", "domain")},
-        lang_nodes as (
-            select domain, lang, sum(l.capacity)::bigint as capacity, {w("lang")} as weight, any_value(d.budget) as parent_budget
-            from leaves l join domains d using (domain) group by domain, lang),
-        {_filled("langs", "lang_nodes", "domain", "lang")},
-        source_nodes as (
-            select domain, lang, source, l.capacity, l.tokens as leaf_tokens, {w("source")} as weight, g.budget as parent_budget
-            from leaves l join langs g using (domain, lang)),
-        {_filled("sources", "source_nodes", "domain, lang", "source")},
-        placed as (
-            select r.*, case when leaf_tokens > 0 then budget // leaf_tokens else 0 end as whole,
-                   case when leaf_tokens > 0 then budget % leaf_tokens else 0 end as rest
-            from rows r join sources using (domain, lang, source)),
-        keyed as (
-            select *, ('0x' || substr(md5(concat_ws(':', '{mix.seed}', whole::varchar, coalesce(doc_id::varchar, ''))), 1, 15))::bigint as key
-            from placed)
-        select doc_id, domain, lang, source, tokens,
-               (whole + (sum(tokens) over (partition by domain, lang, source order by key, doc_id nulls first
-                         range between unbounded preceding and current row) <= rest)::int)::bigint as copies
-        from keyed"""
-
-
-def llm_oracles() -> dict[str, str]:
-    return {
-        "op8_exact_dedup": """
-            with rows as (select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents)
-            select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
-                   doc_id = max(doc_id) over same as kept, text_sha256
-            from rows window same as (partition by text_sha256)""",
-        "op10_mixing": mixing_oracle(mixing.PRODUCTION),
-    }
