@@ -7,10 +7,10 @@ similarity of 0.8 shares none of the ``BANDS`` bands with a probability of 3 in
 more than one in a thousand of pairs at 0.9 times that.  A link is decided on the full shingle sets.
 
 Equal shingle sets are one class with the smallest id as its representative, so copies cost one row each.  In a
-bucket of candidates nobody is paired with everybody: every member is verified against one leader, linked
+bucket of candidates nobody is paired with everybody: every member is verified against two leaders, linked
 members are contracted into components, and only buckets whose members still lie in several components go on.
-After ``STAR_ROUNDS`` such rounds all pairs of a bucket that lie in different components and whose sizes allow
-a link are verified, so no link between candidates is lost.  Components come from repeated star contraction of the links.
+Of those, all members that lie in different components are compared, block by block, so no link between
+candidates is lost.  Components come from repeated star contraction of the links.
 
 Defined cases: a text that is null, empty or blank has no shingle and links with nothing; with fewer words than
 a shingle takes, the whole sequence is the one shingle; rows that repeat a ``doc_id`` count as one document
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import LOWER, by_batch, stored, texts
 
 BANDS, ROWS = 32, 5
-STAR_ROUNDS = 2
 CACHED_WORDS = 300_000
+BLOCK, CHUNK = 512, 1024
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
 
@@ -114,8 +114,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
              pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["id", "wanted", "own", "items"])
 
     rows = texts(docs).join(wanted, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "set_key")
-    made = by_batch(rows, "id long, wanted binary, own binary, items array<long>", work, Words)
-    return made.where("wanted = own").select("id", "items").dropDuplicates(["id"])
+    made = by_batch(rows.dropDuplicates(["doc_id", "text"]), "id long, wanted binary, own binary, items array<long>", work, Words)
+    return made.where("wanted = own").select("id", "items")
 
 
 def size_allows(a: str, b: str, percent: int):
@@ -123,89 +123,134 @@ def size_allows(a: str, b: str, percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets reach the similarity."""
+    """The rows of ``pairs`` whose documents' full sets reach the similarity."""
     first = sets.select(F.col("id").alias("a"), F.col("items").alias("of_a"))
     second = sets.select(F.col("id").alias("b"), F.col("items").alias("of_b"))
     both = pairs.join(second, "b").join(first, "a")
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     union = F.size("of_a").cast("long") + F.size("of_b") - common
-    return both.where(common * 100 >= union * percent).select("a", "b")
+    return both.where(common * 100 >= union * percent).select(pairs.columns)
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
     """``node, root`` for every end of a link; the root is the smallest node of its component.
 
-    Each round hangs the larger neighbours of a node, then the smaller ones with the node, on the smallest of them.
+    Each round hangs the larger neighbours of a node, then the smaller ones with the node, on the smallest of
+    them, until every node hangs on one that hangs on none.
     """
     down = lambda e: e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges, mark = stored(down(links), label), None
-    while True:
+    edges = stored(down(links), label)
+    while not _is_settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("low")).select("at", F.least("at", "low").alias("low"))
-        large = both.join(least, F.col("u") == F.col("at")).where("v > u").select(F.col("v").alias("a"), F.col("low").alias("b"))
-        large = stored(down(large), label)
+        large = both.join(least, F.col("u") == F.col("at")).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        large = stored(large, label)
         least = large.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("low"))
-        hung = large.join(least, F.col("u") == F.col("at"))
-        small = hung.select(F.col("v").alias("a"), F.col("low").alias("b")).unionByName(
-            least.select(F.col("at").alias("a"), F.col("low").alias("b")))
-        edges = stored(down(small), label)
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(now) == mark:
-            break
-        mark = tuple(now)
+        small = large.join(least, F.col("u") == F.col("at")).select(F.col("v").alias("a"), F.col("low").alias("b"))
+        edges = stored(down(small.unionByName(least.select(F.col("at").alias("a"), F.col("low").alias("b")))), label)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def relabelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the components that the links between their components make."""
-    roots = components(links, "near-links")
-    return members.join(roots, F.col("comp") == F.col("node"), "left").select(
-        "key", "rep", "n", F.coalesce("root", "comp").alias("comp"))
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other, which hangs on none."""
+    ends = edges.select("u", F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    both = ends.groupBy("u").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return both.where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty()
 
 
-def undecided(members: DataFrame) -> DataFrame:
-    """The rows of buckets whose members lie in several components."""
-    mixed = (members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-             .where("low <> high").select(F.col("key").alias("mixed")))
-    return members.join(mixed, F.col("key") == F.col("mixed"), "left_semi")
+def links_across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links ``a, b`` between components whose members share a bucket.
+
+    In a bucket of several components the members outside the largest one are compared with all others.  The
+    bucket is dealt out in blocks of bounded size, which those members visit in chunks of bounded size;
+    inside a block an index of its shingles counts what they have in common, so no pair becomes a row.
+    """
+    shares = members.groupBy(F.col("key").alias("at"), "comp").agg(F.count("*").alias("size"))
+    mixed = shares.groupBy("at").agg(F.max_by("comp", "size").alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"))
+    parts = lambda rows, size: F.ceil(rows / F.lit(size)).cast("int")
+    mixed = mixed.where("all > most").select("at", "main", parts(F.col("all"), BLOCK).alias("blocks"),
+                                             parts(F.col("all") - F.col("most"), CHUNK).alias("chunks"))
+    rows = stored(members.join(mixed, F.col("key") == F.col("at")).drop("at"), "near-members")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    held = rows.select("key", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block"), spread(F.col("chunks")).alias("chunk"),
+                       F.lit(False).alias("asks"), "rep", "comp")
+    asking = rows.where("comp <> main").select(
+        "key", spread(F.col("blocks")).alias("block"), F.pmod(F.xxhash64("rep", F.lit(7)), "chunks").cast("int").alias("chunk"),
+        F.lit(True).alias("asks"), "rep", "comp")
+    dealt = held.unionByName(asking).join(sets, F.col("rep") == F.col("id")).select("key", "block", "chunk", "asks", "comp", "items")
+    sorted_ = dealt.repartition("key", "block", "chunk").sortWithinPartitions("key", "block", "chunk", "asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held_sets, asking_sets = None, [], []
+        found: set[tuple[int, int]] = set()
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
+            asks, comps, items = batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5)
+            offsets, values = items.offsets.to_numpy(), items.values.to_numpy()
+            for at, key in enumerate(keys):
+                if key != place:
+                    found |= compare(held_sets, asking_sets, percent)
+                    place, held_sets, asking_sets = key, [], []
+                (asking_sets if asks[at] else held_sets).append((comps[at], values[offsets[at]: offsets[at + 1]].copy()))
+            yield _pairs(found)
+            found = set()
+        yield _pairs(compare(held_sets, asking_sets, percent))
+
+    return sorted_.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*sorted(found)) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def compare(held: list, asking: list, percent: int) -> set[tuple[int, int]]:
+    """Pairs of components with a link between a held and an asking set; sets are (component, sorted items)."""
+    if not held or not asking:
+        return set()
+    sizes = np.array([len(x) for _, x in held])
+    comps = np.array([c for c, _ in held])
+    items = np.concatenate([x for _, x in held])
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], np.repeat(np.arange(len(held)), sizes)[order]
+    found = set()
+    for comp, wanted in asking:
+        low, high = np.searchsorted(items, wanted, "left"), np.searchsorted(items, wanted, "right")
+        counts = high - low
+        hits = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        common = np.bincount(owner[hits], minlength=len(held))
+        linked = (100 * common >= percent * (sizes + len(wanted) - common)) & (comps != comp)
+        found |= {(min(comp, int(c)), max(comp, int(c))) for c in set(comps[linked])}
+    return found
 
 
 def near_groups(signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, root`` over representatives that have a link."""
-    reps = signed.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    reps = stored(reps, "near-reps")
-    buckets = reps.select(F.explode("bands").alias("key"), "rep", "n")
-    shared = buckets.groupBy(F.col("key").alias("at")).agg(F.count("*").alias("c")).where("c > 1").select("at")
-    members = stored(buckets.join(shared, F.col("key") == F.col("at"), "left_semi").withColumn("comp", F.col("rep")), "near-members")
-    wanted = members.select("rep").distinct().join(reps.select("rep", "set_key"), "rep")
+    reps = stored(signed.where("set_key is not null").groupBy("set_key").agg(
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "near-reps")
+    buckets = reps.select(F.explode("bands").alias("key"), "rep", "n", "set_key")
+    # Two leaders for each bucket: the smallest id, and the smallest hash of an id, which is another one in most buckets.
+    leads = buckets.groupBy(F.col("key").alias("at")).agg(
+        F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("low"),
+        F.min(F.struct(F.xxhash64("rep", F.lit(1)).alias("order"), "rep", "n")).alias("any")).where("size > 1").select(
+            "at", F.array(F.struct("low.rep", "low.n"), F.struct("any.rep", "any.n")).alias("leads"))
+    members = stored(buckets.join(leads, F.col("key") == F.col("at")).drop("at"), "near-members")
+    wanted = members.groupBy("rep").agg(F.first("set_key").alias("set_key"))
     sets = stored(shingle_sets(docs, wanted, words), "near-sets")
-    open_ = members
-    links = []
-    for round_ in range(STAR_ROUNDS + 1):
-        if round_ < STAR_ROUNDS:
-            order = F.col("rep") if round_ == 0 else F.xxhash64("rep", F.lit(round_))
-            lead = open_.groupBy(F.col("key").alias("at")).agg(F.min(F.struct(
-                order.alias("order"), "rep", "n", "comp")).alias("lead")).select(
-                    "at", F.col("lead.rep").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.comp").alias("comp_a"))
-        else:
-            lead = open_.select(F.col("key").alias("at"), F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-        met = (F.col("key") == F.col("at")) & (F.col("comp") != F.col("comp_a")) & size_allows("n", "n_a", percent)
-        if round_ == STAR_ROUNDS:
-            met &= F.col("comp") > F.col("comp_a")
-        pairs = open_.join(lead, met).select(F.col("rep").alias("b"), F.col("comp").alias("comp_b"), "a", "comp_a").distinct()
-        pairs = stored(pairs, "near-pairs")
-        found = verified(pairs.select("a", "b"), sets, percent)
-        round_links = stored(pairs.join(found, ["a", "b"], "left_semi").select(
-            F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "near-links")
-        links.append(round_links)
-        if round_ < STAR_ROUNDS and not round_links.isEmpty():
-            open_ = stored(undecided(relabelled(open_, round_links)), "near-members")
-    every = links[0]
-    for more in links[1:]:
-        every = every.unionByName(more)
-    return components(every, "near-links")
+
+    led = members.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.explode("leads").alias("lead"))
+    pairs = led.where((F.col("b") != F.col("lead.rep")) & size_allows("n_b", "lead.n", percent)).select(
+        F.col("lead.rep").alias("a"), "b").distinct()
+    roots = components(verified(stored(pairs, "near-pairs"), sets, percent), "near-links")
+
+    named = stored(members.select("key", "rep", "n").join(roots, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", "n", F.coalesce("root", "rep").alias("comp")), "near-members")
+    more = stored(links_across(named, sets, percent), "near-links")
+    if more.isEmpty():
+        return roots
+    return components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "near-links")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
