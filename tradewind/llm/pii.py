@@ -47,9 +47,14 @@ PATTERNS = {
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "name": rf"(?<!\w)(?:(?:{_titles})\.?\s+(?:(?:{_names})\s+)?[^\W\d_a-zа-я][^\W\d_]+|(?:{_names})\s+[A-ZА-ЯÀ-Þ][^\W\d_]+)(?!\w)",
 }
-FIND = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
-# Every text with an entity matches this cheap pattern.
-MAYBE = rf"@|[0-9][0-9]-[0-9][0-9]|[0-9][.-][0-9]|[(][0-9]|[+][0-9]|[0-9][ ]?[0-9][ ]?[0-9][ ]?[0-9]|[0-9]-[0-9]|{_titles}|{_names}"
+PATTERNS["email"] = r"(?<![A-Za-z0-9._%+-])" + PATTERNS["email"]
+MAIL, NAME = re.compile(PATTERNS["email"]), re.compile(PATTERNS["name"])
+# Numbers are looked for only in runs of the signs that numbers are made of.
+RUN = re.compile(r"[0-9+(][0-9 ().+-]{5,}")
+NUMBER = re.compile("|".join(f"(?P<{kind}>{PATTERNS[kind]})" for kind in ("ssn", "ip", "phone", "card")), re.ASCII)
+# A pattern for the JVM that every text with an entity matches, and few others.
+MAYBE = (r"@|[0-9+(][0-9 ().+-]{5}|\p{Lu}\p{Ll}+[\s\p{Z}\x1c-\x1f\x85]+[\p{L}&&[^a-zа-я]]"
+         rf"|(?:{_titles})\.")
 GENDER = {**{n: g for (_, g), names in GIVEN.items() for n in names}, **{t: g for g, ts in TITLES.items() for t in ts}}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -135,8 +140,18 @@ def written(kind: str, mention: str, entity: str) -> str:
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
-    """Spans in code points, kind and canonical form, in order and without overlap."""
-    return [(m.start(), m.end(), m.lastgroup, canonical(m.lastgroup, m[0])) for m in FIND.finditer(text)]
+    """Spans in code points, kind and canonical form, in order and without overlap: of two that meet, the first."""
+    met = [(m.start(), m.end(), m.lastgroup) for run in RUN.finditer(text)
+           for m in NUMBER.finditer(text, run.start(), min(len(text), run.end() + 2))]
+    if "@" in text:
+        met += [(m.start(), m.end(), "email") for m in MAIL.finditer(text)]
+    met += [(m.start(), m.end(), "name") for m in NAME.finditer(text)]
+    found, free = [], 0
+    for start, stop, kind in sorted(met, key=lambda x: (x[0], -x[1])):
+        if start >= free:
+            found.append((start, stop, kind, canonical(kind, text[start:stop])))
+            free = stop
+    return found
 
 
 def mentions(rows: DataFrame) -> DataFrame:
