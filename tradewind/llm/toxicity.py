@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import by_batch, held_out, stored, texts
+from tradewind.llm.common import ROWS_PER_BATCH, by_batch, held_out, stored, texts
 from tradewind.llm.sampling import distinct_stories, fit_logistic, letter_words, sample_texts
 
 SAMPLE_ROWS = 12_000
 MODEL_WORDS = 60_000
 MODEL_FEATURES = 6_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 LEAST_SUPPORT = 5
 
 # What a sign may stand for.
@@ -231,9 +231,9 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, scorer = model.workers()
-        for batch in batches:
-            clean = [model.score(scorer.of(decoder.words(t or ""))) < threshold for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for part in (batch.slice(at, ROWS_PER_BATCH) for batch in batches for at in range(0, batch.num_rows, ROWS_PER_BATCH)):
+            clean = [model.score(scorer.of(decoder.words(t or ""))) < threshold for t in part.column(place).to_pylist()]
+            yield part.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
