@@ -135,9 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     if not len(y) or len(set(y[~spare])) < 2 or len(set(y[spare])) < 2:
         return Model()
     at, value = ([np.asarray(x.values) for x in seen[name]] for name in ("found", "value"))
-    own = np.flatnonzero(~spare)
+    own, rest = np.flatnonzero(~spare), np.flatnonzero(spare)
     weights, bias = fit_logistic([at[i] for i in own], [value[i] for i in own], y[own], 1 << BITS, 1e-6, 60, 0.1)
-    margins = np.array([float(weights[at[i]] @ value[i]) + bias for i in np.flatnonzero(spare)])
+    margins = np.array([float(weights[at[i]] @ value[i]) + bias for i in rest])
     return Model(weights, bias, *platt(margins, y[spare]))
 
 

@@ -33,23 +33,35 @@ def distinct_stories(sample: DataFrame) -> DataFrame:
     return sample.withColumn("longest", longest).groupBy("label", "longest").agg(F.min("text").alias("text")).select("label", "text")
 
 
+ROWS_PER_STEP = 256
+
+
 def fit_logistic(
     features: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, size: int, penalty: float, steps: int, rate: float
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias by full-batch Adam on sparse rows; classes weigh alike."""
-    used = [len(x) for x in features]
-    owner = np.repeat(np.arange(len(features)), used)
-    at = np.concatenate([np.asarray(x, np.int64) for x in features]) if sum(used) else np.zeros(0, np.int64)
-    value = np.concatenate(values) if sum(used) else np.zeros(0)
+    """Weights and bias by full-batch Adam on sparse rows; classes weigh alike.
+
+    The rows are held once, in 32-bit numbers, and worked through in pieces.
+    """
+    pieces = []
+    for first in range(0, len(features), ROWS_PER_STEP):
+        rows = features[first: first + ROWS_PER_STEP]
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
+        at = np.concatenate([np.asarray(x, np.int32) for x in rows])
+        value = np.concatenate([np.asarray(x, np.float32) for x in values[first: first + ROWS_PER_STEP]])
+        pieces.append((owner, at, value, labels[first: first + ROWS_PER_STEP]))
+    del features, values
     positive = max(labels.sum(), 1)
-    weigh = np.where(labels == 1, len(labels) / (2 * positive), len(labels) / (2 * max(len(labels) - positive, 1)))
+    good, bad = len(labels) / (2 * positive), len(labels) / (2 * max(len(labels) - positive, 1))
     w, bias = np.zeros(size), 0.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for step in range(1, steps + 1):
-        z = np.bincount(owner, weights=w[at] * value, minlength=len(labels)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * weigh / max(len(labels), 1)
-        g = np.bincount(at, weights=error[owner] * value, minlength=size) + penalty * w
-        gb = error.sum()
+        g, gb = penalty * w, 0.0
+        for owner, at, value, truth in pieces:
+            z = np.bincount(owner, weights=w[at] * value, minlength=len(truth)) + bias
+            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - truth) * np.where(truth == 1, good, bad) / len(labels)
+            g += np.bincount(at, weights=error[owner] * value, minlength=size)
+            gb += error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
