@@ -93,6 +93,16 @@ def test_disguise_is_undone(toxic_model, disguised, word):
     assert word in decoder.words(f"und then {disguised} of the")
 
 
+@pytest.mark.parametrize("disguised, word", [
+    ("i d i o t.", "idiot"), ("i d i o t,", "idiot"), ("(i d i o t)", "idiot"), ('"m o r o n"', "moron"), ("i d ! o t", "idiot"),
+    ("t r @ s h", "trash"), ("i  d  i  o  t", "idiot"), ("i\nd\ni\no\nt", "idiot"), ("s c u m !", "scum"), ("so:c l o w n", "clown"),
+    ("i - d - i - o - t", "idiot"), ("i.d i.o t", "idiot"), ("$ c u m", "scum"), ("iddiott", "idiot"), ("mmoron", "moron"),
+    ("idi\u200bot", "idiot"), ("i\u200bd\u200bi\u200bo\u200bt", "idiot"), ("i♥d♥i♥o♥t", "idiot"), ("s.t.u.p.id", "stupid"), ("i d i o t-like", "idiot")])
+def test_disguise_with_marks_and_gaps_is_undone(toxic_model, disguised, word):
+    decoder, _ = toxic_model.workers()
+    assert word in decoder.words(f"und then {disguised} of the")
+
+
 def test_plain_words_stay(toxic_model):
     decoder, _ = toxic_model.workers()
     assert decoder.words("The thing, of all (und) Straße!") == ["the", "thing", "of", "all", "und", "straße"]

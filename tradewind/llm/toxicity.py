@@ -39,9 +39,14 @@ LOOKALIKES = {
 }
 FILLERS = " .-_*~'`·,/\\#^=:;"
 EDGES = ".,;:!?\"'()[]{}<>*-_~`|/\\=#%&"
-SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]\w){2,}(?!\S)")
-REPEATED = re.compile(r"(.)\1\1")
-DISGUISE, FILL, DOUBLE, UNREAD, MARK = -1.5, -0.5, -0.7, -9.0, -5.0
+SIGNS = "".join(c for c in LOOKALIKES if not c.isalnum())
+# One letter, digit or look-alike sign on its own; a run has three or more, with white space and marks between them.
+SINGLE = rf"[^\W_{re.escape(SIGNS)}](?!\w)|[{re.escape(SIGNS)}](?!\w)"
+SPACED = re.compile(rf"(?<!\w)(?<!\w['’])(?:{SINGLE})(?:[\s{re.escape(FILLERS)}]+(?:{SINGLE})(?!['’](?!s\b)\w)){{2,}}+")
+GLUED_AFTER, GLUED_BEFORE = re.compile(r"[^\w\s]+\w"), re.compile(r"\w[^\w\s]+\Z")
+INVISIBLE = re.compile("[\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]+")
+REPEATED = re.compile(r"(.)\1")
+DISGUISE, FILL, DOUBLE, SINGLED, UNREAD, MARK = -1.5, -0.5, -0.7, -2.5, -9.0, -5.0
 
 
 class CharModel:
@@ -77,21 +82,24 @@ class CharModel:
 
 
 class Decoder(dict):
-    """Cache of restored words; a missing one is decoded."""
+    """Cache of restored words; a missing one is decoded.  A plain word that has a feature of ``known`` stays."""
 
-    def __init__(self, model: CharModel):
-        self.model = model
+    def __init__(self, model: CharModel, known: dict[str, int] | None = None):
+        self.model, self.known = model, known or {}
 
     def __missing__(self, word: str) -> str:
         if len(self) >= CACHED_WORDS:
             self.clear()
         core, open_ = word.rstrip(EDGES).lstrip(EDGES), word.rstrip(EDGES)
         if any(c.isalpha() for c in core) and (
-                not core.isalpha() or REPEATED.search(core) or (open_ != core and open_[0] in LOOKALIKES)):
+                not core.isalpha() or self.doubled(core) or (open_ != core and open_[0] in LOOKALIKES)):
             core = self.decode(open_)
         self[word] = core
         return core
 
+    def doubled(self, word: str) -> bool:
+        return bool(REPEATED.search(word)) and not any(x in self.known for x in beginnings(word))
+
     def lattice(self, word: str) -> list[list[tuple[str, float]]]:
         slots, at = [], 0
         while at < len(word):
@@ -100,14 +108,14 @@ class Decoder(dict):
                 run += 1
             at += run
             if char.isalpha():
-                slots.append([(char * run, 0.0)] if run < 3 else [(char, 0.0), (char * 2, DOUBLE)])
+                slots.append([[(char, 0.0)], [(char * 2, 0.0), (char, SINGLED)], [(char, 0.0), (char * 2, DOUBLE)]][min(run, 3) - 1])
             elif char in LOOKALIKES:
                 reads = [(c * n, DISGUISE) for c in LOOKALIKES[char] for n in range(1, min(run, 2) + 1)]
                 slots.append([*reads, (" ", UNREAD if char.isdigit() else MARK)])
-            elif char in FILLERS:
+            elif char in FILLERS or char.isspace():
                 slots.append([("", FILL), (" ", FILL - 2.5)])
             else:
-                slots.append([(" ", FILL)])
+                slots.append([("", FILL), (" ", FILL)])
         return slots
 
     def decode(self, word: str) -> str:
@@ -133,9 +141,29 @@ class Decoder(dict):
             reads.append(read)
         return " ".join("".join(reversed(reads)).split())
 
+    def spaced(self, match: re.Match) -> str:
+        """The reading of a run of single characters, set apart from what touches it.
+
+        Marks after the run are outside it, and so is an outer part without white space that is glued to a longer word.
+        """
+        text, (start, stop) = match.string, match.span()
+        parts = match[0].split()
+        if len(parts) < 2:
+            return match[0]
+        if len(parts[-1]) > 1 and GLUED_AFTER.match(text, stop):
+            stop -= len(parts[-1])
+        if len(parts[0]) > 1 and GLUED_BEFORE.search(text, max(0, start - 8), start):
+            start += len(parts[0])
+        run = text[start:stop].strip().rstrip(EDGES + " ")
+        if sum(c.isalnum() or c in SIGNS for c in run) < 3 or not any(map(str.isalnum, run)):
+            return match[0]
+        at = text.index(run, start)
+        return f"{text[match.start(): at]} {self.decode(run)} {text[at + len(run): match.end()]}"
+
     def words(self, text: str) -> list[str]:
         """The restored words of a text in order."""
-        lower = SPACED.sub(lambda m: self.decode(m[0]), text.lower())
+        lower = text.lower()
+        lower = SPACED.sub(self.spaced, lower if lower.isascii() else INVISIBLE.sub("", lower))
         return " ".join(map(self.__getitem__, lower.split())).split()
 
 
@@ -170,7 +198,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def workers(self) -> tuple[Decoder, Scorer]:
-        return Decoder(CharModel(self.words)), Scorer(self.features)
+        return Decoder(CharModel(self.words), self.features), Scorer(self.features)
 
 
 def choose_features(words: list, positives: int, negatives: int) -> dict[str, int]:
