@@ -103,6 +103,23 @@ def test_disguise_with_marks_and_gaps_is_undone(toxic_model, disguised, word):
     assert word in decoder.words(f"und then {disguised} of the")
 
 
+def test_trigrams_come_from_all_texts(spark):
+    """Unlabelled texts decide how signs are read; labelled ones alone would read 'bl'."""
+    rows = [(i, "blat blan blor") for i in range(8)] + [(100 + i, f"bixam bixor bixen bixul dixam{'abcdefgh'[i % 8] * 2} rixam") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    decoder, _ = toxicity.fit(docs, marks).workers()
+    assert decoder.words("b1xam") == ["bixam"]
+
+
+def test_features_are_chosen_before_any_cut(spark):
+    """Rare telling words count, however many common ones there are."""
+    common = " ".join("w" + "".join("abcdefghij"[int(d)] for d in str(n)) for n in range(100_000, 161_000))
+    rows = [(1 if i < 12 else 0, common + (" zzkill" if i < 12 else "")) for i in range(24)]
+    sample = spark.createDataFrame(rows, "label int, text string")
+    assert "zzkill" in toxicity.choose_features(sample, 12, 12)
+
+
 def test_plain_words_stay(toxic_model):
     decoder, _ = toxic_model.workers()
     assert decoder.words("The thing, of all (und) Straße!") == ["the", "thing", "of", "all", "und", "straße"]

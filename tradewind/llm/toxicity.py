@@ -5,9 +5,9 @@ marks, and repeated.  A suspicious word becomes a lattice of what each sign may
 disguise, and Viterbi decoding finds the reading that the channel and a character trigram model make likeliest.
 A logistic regression over the restored words and their beginnings then scores the document.
 
-Fits read a bounded sample: at most ``SAMPLE_ROWS`` labelled documents outside the held-out fifth, at most
-``MODEL_WORDS`` words of them for the character model and ``MODEL_FEATURES`` features.  Every document is scored
-over its whole text.  Defined cases: a null or empty text gets the score of no evidence; without labels every
+The character model counts the words of all texts.  Only the regression reads a bounded sample: at most ``SAMPLE_ROWS``
+labelled documents outside the held-out fifth, and at most ``MODEL_FEATURES`` features, the ones that set labels apart
+most surely among all its words.  Every document is scored over its whole text.  Defined cases: a null or empty text gets the score of no evidence; without labels every
 score is 0; repeated rows get equal scores; an empty table gives no rows.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,6 @@ from tradewind.llm.common import ROWS_PER_BATCH, by_batch, held_out, stored, tex
 from tradewind.llm.sampling import distinct_stories, fit_logistic, letter_words, sample_texts
 
 SAMPLE_ROWS = 12_000
-MODEL_WORDS = 60_000
 MODEL_FEATURES = 6_000
 CACHED_WORDS = 100_000
 LEAST_SUPPORT = 5
@@ -46,20 +45,18 @@ SPACED = re.compile(rf"(?<!\w)(?<!\w['’])(?:{SINGLE})(?:[\s{re.escape(FILLERS)
 GLUED_AFTER, GLUED_BEFORE = re.compile(r"[^\w\s]+\w"), re.compile(r"\w[^\w\s]+\Z")
 INVISIBLE = re.compile("[\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]+")
 REPEATED = re.compile(r"(.)\1")
-DISGUISE, FILL, DOUBLE, SINGLED, UNREAD, MARK = -1.5, -0.5, -0.7, -2.5, -9.0, -5.0
+DISGUISE, FILL, DOUBLE, SINGLED, UNREAD, MARK = -1.5, -0.5, -0.7, -3.5, -9.0, -5.0
 
 
 class CharModel:
     """Interpolated character trigrams of words; unseen letters get a small share."""
 
-    def __init__(self, words: dict[str, int]):
-        three, two, one = Counter(), Counter(), Counter()
-        for word, n in words.items():
-            padded, weight = f"  {word} ", 1 + math.log(n)
-            for at in range(2, len(padded)):
-                three[padded[at - 2: at + 1]] += weight
-                two[padded[at - 1: at + 1]] += weight
-                one[padded[at]] += weight
+    def __init__(self, three: dict[str, float]):
+        """``three``: the weight of each trigram of the words, with two spaces before a word and one after it."""
+        two, one = Counter(), Counter()
+        for gram, n in three.items():
+            two[gram[1:]] += n
+            one[gram[2]] += n
         pairs, singles = Counter(), Counter()
         for gram, n in three.items():
             pairs[gram[:2]] += n
@@ -189,8 +186,8 @@ class Scorer(dict):
 
 
 class Model:
-    def __init__(self, words: dict[str, int], features: dict[str, int]):
-        self.words, self.features = words, features
+    def __init__(self, trigrams: dict[str, float], features: dict[str, int]):
+        self.trigrams, self.features = trigrams, features
         self.weights, self.bias = np.zeros(len(features)), -30.0
 
     def score(self, found: list[int]) -> float:
@@ -198,35 +195,35 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def workers(self) -> tuple[Decoder, Scorer]:
-        return Decoder(CharModel(self.words), self.features), Scorer(self.features)
+        return Decoder(CharModel(self.trigrams), self.features), Scorer(self.features)
+
+
+def count_trigrams(docs: DataFrame) -> dict[str, float]:
+    """The character trigrams of all words of all texts, each word weighing as many as its documents."""
+    words = letter_words(texts(docs, F.lit(0).alias("label"))).groupBy("word").count()
+    padded = words.select(F.concat(F.lit("  "), "word", F.lit(" ")).alias("padded"), F.col("count").alias("weight"))
+    grams = padded.select("weight", F.explode(F.expr("transform(sequence(1, length(padded) - 2), at -> substring(padded, at, 3))")).alias("gram"))
+    return {r.gram: r.weight for r in grams.groupBy("gram").agg(F.sum("weight").alias("weight")).toLocalIterator()}
 
 
-def choose_features(words: list, positives: int, negatives: int) -> dict[str, int]:
+def choose_features(sample: DataFrame, positives: int, negatives: int) -> dict[str, int]:
     """The features that set toxic documents apart most surely, by a lower bound of their log odds."""
-    toxic, clean = defaultdict(int), defaultdict(int)
-    for row in words:
-        for feature in beginnings(row.word):
-            toxic[feature] += row.toxic
-            clean[feature] += row.clean
-    bound = {}
-    for feature in toxic:
-        a, b = toxic[feature], clean[feature]
-        if a + b >= LEAST_SUPPORT:
-            odds = math.log((a + 0.5) / (positives + 1)) - math.log((b + 0.5) / (negatives + 1))
-            bound[feature] = odds - 1.5 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) if odds > 0 else -1.0
-    best = sorted((f for f in bound if bound[f] > 0.5), key=lambda f: (-bound[f], f))[:MODEL_FEATURES]
-    return {feature: at for at, feature in enumerate(best)}
+    words = letter_words(sample).groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    starts = [F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("~"))) for n in (4, 5, 6)]
+    counts = (words.select("a", "b", F.explode(F.array("word", *starts)).alias("feature")).where("feature is not null")
+              .groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(f"a + b >= {LEAST_SUPPORT}"))
+    odds = F.log((F.col("a") + 0.5) / (positives + 1)) - F.log((F.col("b") + 0.5) / (negatives + 1))
+    bound = odds - 1.5 * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    best = counts.where(odds > 0).select("feature", bound.alias("bound")).where("bound > 0.5")
+    return {r.feature: at for at, r in enumerate(best.orderBy(F.desc("bound"), "feature").limit(MODEL_FEATURES).collect())}
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Train on at most ``rows`` labelled documents outside the held-out fifth."""
+    """Count the trigrams of all texts; train on at most ``rows`` labelled documents outside the held-out fifth."""
     sample = stored(distinct_stories(sample_texts(docs, labels, "toxic", rows, ~held_out(F.col("doc_id")))), "toxic-sample")
-    counts = (letter_words(sample).groupBy("word")
-              .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
-              .where("toxic + clean > 1").orderBy(F.desc(F.expr("toxic + clean")), "word").limit(MODEL_WORDS).collect())
     size = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
-    features = choose_features(counts, size.get(1, 0), size.get(0, 0))
-    model = Model({r.word: r.toxic + r.clean for r in counts}, features)
+    features = choose_features(sample, size.get(1, 0), size.get(0, 0))
+    model = Model(count_trigrams(docs), features)
 
     def found(batch: pa.RecordBatch, workers: tuple[Decoder, Scorer]) -> pa.RecordBatch:
         decoder, scorer = workers
