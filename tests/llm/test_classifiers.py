@@ -71,6 +71,18 @@ def test_language_backs_off_to_shorter_grams():
     assert (scores.of(["qqq"]) == 0).all() or scores.of(["qqq"]).shape == (2,)
 
 
+def test_rare_language_keeps_its_words(spark, monkeypatch):
+    monkeypatch.setattr(language, "MODEL_WORDS", 40)
+    monkeypatch.setattr(language, "MODEL_GRAMS", 40)
+    name = lambda head, n: head + "".join("abcdefghij"[int(d)] for d in f"{n:02d}")
+    rows = [(i, " ".join(name("big", n) for n in range(60)), "aa") for i in range(200)] + [(1000 + i, "xuqo xuqi xuqe", "zz") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, 20)
+    assert model.languages == ["aa", "zz"] and {"xuqo", "xuqi", "xuqe"} <= set(model.words)
+    probe = spark.createDataFrame([(1, "xuqo xuqe"), (2, "xuquu"), (3, "bigaa")], "doc_id long, text string")
+    assert [r.lang_pred for r in language.predict(probe, model).orderBy("doc_id").collect()] == ["zz", "zz", "aa"]
+
+
 @pytest.fixture(scope="module")
 def toxic_model(spark):
     return toxicity.fit(documents(spark, "/root/testdata/sf0.1"), documents(spark, "/root/testdata/sf0.1", "labels"), 3000)

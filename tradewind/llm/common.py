@@ -58,11 +58,25 @@ def by_batch(
     return df.mapInArrow(run, schema)
 
 
-def labelled_sample(labels: DataFrame, column: str, rows: int, rule: Column | None = None) -> list:
-    """At most ``rows`` labelled ids in the order of a hash of the id; the bound is the caller's parameter."""
+def labelled_sample(labels: DataFrame, column: str, rows: int, rule: Column | None = None, shares: bool = False) -> list:
+    """At most ``rows`` labelled ids in the order of a hash of the id; the bound is the caller's parameter.
+
+    With ``shares`` the labels get equal shares; what a rare one leaves of its share goes to the others.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).alias("label"))
     known = known.where("doc_id is not null and label is not null")
     if rule is not None:
         known = known.where(rule)
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return known.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(rows).collect()
+    order = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
+    if not shares:
+        return known.orderBy(*order).limit(rows).collect()
+    known = known.persist()
+    left, taken = rows, []
+    sizes = sorted((r["count"], r.label) for r in known.groupBy("label").count().collect())
+    for at, (size, label) in enumerate(sizes):
+        share = min(size, -(-left // (len(sizes) - at)))
+        taken += known.where(F.col("label") == label).orderBy(*order).limit(share).collect() if share else []
+        left -= share
+    known.unpersist()
+    return taken

@@ -4,14 +4,16 @@ Each language has log frequencies of words and of character n-grams of 5 down to
 known in any language is scored by its frequency in each; an unknown one by the n-grams of the largest length of which
 any is known, averaged so that a word weighs alike at every length.  The sum over all words of the text decides.
 
-The fit reads a bounded sample: at most ``SAMPLE_ROWS`` labelled documents outside the held-out fifth,
-of which at most ``MODEL_WORDS`` words and ``MODEL_GRAMS`` n-grams of each length are kept.  Defined cases: a text that is
+The fit reads a bounded sample: at most ``SAMPLE_ROWS`` labelled documents outside the held-out fifth, dealt to the
+languages in equal shares as far as they have rows.  N-grams are counted over all words of the sample; then each
+language keeps its ``MODEL_WORDS`` most frequent words and ``MODEL_GRAMS`` n-grams of each length.  Defined cases: a text that is
 null or has no letter is ``und`` with score 0; ties go to the language that comes first in the alphabet; without
 training rows everything is ``und``; repeated rows get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter, defaultdict
@@ -33,11 +35,25 @@ UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class Rows:
+    """Row of a table for each key; one array travels to the tasks instead of many."""
+
+    def __init__(self, keys: list[str], table: np.ndarray):
+        self.at, self.table = {x: at for at, x in enumerate(keys)}, table
+
+    def __iter__(self):
+        return iter(self.at)
+
+    def get(self, key: str) -> np.ndarray | None:
+        at = self.at.get(key)
+        return None if at is None else self.table[at]
+
+
 class Model:
     """Log frequencies by language, as one row of numbers per word and n-gram."""
 
     def __init__(self, counts: dict[str, dict[str, int]]):
-        """``counts``: word to language to number of documents."""
+        """``counts``: word to language to number of documents.  Caps are for each language; n-grams come before the words' cut."""
         self.languages = sorted({lang for found in counts.values() for lang in found})
         self.words = self._rows(counts, MODEL_WORDS)
         self.grams = {}
@@ -48,11 +64,15 @@ class Model:
                     sums[gram].update(found)
             self.grams[n] = self._rows(sums, MODEL_GRAMS)
 
-    def _rows(self, counts: dict, most: int) -> dict[str, np.ndarray]:
-        best = sorted(counts, key=lambda x: (-sum(counts[x].values()), x))[:most]
+    def _rows(self, counts: dict, most: int) -> Rows:
+        ranked: dict[str, list] = defaultdict(list)
+        for x, found in counts.items():
+            for lang, n in found.items():
+                ranked[lang].append((-n, x))
+        best = sorted({x for of in ranked.values() for _, x in heapq.nsmallest(most, of)})
         total = {lang: sum(counts[x].get(lang, 0) for x in best) + 1 for lang in self.languages}
-        return {x: np.array([math.log((counts[x].get(lang, 0) + 0.1) / (total[lang] + 0.1 * len(best))) for lang in self.languages])
-                for x in best}
+        table = [[math.log((counts[x].get(lang, 0) + 0.1) / (total[lang] + 0.1 * len(best))) for lang in self.languages] for x in best]
+        return Rows(best, np.array(table))
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -93,11 +113,10 @@ class Scores(dict):
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Learn from at most ``rows`` documents with a language outside the held-out fifth."""
-    sample = stored(sample_texts(docs, docs, "lang", rows, ~held_out(F.col("doc_id"))), "language-sample")
+    sample = stored(sample_texts(docs, docs, "lang", rows, ~held_out(F.col("doc_id")), shares=True), "language-sample")
     words = letter_words(sample).groupBy("word", "label").count()
-    common = words.groupBy("word").agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct("label", "count"))).alias("by"))
-    rows_ = common.orderBy(F.desc("all"), "word").limit(MODEL_WORDS).collect()
-    return Model({r.word: r.by for r in rows_})
+    common = words.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("label", "count"))).alias("by"))
+    return Model({r.word: r.by for r in common.toLocalIterator()})
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

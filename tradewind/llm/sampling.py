@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import labelled_sample, texts
 
 
-def sample_texts(docs: DataFrame, labels: DataFrame, column: str, rows: int, rule=None) -> DataFrame:
+def sample_texts(docs: DataFrame, labels: DataFrame, column: str, rows: int, rule=None, shares: bool = False) -> DataFrame:
     """``label, text`` of the sampled documents; the ids number at most ``rows``, so they can be broadcast."""
-    ids = labelled_sample(labels, column, rows, rule)
+    ids = labelled_sample(labels, column, rows, rule, shares)
     kind = "string" if dict(labels.dtypes)[column] == "string" else "int"
     picked = docs.sparkSession.createDataFrame([(r.doc_id, r.label) for r in ids], f"picked long, label {kind}")
     return texts(docs).join(F.broadcast(picked), F.col("doc_id") == F.col("picked")).select("label", "text")
