@@ -48,6 +48,19 @@ def test_quality_classifier_tells_held_out_rows(spark):
     assert sum((r.probability >= 0.5) == (r.quality == 1) for r in rows) >= 0.9 * len(rows)
 
 
+def test_quality_rare_class_calibrates(spark):
+    """With few rows of a class the classifier stays on, whatever fifth their texts fall in."""
+    for bad in (1, 2, 3):
+        for salt in "abcd":
+            rows = [(i, f"good words stand here {salt} {i}") for i in range(40)] + [(100 + i, f"junk spam zzz {salt} {i}") for i in range(bad)]
+            docs = spark.createDataFrame(rows, "doc_id long, text string")
+            marks = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, quality int")
+            model = quality.fit(docs, marks)
+            score = lambda text: model.probability(*quality.features(*quality.split_words(text, quality.Hashes())[::2]))
+            assert score("junk spam zzz") < score("good words stand here") < 1
+    assert quality.spare_fifth(quality.np.array([1.0] * 10 + [0.0] * 3), quality.np.arange(13)).sum() == 3
+
+
 def test_language(spark):
     docs = documents(spark, MIDDLE)
     rows = language.identify_language(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()

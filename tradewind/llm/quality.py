@@ -7,7 +7,7 @@ fit has not seen.  Scoring runs in Arrow batches; a text is kept if no base rule
 probability of good quality reaches ``THRESHOLD``.
 
 The fit reads at most ``SAMPLE_ROWS`` labelled rows.  Defined cases: a null text has no words and fails; without
-labels, or with one class only, the probability is 1 for every text; repeated rows get equal results; an empty
+labels, or with one class only, the probability is 1 for every text; a class with a single text is not calibrated; repeated rows get equal results; an empty
 table gives no rows.
 """
 
@@ -115,6 +115,17 @@ def platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(slope), float(offset)
 
 
+def spare_fifth(labels: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The rows that calibrate: of each class the fifth with the least hash of the text, one of two to four; equal texts stay together."""
+    spare = np.zeros(len(labels), bool)
+    for label in set(labels):
+        own = labels == label
+        hashes = np.unique(order[own])
+        if len(hashes) > 1:
+            spare |= own & np.isin(order, hashes[: max(1, len(hashes) // 5)])
+    return spare
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Train on at most ``rows`` labelled documents; a fifth of them calibrates."""
     sample = stored(sample_texts(docs, labels, "quality", rows), "quality-sample")
@@ -123,20 +134,22 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         found = []
         for text in batch.column(1).to_pylist():
             raw, _, h = split_words(text, hashes)
-            found.append((*features(raw, h), xxhash.xxh64_intdigest(raw) % 5 == 0))
+            found.append((*features(raw, h), xxhash.xxh64_intdigest(raw)))
         return pa.RecordBatch.from_arrays([
             batch.column(0), pa.array([x[0].astype(np.int32) for x in found], pa.list_(pa.int32())),
-            pa.array([x[1].astype(np.float32) for x in found], pa.list_(pa.float32())), pa.array([x[2] for x in found], pa.bool_())],
-            names=["label", "found", "value", "spare"])
+            pa.array([x[1].astype(np.float32) for x in found], pa.list_(pa.float32())), pa.array([x[2] for x in found], pa.uint64()).view(pa.int64())],
+            names=["label", "found", "value", "order"])
 
-    seen = by_batch(sample, "label int, found array<int>, value array<float>, spare boolean", hashed, Hashes).toArrow()
+    seen = by_batch(sample, "label int, found array<int>, value array<float>, order long", hashed, Hashes).toArrow()
     y = seen["label"].to_numpy().astype(float)
-    spare = np.array(seen["spare"].to_pylist(), bool)
-    if not len(y) or len(set(y[~spare])) < 2 or len(set(y[spare])) < 2:
+    if len(set(y)) < 2:
         return Model()
+    spare = spare_fifth(y, seen["order"].to_numpy())
     at, value = ([np.asarray(x.values) for x in seen[name]] for name in ("found", "value"))
     own, rest = np.flatnonzero(~spare), np.flatnonzero(spare)
     weights, bias = fit_logistic([at[i] for i in own], [value[i] for i in own], y[own], 1 << BITS, 1e-6, 60, 0.1)
+    if len(set(y[spare])) < 2:
+        return Model(weights, bias, 1.0, 0.0)
     margins = np.array([float(weights[at[i]] @ value[i]) + bias for i in rest])
     return Model(weights, bias, *platt(margins, y[spare]))
 
