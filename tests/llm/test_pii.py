@@ -33,6 +33,19 @@ def test_types_formats_and_coreference(spark):
     assert got[5].n_entities == 0 and got[3].n_entities == 4
 
 
+def test_whole_names_are_found(spark):
+    spans = ["Anna Maria Schulz", "Frau Anna Maria Schulz", "Mr. John F. Kennedy", "Maria Schulz-Weber", "John O'Brien", "Mr. O'Brien",
+             "Anna van der Berg", "Frau von Weber", "Anna-Maria Schulz", "Carlos de la Cruz", "Peter D’Angelo"]
+    for name in spans:
+        text = f"dort sah {name} etwas"
+        assert [text[a:b] for a, b, *_ in pii.find(text)] == [name]
+    got = replaced(spark, [(i, f"dort sah {name} etwas") for i, name in enumerate(spans)])
+    for i, name in enumerate(spans):
+        assert got[i].n_entities == 1 and not any(x in got[i].text for x in ("Schulz", "Kennedy", "Brien", "Berg", "Cruz", "Angelo"))
+    for text, name in (("John Smith's car", "John Smith"), ("Carlos y Maria van", None), ("Anna zu Hause", None)):
+        assert [text[a:b] for a, b, *_ in pii.find(text)] == ([name] if name else [])
+
+
 def test_key_decides(spark):
     assert replaced(spark, ROWS[:2], "k")[1].text == replaced(spark, ROWS[:2], "k")[1].text
     assert replaced(spark, ROWS[:2], "k")[1].text != replaced(spark, ROWS[:2], "other")[1].text

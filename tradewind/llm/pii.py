@@ -1,7 +1,8 @@
 """Surrogates for personal data: keyed, true to type and format, distinct and consistent over the corpus.
 
 Detection finds e-mail addresses, telephone numbers, IPv4 addresses, long card or account numbers, social security numbers
-and names of persons (a known given name or a title, with a capitalised surname).  An entity is its kind and its
+and names of persons (a known given name or a title, then further known given names, initials and particles, and a
+capitalised surname with its hyphens and apostrophes; a second surname after a space is not recognised).  An entity is its kind and its
 canonical form, so that all spellings of one entity get one surrogate.  A surrogate is drawn by a keyed hash: digits
 for digits, letters for letters, given names of the same gender and script; it is written into the format of the
 mention.  Proposals are checked against all entities of the corpus and against one another, and who loses draws
@@ -38,6 +39,12 @@ SURNAMES = {
 TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Señora Sra".split(), "m": "Mr Herr Monsieur Señor Sr".split()}
 _names = "|".join(name for names in GIVEN.values() for name in names)
 _titles = "|".join(title for titles in TITLES.values() for title in titles)
+# A surname may have a first letter with an apostrophe, hyphens and particles; initials and given names may stand before it.
+_upper, _letter = "A-ZÀ-ÖØ-ÞА-ЯЁ", r"[^\W\d_]"
+_word = rf"(?:[OoDdLl]['’](?=[{_upper}]))?[^\W\d_a-zа-яё]{_letter}+(?:['’](?!s\b){_letter}+)?(?:-{_letter}+(?:['’]{_letter}+)?)*"
+_given = rf"(?:{_names})(?:-(?:{_names}))*(?![\w-])"
+_particle = r"(?:van(?:\s+(?:de[nr]?|het))?|von(?:\s+der)?|de(?:\s+(?:la|las|los))?|da|do|dos|das|del|della|di|du|ten|ter|af|av|bin|ibn)"
+_between = rf"(?:(?:{_given}|[{_upper}]\.?(?![\w'’]))\s+)*(?:{_particle}\s+)?"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -45,7 +52,7 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
              r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "name": rf"(?<!\w)(?:(?:{_titles})\.?\s+(?:(?:{_names})\s+)?[^\W\d_a-zа-я][^\W\d_]+|(?:{_names})\s+[A-ZА-ЯÀ-Þ][^\W\d_]+)(?!\w)",
+    "name": rf"(?<!\w)(?:(?:{_titles})\.?\s+{_between}{_word}|{_given}\s+{_between}{_word})(?!\w)",
 }
 PATTERNS["email"] = r"(?<![A-Za-z0-9._%+-])" + PATTERNS["email"]
 MAIL, NAME = re.compile(PATTERNS["email"]), re.compile(PATTERNS["name"])
@@ -54,18 +61,24 @@ RUN = re.compile(r"[0-9+(][0-9 ().+-]{5,}")
 NUMBER = re.compile("|".join(f"(?P<{kind}>{PATTERNS[kind]})" for kind in ("ssn", "ip", "phone", "card")), re.ASCII)
 # A pattern for the JVM that every text with an entity matches, and few others.
 MAYBE = (r"@|[0-9+(][0-9 ().+-]{5}|\p{Lu}\p{Ll}+[\s\p{Z}\x1c-\x1f\x85]+[\p{L}&&[^a-zа-я]]"
-         rf"|(?:{_titles})\.")
+         rf"|(?:{_titles})\.|(?:{_names}|{_titles})[\s\p{{Z}}\x1c-\x1f\x85]+(?:v[ao]n|d[aeiou]|d[aeo][sl]|della|te[nr]|a[fv]|bin|ibn)[\s\p{{Z}}\x1c-\x1f\x85]")
 GENDER = {**{n: g for (_, g), names in GIVEN.items() for n in names}, **{t: g for g, ts in TITLES.items() for t in ts}}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
+def name_words(mention: str) -> list[str]:
+    """The words of a name; of hyphened ones before the last, the first part."""
+    *before, last = mention.replace(".", " ").split()
+    return [*(w.split("-")[0] for w in before), last]
+
+
 def canonical(kind: str, mention: str) -> str:
     """What all mentions of one entity share: digits, or lower-case text; names as gender, script and words."""
     if kind in ("phone", "card", "ssn"):
         return "".join(c for c in mention if c.isdigit())
     if kind != "name":
         return mention.lower()
-    words = mention.replace(".", " ").split()
+    words = name_words(mention)
     gender = next((GENDER[w] for w in words if w in GENDER), "m")
     script = "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in mention) else "latin"
     given = next((w for w in words if w in GENDER and w not in TITLES["f"] + TITLES["m"]), "")
@@ -132,7 +145,7 @@ def written(kind: str, mention: str, entity: str) -> str:
     if kind == "name":
         _, _, given, family = entity.split(":")
         title = next((w for w in mention.split() if w.rstrip(".") in TITLES["f"] + TITLES["m"]), "")
-        had_given = any(w in GENDER for w in mention.replace(".", " ").split() if w != title.rstrip("."))
+        had_given = any(w in GENDER for w in name_words(mention) if w != title.rstrip("."))
         words = [title, given.title() if had_given else "", "-".join(x.title() for x in family.split("-"))]
         made = " ".join(w for w in words if w)
         return made.upper() if mention.isupper() else made
