@@ -144,6 +144,23 @@ def mixing_oracle(mix: mixing.Mix) -> str:
         from keyed"""
 
 
+TERMS = f"""regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+SEARCH = f"""
+    with rows as (select row_number() over () as rid, doc_id, {TERMS} as terms from documents),
+    sized as (select rid, doc_id, len(terms)::bigint as n, terms from rows where len(terms) > 0),
+    totals as (select count(*)::bigint as docs, sum(n)::bigint as length from sized),
+    counts as (select rid, term, count(*)::bigint as tf from (select rid, unnest(terms) as term from sized) group by all),
+    weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from counts, totals group by term, docs),
+    asked as (select distinct item_id, unnest({TERMS}) as term from benchmark),
+    lengths as (select rid, doc_id, 10 + (90 * n * docs) // length as m from sized, totals),
+    scores as (
+        select item_id, doc_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+        from asked join weights using (term) join counts using (term) join lengths using (rid) group by all),
+    placed as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank from scores where score > 0)
+    select item_id, rank, doc_id, score from placed where rank <= 10"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op3_chat_formatting": chat_oracle(),
@@ -151,4 +168,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_secret_scans": secrets_oracle(),
         "op8_exact_dedup": EXACT,
         "op10_mixing": mixing_oracle(mixing.PRODUCTION),
+        "op11_lexical_search": SEARCH,
     }

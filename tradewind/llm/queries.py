@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import chat_format, exact_dedup, language, mixing, near_dedup, packing, pii, quality, secrets, toxicity
+from tradewind.llm import chat_format, exact_dedup, language, mixing, near_dedup, packing, pii, quality, search, secrets, toxicity
 from tradewind.llm.common import table
 
 
@@ -52,6 +52,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_packing, op2_pii, op3_chat_formatting, op4_minhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity, op10_mixing)}
+        op1_packing, op2_pii, op3_chat_formatting, op4_minhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity, op10_mixing,
+        op11_lexical_search)}
