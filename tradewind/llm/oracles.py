@@ -161,6 +161,69 @@ SEARCH = f"""
     select item_id, rank, doc_id, score from placed where rank <= 10"""
 
 
+def repair_oracle() -> str:
+    """The repair as a walk over the rows of a conversation; a path is its cost in nine digits and its letters."""
+    checksum = """xor(list_reduce(range(8 * strlen(k)), lambda c, i: xor((case when i % 8 = 0 then xor(c, ascii(substr(k, (i // 8 + 1)::int, 1)))
+        else c end) >> 1, 3988292384 * ((case when i % 8 = 0 then xor(c, ascii(substr(k, (i // 8 + 1)::int, 1))) else c end) & 1)),
+        4294967295::bigint), 4294967295::bigint)"""
+    space = r"[\x20\x09-\x0D]"
+    add = lambda path, cost, letter: f"lpad((substr({path}, 1, 9)::int + {cost})::varchar, 9, '0') || substr({path}, 10) || '{letter}'"
+    stays = "fault not in ('blank', 'duplicate')"
+    more = "case fault when 'truncated' then 3 else 0 end"
+    kept = lambda path, initial: f"case when {stays} and substr(role, 1, 1) = '{initial}' then {add(path, more, 'K')} end"
+    rerole = lambda path: f"case when {stays} then {add(path, more + ' + 3', 'R')} end"
+    return f"""
+        with recursive keyed as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                   concat(coalesce(conv_id::varchar, ' '), ':', coalesce(turn::varchar, ' ')) as k from conversations),
+        struck as (select conv_id, turn, role, text, ({checksum}) % 20 as fault from keyed),
+        damaged as (
+            select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+                   case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+                   unnest(case when fault = 3 then [1, 2] else [1] end) as copy
+            from struck where fault > 0),
+        placed as (select *, row_number() over talk as pos, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as nth,
+                          lag(substr(role, 1, 1)) over talk as before,
+                          regexp_replace(text, '{space}+$', '') as core
+                   from damaged window talk as (partition by conv_id order by turn nulls first, role, text, copy)),
+        rows as (select *, case when core = '' then 'blank' when nth > 1 then 'duplicate' when right(core, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
+                 from placed),
+        facts as (
+            select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+                   count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+                   count(*) filter (pos > 1 and concat(before, substr(role, 1, 1)) not in ('su', 'ua', 'au')) as illegal
+            from rows group by conv_id),
+        walk as (
+            select conv_id, 0::bigint as i, '000000000' as p0, null::varchar as p1, null::varchar as p2, null::varchar as p3 from facts
+            union all
+            select conv_id, i + 1, {add('p0', 4, 'D')}, least({add('p1', 4, 'D')}, {kept('p0', 's')}),
+                   least({add('r2', 4, 'D')}, {kept('base', 'u')}, {rerole('base')}), least({add('r3', 4, 'D')}, {kept('r2', 'a')}, {rerole('r2')})
+            from (select *, least(p0, p1, r3) as base from (
+                select *, least(p3, {add('p2', 3, 'I')}, {add('once', 3, 'I')}) as r3, least(p2, once) as r2 from (
+                    select *, {add('least(p0, p1, p3)', 3, 'I')} as once
+                    from walk w join (select conv_id as own, pos, role, fault from rows) r on r.own is not distinct from w.conv_id and r.pos = w.i + 1)))),
+        best as (
+            select w.conv_id, least(p0, {add('p1', 6, 'II')}, {add('p2', 3, 'I')}, p3) as path
+            from walk w join facts f on f.conv_id is not distinct from w.conv_id and w.i = f.n),
+        edits as (
+            select *, sum((letter <> 'I')::int) over so_far as pos, sum((letter <> 'D')::int) over so_far as place
+            from (select conv_id, unnest(string_split(substr(path, 10), '')) as letter, generate_subscripts(string_split(substr(path, 10), ''), 1) as nr
+                  from best where length(path) > 9)
+            window so_far as (partition by conv_id order by nr rows between unbounded preceding and current row)),
+        read as (
+            select e.*, r.role, r.text, max((place = 1 and letter = 'K' and substr(r.role, 1, 1) = 's')::int) over (partition by e.conv_id) as begins
+            from edits e left join rows r on r.conv_id is not distinct from e.conv_id and r.pos = e.pos),
+        written as (
+            select conv_id, string_agg(case letter when 'K' then role else case (place - begins) % 2 when 1 then 'user' else 'assistant' end end || ':' ||
+                                       case letter when 'I' then '' else text end, chr(10) order by nr) as whole
+            from read where letter <> 'D' group by conv_id)
+        select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+               coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(substr(path, 1, 9)::bigint, 0)::bigint as cost,
+               coalesce(substr(path, 10), '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+        from (select distinct conv_id from conversations) c left join facts f on f.conv_id is not distinct from c.conv_id
+             left join best b on b.conv_id is not distinct from c.conv_id left join written w on w.conv_id is not distinct from c.conv_id"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op3_chat_formatting": chat_oracle(),
@@ -169,4 +232,5 @@ def llm_oracles() -> dict[str, str]:
         "op8_exact_dedup": EXACT,
         "op10_mixing": mixing_oracle(mixing.PRODUCTION),
         "op11_lexical_search": SEARCH,
+        "op13_conversation_repair": repair_oracle(),
     }
