@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import chat_format, exact_dedup, language, mixing, near_dedup, packing, pii, quality, repair, search, secrets, toxicity
+from tradewind.llm import (
+    chat_format, exact_dedup, language, main_text, mixing, near_dedup, packing, pii, quality, repair, search, secrets, toxicity)
 from tradewind.llm.common import table
 
 
@@ -56,6 +57,10 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
 
 
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_text(table(spark, folder, "pages"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair_conversations(table(spark, folder, "conversations"))
 
@@ -63,4 +68,4 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_pii, op3_chat_formatting, op4_minhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_language_id, op8_exact_dedup, op9_toxicity, op10_mixing,
-        op11_lexical_search, op13_conversation_repair)}
+        op11_lexical_search, op12_html_extraction, op13_conversation_repair)}
