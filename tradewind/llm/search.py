@@ -182,7 +182,9 @@ def search_block(docs: DataFrame, block: list, k: int) -> DataFrame | None:
     for r in rows.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         weights[r.term] = math.floor(1000 * math.log((2 * totals.documents + 2) / (2 * r["count"] + 1)))
     made = impact_vectors(rows, totals.documents, totals.length)
-    vectors = stored(made.repartitionByRange(F.desc("norm")).sortWithinPartitions(F.desc("norm")), "search-vectors")
+    # Copies share their length, so a hash of the id takes part in the ranges.
+    order = [F.desc("norm"), F.xxhash64("doc_id")]
+    vectors = stored(made.repartitionByRange(*order).sortWithinPartitions(*order), "search-vectors")
 
     ids = [row.item_id for row in block]
     terms = [np.array([vocabulary[t.encode()] for t in row.terms], np.int64) for row in block]
