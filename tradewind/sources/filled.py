@@ -1,7 +1,7 @@
 """A catalog that fills what narrow test folders lack by fixed integer rules.
 
-Only the registered queries use it.  A stored column is never recomputed; the core catalog raises instead of
-filling anything in.
+Only the registered queries use it.  A stored column is not recomputed, but for one-word part types, which the rules complete
+where ``p_container`` is not stored either; the core catalog raises instead of filling anything in.
 """
 
 from __future__ import annotations
@@ -86,14 +86,15 @@ def derive_partsupp(lineitem: DataFrame) -> DataFrame:
 
 class FilledCatalog(Catalog):
     def load(self, name: str) -> DataFrame:
-        frame = stored(self.spark, self.folder, name)
+        def filled(frame: DataFrame) -> DataFrame:
+            if name == "part" and "p_container" not in frame.columns:
+                frame = frame.withColumn("p_type", F.expr(_THREE_WORD_TYPE))
+            return conform(frame, name, RULES[name])
+
+        frame = stored(self.spark, self.folder, name, "filled", filled)
         if frame is None and name == "partsupp":
-            frame = derive_partsupp(read_columns(self.spark, self.folder, "lineitem"))
-        elif frame is None:
-            frame = read_columns(self.spark, self.folder, name)
-        if name == "part" and "p_container" not in frame.columns:
-            frame = frame.withColumn("p_type", F.expr(_THREE_WORD_TYPE))
-        return conform(frame, name, RULES[name])
+            return read_columns(self.spark, self.folder, "lineitem", "offers", lambda lines: filled(derive_partsupp(lines)))
+        return frame if frame is not None else read_columns(self.spark, self.folder, name)
 
 
 def filled_catalog(spark: SparkSession, folder: str) -> FilledCatalog:

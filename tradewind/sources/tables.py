@@ -3,21 +3,91 @@
 from __future__ import annotations
 
 import os
+from collections import OrderedDict
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from threading import Lock
+from weakref import WeakKeyDictionary
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tradewind.schema import TABLES
 
 
-def stored(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    """``name.parquet`` or the ``name`` folder as it is stored, or None if neither is there or has files."""
-    for candidate in (f"{name}.parquet", name):
+@dataclass
+class Listing:
+    """A path's direct entries as (name, size, time), and whether they are all of its files."""
+    entries: tuple
+    is_flat: bool
+
+
+@dataclass
+class Opened:
+    """What is known of a path: its schema, and frames over exactly these files."""
+    listing: Listing
+    schema: T.StructType
+    frames: dict = field(default_factory=dict)
+
+
+PATHS = 256  # opened paths that a session remembers
+_opened: WeakKeyDictionary[SparkSession, OrderedDict[str, Opened]] = WeakKeyDictionary()
+_lock = Lock()
+
+
+def listing(spark: SparkSession, path: str) -> Listing | None:
+    """One call to the file system that holds the path; None if nothing is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return None
+    found = [(s.getPath().getName(), s.getLen(), s.getModificationTime(), s.isDirectory()) for s in files.listStatus(place)]
+    return Listing(tuple(sorted(f[:3] for f in found)), not any(f[3] for f in found))
+
+
+def open_path(spark: SparkSession, path: str) -> Opened | None:
+    """The schema of a path, read from a footer only when its entries have changed; None if it has no files."""
+    now = listing(spark, path)
+    if now is None:
+        return None
+    with _lock:
+        known = _opened.setdefault(spark, OrderedDict())
+        opened = known.get(path)
+    if opened is None or opened.listing != now:
         try:
-            return spark.read.parquet(os.path.join(folder, candidate))
+            opened = Opened(now, spark.read.parquet(path).schema)
         except AnalysisException as problem:
             if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
+            return None
+    with _lock:
+        known[path] = opened
+        known.move_to_end(path)
+        while len(known) > PATHS:
+            known.popitem(last=False)
+    return opened
+
+
+def stored(spark: SparkSession, folder: str, name: str, label: str = "",
+           make: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+    """``name.parquet`` or the ``name`` folder as it is stored, or None if neither is there or has files.
+
+    ``make`` turns the frame into another one, which is remembered as ``label`` as long as the files are the same.
+    Frames over folders of folders are made anew each time, since a listing of the first level does not show all files.
+    """
+    for candidate in (f"{name}.parquet", name):
+        path = os.path.join(folder, candidate)
+        opened = open_path(spark, path)
+        if opened is None:
+            continue
+        if opened.listing.is_flat and label in opened.frames:
+            return opened.frames[label]
+        frame = spark.read.schema(opened.schema).parquet(path)
+        frame = make(frame) if make else frame
+        if opened.listing.is_flat:
+            opened.frames[label] = frame
+        return frame
     return None
 
 
@@ -25,9 +95,9 @@ def exists(spark: SparkSession, folder: str, name: str) -> bool:
     return stored(spark, folder, name) is not None
 
 
-def read_columns(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The stored columns of one table."""
-    frame = stored(spark, folder, name)
+def read_columns(spark: SparkSession, folder: str, name: str, label: str = "", make: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The stored columns of one table, or what ``make`` makes of them."""
+    frame = stored(spark, folder, name, label, make)
     if frame is None:
         raise FileNotFoundError(f"no {name} below {folder}")
     return frame
@@ -49,7 +119,7 @@ def conform(frame: DataFrame, name: str, rules: dict[str, str] | None = None) ->
 class Catalog:
     """Lazy access to one folder's tables: ``catalog.orders`` is a DataFrame.
 
-    A catalog lists a table's files when it is first asked for it; a new catalog sees what was added since.
+    A catalog looks at a table's files when it is first asked for it; a new catalog sees what was added since.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -58,7 +128,7 @@ class Catalog:
         self._frames: dict[str, DataFrame] = {}
 
     def load(self, name: str) -> DataFrame:
-        return conform(read_columns(self.spark, self.folder, name), name)
+        return read_columns(self.spark, self.folder, name, "declared", lambda frame: conform(frame, name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
