@@ -131,6 +131,7 @@ def jobs() -> dict[str, str]:
         "rf1_insert": refreshed(1, 0),
         "rf2_delete": refreshed(0, 1),
         "stored_refresh_sets": refreshed(2, 2),
+        "compact_refresh_sets": refreshed(3, 3),
         "stream_refresh": refreshed(2, 2),
         "segmented_refresh": """
             with k as (select l_orderkey as key, count(*) as n from lineitem group by 1),

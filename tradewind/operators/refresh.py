@@ -51,32 +51,45 @@ def _write_set(rows: DataFrame, path: str, number: int) -> None:
      .partitionBy(*PARTITIONS).parquet(path))
 
 
-def _counting(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    """The stored rows of the first delivery of every set."""
+def counting(spark: SparkSession, folder: str, name: str, after: int = 0, upto: int | None = None) -> DataFrame | None:
+    """The stored rows of the first delivery of every set, or of the sets behind ``after`` up to ``upto``; None if nothing was ever stored.
+
+    The numbers are partitions, so the folders of other sets are not read.
+    """
     rows = stored(spark, folder, name)
     if rows is None:
         return None
+    rows = rows.filter(col("refresh") > after)
+    rows = rows if upto is None else rows.filter(col("refresh") <= upto)
     firsts = rows.groupBy(col("refresh").alias("_set")).agg(F.min("delivery").alias("_first"))
     return rows.join(firsts, (col("refresh") == col("_set")) & (col("delivery") == col("_first")), "left_semi")
 
 
-def refreshed(base: Catalog, folder: str, name: str) -> DataFrame:
-    """``orders`` or ``lineitem`` with every stored set applied.
+def latest_deletes(deletes: DataFrame) -> DataFrame:
+    """``_gone, _last``: each deleted key and the last set that deletes it."""
+    return deletes.groupBy(col("key").alias("_gone")).agg(F.max("refresh").alias("_last"))
+
+
+def merged(rows: DataFrame, folder: str, name: str, after: int = 0, upto: int | None = None) -> DataFrame:
+    """Rows of ``orders`` or ``lineitem`` with the stored sets behind ``after``, up to ``upto``, applied.
 
     A delete set removes base rows and rows of insert sets up to its own number.
     """
-    spark, key = base.spark, KEYS[name]
-    rows = getattr(base, name).withColumn("refresh", lit(0))
-    fresh, deletes = _counting(spark, folder, f"{name}_inserts"), _counting(spark, folder, "deletes")
+    spark, key = rows.sparkSession, KEYS[name]
+    rows = rows.withColumn("refresh", lit(0))
+    fresh, deletes = counting(spark, folder, f"{name}_inserts", after, upto), counting(spark, folder, "deletes", after, upto)
     if fresh is not None:
         rows = rows.unionByName(fresh.select(*rows.columns))
     if deletes is not None:
-        last = deletes.groupBy(col("key").alias("_gone")).agg(F.max("refresh").alias("_last"))
-        rows = rows.join(last, (col(key) == col("_gone")) & (col("refresh") <= col("_last")),
-                         "left_anti")
+        rows = rows.join(latest_deletes(deletes), (col(key) == col("_gone")) & (col("refresh") <= col("_last")), "left_anti")
     return rows.drop("refresh")
 
 
+def refreshed(base: Catalog, folder: str, name: str) -> DataFrame:
+    """``orders`` or ``lineitem`` with every stored set applied."""
+    return merged(getattr(base, name), folder, name)
+
+
 def segments(rows: DataFrame, key: str, count: int) -> DataFrame:
     """Add ``segment`` 1..count: equal runs of keys, so an order stays with its lines.
 

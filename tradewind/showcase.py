@@ -18,7 +18,7 @@ from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
-from tradewind.operators import quality, refresh, warehouse
+from tradewind.operators import compaction, quality, refresh, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
@@ -271,6 +271,27 @@ def stored_sets(spark: SparkSession, folder: str) -> DataFrame:
                           refresh.refreshed(catalog, store, "lineitem"))
 
 
+def _write_sets(catalog: Catalog, store: str, count: int) -> None:
+    members, orders, lines = _sets(catalog, count)
+    for number in range(1, count + 1):
+        own = col("refresh") == number
+        refresh.write_insert_set(catalog.spark, store, number, orders.filter(own).drop("refresh"), lines.filter(own).drop("refresh"))
+        refresh.write_delete_set(catalog.spark, store, number, members.filter(own).drop("refresh"))
+
+
+def compacted_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Three stored sets: two are folded into the tables and retired, the third is merged with them."""
+    catalog, store, versions = filled_catalog(spark, folder), scratch(spark, "refresh"), scratch(spark, "versions")
+    _write_sets(catalog, store, 3)
+    compaction.begin(catalog, versions)
+    compaction.compact(spark, versions, store, 1)
+    compaction.compact(spark, versions, store, 2)
+    compaction.retire(spark, versions, store)
+    compaction.vacuum(spark, versions)
+    now = compaction.current(catalog, versions, store)
+    return _status_report(now.orders, now.lineitem)
+
+
 # -- streaming --------------------------------------------------------------
 
 def streamed_steps(spark: SparkSession, folder: str) -> DataFrame:
@@ -401,6 +422,7 @@ SHOWCASE = {
     "rf2_delete": delete_set,
     "segmented_refresh": segmented_set,
     "stored_refresh_sets": stored_sets,
+    "compact_refresh_sets": compacted_sets,
     "stream_step_ingest": streamed_steps,
     "stream_refresh": streamed_sets,
     "stream_throughput": streamed_throughput,
