@@ -57,11 +57,57 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     got = replaced(spark, rows)
     assert len({r.text for r in got.values()}) == len(names)
     # A draw that always meets an entity of the corpus first.
-    entities = spark.createDataFrame([("ip", "1.1.1.1"), ("ip", "2.2.2.2")], "kind string, entity string")
+    entities = spark.createDataFrame([("ip", "1.1.1.1", ""), ("ip", "2.2.2.2", "")], "kind string, entity string, base string")
     known = {r.entity: r.surrogate for r in pii.resolve(entities, "k").collect()}
     assert len(set(known.values())) == 2 and not set(known.values()) & set(known)
 
 
+def test_names_keep_their_format_and_their_parts(spark):
+    texts = ["so John Smith came", "then Mr. Smith left", "and Mr. John F. Kennedy", "but Ms. Anna-Maria van der Berg-Smith", "so Peter O'Brien did",
+             "and HERR", "as Frau SCHULZ did", "as Frau Schulz did", "mit Иван Орлинский ging"]
+    got = [r.text for _, r in sorted(replaced(spark, list(enumerate(texts))).items())]
+    smith = re.fullmatch(r"then Mr\. (\w+) left", got[1])[1]
+    given = re.fullmatch(rf"so (\w+) {smith} came", got[0])[1]
+    assert given in pii.GIVEN["latin", "m"] and given != "John"
+    assert re.fullmatch(rf"and Mr\. {given} [A-EG-Z]\. (?!Kennedy)\w+", got[2])
+    first, second = re.fullmatch(rf"but Ms\. (\w+)-(\w+) van der (?!Berg)\w+-{smith}", got[3]).groups()
+    assert {first, second} <= set(pii.GIVEN["latin", "f"]) and first not in ("Anna", second) and second != "Maria"
+    assert re.fullmatch(r"so (?!Peter)\w+ O'(?!Brien)\w+ did", got[4]) and got[5] == texts[5]
+    schulz = re.fullmatch(r"as Frau (\w+) did", got[7])[1]
+    assert got[6] == f"as Frau {schulz.upper()} did"
+    assert re.fullmatch(r"mit (?!Иван)[А-Я][а-яё]+ (?!Орл)[А-Я][а-яё]+ ging", got[8])
+
+
+def test_telephone_numbers_agree_with_and_without_country_code(spark):
+    texts = ["call +49 30 1234567 now", "call 030 1234567 now", "call +1 (988) 555-2485 now", "call (988) 555-2485 now", "call +351 21 555 1234 now"]
+    got = [r.text for _, r in sorted(replaced(spark, list(enumerate(texts))).items())]
+    shape = lambda t: re.sub(r"\d", "0", t)
+    assert [shape(t) for t in got] == [shape(t) for t in texts]
+    digits = ["".join(re.findall(r"\d", t)) for t in got]
+    assert digits[0][:2] == "49" and digits[1][0] == "0" and digits[0][2:] == digits[1][1:] != "301234567"
+    assert digits[2] == "1" + digits[3] and digits[3] != "9885552485" and digits[4][:3] == "351"
+
+
+def test_addresses_of_short_hosts_end_distinct(spark):
+    mails = [f"{a}@{h}.com" for h in "dr" for a in pii.LETTERS]
+    got = replaced(spark, [(i, f"to {m} now") for i, m in enumerate(mails)])
+    made = [re.fullmatch(r"to (\S+)@(\S+) now", got[i].text).groups() for i in range(52)]
+    assert len(set(made)) == 52 and len({h for _, h in made[:26]}) == len({h for _, h in made[26:]}) == 1 and made[0][1] != made[26][1]
+
+
+def test_numbers_that_fill_their_space_are_permuted(spark):
+    every = [("phone", f"{n:04d}", "") for n in range(10000)]
+    entities = spark.createDataFrame(every, "kind string, entity string, base string")
+    known = {r.entity: r.surrogate for r in pii.resolve(entities, "k").collect()}
+    assert len(known) == 10000 and set(known) == set(known.values()) and sum(a == b for a, b in known.items()) < 20
+
+
+def test_many_surnames_stay_distinct(spark):
+    entities = spark.createDataFrame([("family", f"latin:name{n}", "") for n in range(3000)], "kind string, entity string, base string")
+    known = [r.surrogate for r in pii.resolve(entities, "k").collect()]
+    assert len(known) == len(set(known)) == 3000
+
+
 def test_all_documents_lose_their_entities(spark, small):
     docs = documents(spark, small)
     before = {r.doc_id: r.text for r in docs.collect()}

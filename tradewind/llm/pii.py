@@ -2,11 +2,16 @@
 
 Detection finds e-mail addresses, telephone numbers, IPv4 addresses, long card or account numbers, social security numbers
 and names of persons (a known given name or a title, then further known given names, initials and particles, and a
-capitalised surname with its hyphens and apostrophes; a second surname after a space is not recognised).  An entity is its kind and its
-canonical form, so that all spellings of one entity get one surrogate.  A surrogate is drawn by a keyed hash: digits
-for digits, letters for letters, given names of the same gender and script; it is written into the format of the
-mention.  Proposals are checked against all entities of the corpus and against one another, and who loses draws
-anew, until all are distinct.  Only texts that may hold an entity move; the others pass through.
+capitalised surname with its hyphens and apostrophes; a second surname after a space is not recognised).  A mention consists of parts,
+and each part is an entity of its own: the host of an address beside the address, the national digits of a telephone number
+without country code and leading zero, the given names, initials and surnames of a name.  So partial mentions follow full ones
+("John Smith", "Mr. Smith"), and whatever stands between the parts stays: titles, particles, hyphens, signs, country codes.
+
+A surrogate is drawn by a keyed hash: digits for digits, letters for letters; a given name becomes the next one of the same gender
+and script in a keyed order, so that different ones stay different.  Proposals are checked against all entities of the
+corpus and against one another, and who loses draws anew, with more letters after some attempts, until all are distinct.
+Where the numbers of one kind and length fill more than a twentieth of what that many digits can say, all of them are mapped by a
+keyed permutation instead; these stay distinct, but may be numbers of the corpus.  Every text is searched once; only texts with an entity move.
 
 Defined cases: a null text stays null; repeated rows get equal texts; a null key column is an ordinary value; an
 empty table gives no rows.  Long texts are searched whole.
@@ -17,6 +22,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +57,7 @@ PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
-             r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+             r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])|(?<![\w.+-])0\d{1,4}[ -]\d{5,8}(?![\w-])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "name": rf"(?<!\w)(?:(?:{_titles})\.?\s+{_between}{_word}|{_given}\s+{_between}{_word})(?!\w)",
 }
@@ -59,30 +66,59 @@ MAIL, NAME = re.compile(PATTERNS["email"]), re.compile(PATTERNS["name"])
 # Numbers are looked for only in runs of the signs that numbers are made of.
 RUN = re.compile(r"[0-9+(][0-9 ().+-]{5,}")
 NUMBER = re.compile("|".join(f"(?P<{kind}>{PATTERNS[kind]})" for kind in ("ssn", "ip", "phone", "card")), re.ASCII)
-# A pattern for the JVM that every text with an entity matches, and few others.
-MAYBE = (r"@|[0-9+(][0-9 ().+-]{5}|\p{Lu}\p{Ll}+[\s\p{Z}\x1c-\x1f\x85]+[\p{L}&&[^a-zа-я]]"
-         rf"|(?:{_titles})\.|(?:{_names}|{_titles})[\s\p{{Z}}\x1c-\x1f\x85]+(?:v[ao]n|d[aeiou]|d[aeo][sl]|della|te[nr]|a[fv]|bin|ibn)[\s\p{{Z}}\x1c-\x1f\x85]")
 GENDER = {**{n: g for (_, g), names in GIVEN.items() for n in names}, **{t: g for g, ts in TITLES.items() for t in ts}}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+CAPITALS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
+# Made-up surnames beyond the list are syllables.
+SYLLABLES = {"latin": "bar den fel gar hol kin lan mor nes rin sel tor val wen dor mil".split(),
+             "cyrillic": "бар ден гор кол лам мир нов рад сав тал вер дом зим лев".split()}
+# Country codes of one and two digits; all others have three.
+COUNTRY = {"1", "7", "20", "27", "28", *map(str, range(30, 35)), "36", "39", "40", "41", *map(str, range(43, 50)), *map(str, range(51, 59)),
+           *map(str, range(60, 67)), "81", "82", "84", "86", *map(str, range(90, 96)), "98"}
+DIGITS = ("phone", "card", "ssn")
+DENSE = 20   # numbers that fill more than the DENSE-th part of their space are permuted
+TOKEN, PART = re.compile(r"\S+"), re.compile(r"[^\s-]+")
+
+
+def script_of(text: str) -> str:
+    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in text) else "latin"
 
 
-def name_words(mention: str) -> list[str]:
-    """The words of a name; of hyphened ones before the last, the first part."""
-    *before, last = mention.replace(".", " ").split()
-    return [*(w.split("-")[0] for w in before), last]
+def national(mention: str) -> int:
+    """How many digits of a telephone number are country code or leading zeros."""
+    digits = "".join(c for c in mention if c.isdigit())
+    skip = next((n for n in (1, 2) if digits[:n] in COUNTRY), 3) if mention.startswith("+") else 0
+    while skip < len(digits) - 4 and digits[skip] == "0":
+        skip += 1
+    return skip if len(digits) - skip >= 4 else 0
 
 
 def canonical(kind: str, mention: str) -> str:
-    """What all mentions of one entity share: digits, or lower-case text; names as gender, script and words."""
-    if kind in ("phone", "card", "ssn"):
-        return "".join(c for c in mention if c.isdigit())
+    """What all mentions of one entity share: digits, or lower-case text."""
+    if kind in DIGITS:
+        return "".join(c for c in mention if c.isdigit())[national(mention) if kind == "phone" else 0:]
+    return mention.lower()
+
+
+def parts(start: int, stop: int, kind: str, text: str) -> list[tuple[int, int, str, str]]:
+    """The parts of a mention that are replaced: place in the text, kind and canonical form."""
     if kind != "name":
-        return mention.lower()
-    words = name_words(mention)
-    gender = next((GENDER[w] for w in words if w in GENDER), "m")
-    script = "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in mention) else "latin"
-    given = next((w for w in words if w in GENDER and w not in TITLES["f"] + TITLES["m"]), "")
-    return f"{gender}:{script}:{given.lower()}:{words[-1].lower()}"
+        return [(start, stop, kind, canonical(kind, text[start:stop]))]
+    found, tokens = [], list(TOKEN.finditer(text, start, stop))
+    for at, token in enumerate(tokens):
+        word, last = token[0], at == len(tokens) - 1
+        if word.rstrip(".") in TITLES["f"] + TITLES["m"] and not last or word[0].islower() and not last:
+            continue
+        for part in PART.finditer(text, token.start(), token.end()):
+            own, begin = part[0], part.start()
+            if not last:
+                bare = own.rstrip(".")
+                found.append((begin, begin + len(bare), "given" if bare in GENDER else "initial", bare))
+                continue
+            if len(own) > 3 and own[0] in "OoDdLl" and own[1] in "'’":
+                own, begin = own[2:], begin + 2
+            found.append((begin, part.end(), "family", f"{script_of(own)}:{own.lower()}"))
+    return found
 
 
 class Draw:
@@ -108,48 +144,70 @@ def alike(text: str, draw: Draw) -> str:
     return "".join(str(draw.below(10)) if c.isdigit() else LETTERS[draw.below(26)] if c.isalpha() else c for c in text)
 
 
-def surrogate(key: str, kind: str, entity: str, attempt: int) -> str:
-    """Canonical form of the entity's replacement at this attempt."""
+def next_in(key: str, values: list[str] | str, value: str) -> str:
+    """The value behind this one in a keyed round order, so that no two have the same and none has itself."""
+    order = sorted(values, key=lambda v: hmac.new(key.encode(), v.encode(), hashlib.sha256).digest())
+    return order[(order.index(value) + 1) % len(order)]
+
+
+def permuted(key: str, kind: str, digits: str) -> str:
+    """A keyed one-to-one image among the numbers of as many digits."""
+    half = len(digits) // 2
+    sizes, values = (10**half, 10 ** (len(digits) - half)), [int(digits[:half] or 0), int(digits[half:])]
+    for turn in range(8):
+        own, other = turn % 2, 1 - turn % 2
+        draw = Draw(key, "permuted", kind, len(digits), turn, values[other])
+        values[own] = (values[own] + (draw.below(1 << 31) << 31 | draw.below(1 << 31))) % sizes[own]
+    return (str(values[0]).zfill(half) if half else "") + str(values[1]).zfill(len(digits) - half)
+
+
+def surrogate(key: str, kind: str, entity: str, base: str, attempt: int) -> str:
+    """Canonical form of the entity's replacement at this attempt; ``base`` is the surrogate of an address's host."""
     draw = Draw(key, kind, entity, attempt)
+    more = "".join(LETTERS[draw.below(26)] for _ in range(attempt // 4))
     if kind == "email":
-        local, domain = entity.split("@", 1)
-        host = domain.split(".")[0]
-        return f"{alike(local, draw)}@{alike(host, Draw(key, 'host', domain))}.example.org"
+        return f"{alike(entity.split('@')[0], draw)}{more}@{base}"
+    if kind == "host":
+        return f"{alike(entity.split('.')[0], draw)}{more}.example.org"
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
-    if kind == "name":
-        gender, script, given, _ = entity.split(":")
-        names, last = GIVEN[script, gender], SURNAMES[script]
-        first = names[draw.below(len(names))].lower() if given else ""
-        family = last[draw.below(len(last))] + ("" if attempt < 4 else "-" + last[draw.below(len(last))])
-        if attempt >= 12:
-            family += LETTERS[draw.below(26)] + LETTERS[draw.below(26)] + LETTERS[draw.below(26)]
-        return f"{gender}:{script}:{first}:{family.lower()}"
-    head = 1 if kind == "phone" and len(entity) > 10 else 0
-    made = list(entity[:head] + "".join(str(draw.below(10)) for _ in entity[head:]))
+    if kind == "family":
+        script = entity.split(":")[0]
+        if attempt == 0:
+            name = SURNAMES[script][draw.below(len(SURNAMES[script]))]
+        else:
+            name = "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(2 + attempt // 2))
+        return f"{script}:{name.lower()}"
+    made = [str(draw.below(10)) for _ in entity]
     if kind == "card":
         made[0] = entity[0]
         if luhn(entity) == 0:
             made[-1] = "0"
             made[-1] = str((10 - luhn("".join(made))) % 10)
-    elif kind == "phone" and len(made) >= 7 + head:
-        made[head] = str(2 + int(made[head]) % 8)
+    elif kind == "phone":
+        made[0] = str(2 + int(made[0]) % 8)
     return "".join(made)
 
 
-def written(kind: str, mention: str, entity: str) -> str:
+def written(key: str, kind: str, mention: str, found: str | None) -> str:
     """The surrogate in the format of the mention."""
-    if kind in ("phone", "card", "ssn"):
-        digits = iter(entity)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
-    if kind == "name":
-        _, _, given, family = entity.split(":")
-        title = next((w for w in mention.split() if w.rstrip(".") in TITLES["f"] + TITLES["m"]), "")
-        had_given = any(w in GENDER for w in name_words(mention) if w != title.rstrip("."))
-        words = [title, given.title() if had_given else "", "-".join(x.title() for x in family.split("-"))]
-        made = " ".join(w for w in words if w)
-        return made.upper() if mention.isupper() else made
-    return entity.upper() if mention.isupper() and any(c.isalpha() for c in mention) else entity
+    if kind in DIGITS:
+        skip, digits, at = national(mention) if kind == "phone" else 0, iter(found), 0
+        made = []
+        for c in mention:
+            at += c.isdigit()
+            made.append(next(digits) if c.isdigit() and at > skip else c)
+        return "".join(made)
+    if kind == "given":
+        gender = next(place for place, names in GIVEN.items() if mention in names)
+        return next_in(key, GIVEN[gender], mention)
+    if kind == "initial":
+        letters = CAPITALS[script_of(mention)]
+        return next_in(key, letters, mention) if mention in letters else mention
+    if kind == "family":
+        name = found.split(":")[1]
+        return name.upper() if mention.isupper() and len(mention) > 1 else name.title()
+    return found.upper() if mention.isupper() and any(c.isalpha() for c in mention) else found
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
@@ -167,70 +225,95 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     return found
 
 
-def mentions(rows: DataFrame) -> DataFrame:
-    """``doc_id, version`` and the spans of every row with at least one entity."""
+SPANS = "array<struct<start:int,stop:int,kind:string,entity:string,is_first:boolean>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string()), ("entity", pa.string()), ("is_first", pa.bool_())]))
+
+
+def searched(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, version, spans``: every row with the parts of its entities."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [find(t) for t in batch.column(2).to_pylist()]
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string()), ("entity", pa.string())]))
-        spans = [[dict(zip(("start", "stop", "kind", "entity"), x)) for x in xs] for xs in found]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind)], names=["doc_id", "version", "spans"])
+        spans = []
+        for text in batch.column(1).to_pylist():
+            own = [(part, at == 0) for start, stop, kind, _ in find(text or "") for at, part in enumerate(parts(start, stop, kind, text))]
+            spans.append([dict(zip(("start", "stop", "kind", "entity", "is_first"), (*part, first))) for part, first in own])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, _SPANS)], names=["doc_id", "text", "version", "spans"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return by_batch(rows.withColumn("version", F.xxhash64("text")), f"doc_id long, text string, version long, spans {SPANS}", work)
 
-    spans = "array<struct<start:int,stop:int,kind:string,entity:string>>"
-    return by_batch(rows.select("doc_id", "version", "text"), f"doc_id long, version long, spans {spans}", work).where("size(spans) > 0")
+
+def dense_classes(entities: DataFrame) -> set[tuple[str, int]]:
+    """Kinds and lengths whose numbers fill their space; there are as many rows as lengths of numbers."""
+    sized = entities.where(F.col("kind").isin(*DIGITS)).groupBy("kind", F.length("entity").alias("digits")).count()
+    return {(r.kind, r.digits) for r in sized.collect() if r["count"] * DENSE > 10**r.digits}
 
 
 def resolve(entities: DataFrame, key: str) -> DataFrame:
-    """``kind, entity, surrogate``: distinct, and never an entity of the corpus."""
+    """``kind, entity, surrogate`` of ``kind, entity, base``: distinct, and never an entity of the corpus (but for dense classes)."""
+    dense = dense_classes(entities)
 
     def propose(attempt: int):
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            kinds, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            made = [surrogate(key, k, e, attempt) for k, e in zip(kinds, names)]
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], names=["kind", "entity", "surrogate"])
+            rows = list(zip(*[batch.column(c).to_pylist() for c in range(3)]))
+            made = [permuted(key, k, e) if (k, len(e)) in dense else surrogate(key, k, e, b, attempt) for k, e, b in rows]
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["kind", "entity", "base", "surrogate"])
 
         return work
 
-    waiting, done, attempt = entities, None, 0
+    schema = "kind string, entity string, base string"
+    is_dense = lambda: reduce(or_, [(F.col("kind") == k) & (F.length("entity") == n) for k, n in dense], F.lit(False))
+    done = [stored(by_batch(entities.where(is_dense()).select("kind", "entity", "base"), schema + ", surrogate string", propose(0)).drop("base"), "pii-dense")]
+    known = lambda: reduce(DataFrame.unionByName, done).select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
+    real = entities.select(F.col("kind").alias("k"), F.col("entity").alias("s"))
+    waiting, attempt = entities.where(~is_dense()).select("kind", "entity", "base"), 0
     while True:
-        drawn = stored(by_batch(waiting, "kind string, entity string, surrogate string", propose(attempt)), "pii-drawn")
+        drawn = stored(by_batch(waiting, schema + ", surrogate string", propose(attempt)), "pii-drawn")
         best = drawn.groupBy(F.col("kind").alias("k"), F.col("surrogate").alias("s")).agg(F.min("entity").alias("first"))
-        real = entities.select(F.col("kind").alias("k"), F.col("entity").alias("s"))
-        free = best.join(real, ["k", "s"], "left_anti")
-        if done is not None:
-            free = free.join(done.select(F.col("kind").alias("k"), F.col("surrogate").alias("s")), ["k", "s"], "left_anti")
-        won = free.select(F.col("k").alias("kind"), F.col("first").alias("entity"), F.col("s").alias("surrogate"))
-        done = stored(won if done is None else done.unionByName(won), "pii-done")
-        waiting = stored(drawn.select("kind", "entity").join(done, ["kind", "entity"], "left_anti"), "pii-waiting")
+        free = best.join(real, ["k", "s"], "left_anti").join(known(), ["k", "s"], "left_anti")
+        won = stored(free.select(F.col("k").alias("kind"), F.col("first").alias("entity"), F.col("s").alias("surrogate")), "pii-won")
+        done.append(won)
+        waiting = stored(drawn.select("kind", "entity", "base").join(won, ["kind", "entity"], "left_anti"), "pii-waiting")
         if waiting.isEmpty():
-            return done
+            return reduce(DataFrame.unionByName, done)
         attempt += 1
 
 
+def resolved(flat: DataFrame, key: str) -> DataFrame:
+    """Surrogates of all entities; those of hosts first, as addresses are made of them."""
+    entities = stored(flat.where(~F.col("kind").isin("given", "initial")).select("kind", "entity").distinct(), "pii-entities")
+    host = F.substring_index("entity", "@", -1)
+    mails = entities.where("kind = 'email'").withColumn("host", host)
+    hosts = mails.select(F.lit("host").alias("kind"), F.col("host").alias("entity")).distinct()
+    first = resolve(stored(entities.where("kind <> 'email'").unionByName(hosts).withColumn("base", F.lit("")), "pii-first"), key)
+    bases = first.where("kind = 'host'").select(F.col("entity").alias("host"), F.col("surrogate").alias("base"))
+    second = resolve(stored(mails.join(bases, "host").select("kind", "entity", "base"), "pii-mails"), key)
+    return first.where("kind <> 'host'").unionByName(second)
+
+
 def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``doc_id, text, n_entities``: every row with its entities replaced."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("version", F.xxhash64("text"))
-    maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
-    found = stored(mentions(rows.where(maybe)), "pii-mentions")
-    flat = found.dropDuplicates(["doc_id", "version"]).select("doc_id", "version", F.explode("spans").alias("s")).select("doc_id", "version", "s.*")
+    rows = stored(searched(docs), "pii-searched")
+    hit = rows.where(F.size("spans") > 0)
+    flat = hit.dropDuplicates(["doc_id", "version"]).select("doc_id", "version", F.explode("spans").alias("s")).select("doc_id", "version", "s.*")
     flat = stored(flat, "pii-flat")
-    known = resolve(stored(flat.select("kind", "entity").distinct(), "pii-entities"), key)
-    plans = flat.join(known, ["kind", "entity"]).groupBy("doc_id", "version").agg(
-        F.array_sort(F.collect_list(F.struct("start", "stop", "kind", "surrogate"))).alias("plan"))
-    plans = plans.select(F.col("doc_id").alias("of"), F.col("version").alias("of_version"), "plan")
-    hit = rows.where(maybe).join(plans, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("version") == F.col("of_version")), "left")
+    own = F.col("kind").isin("given", "initial")   # these need no table
+    steps = flat.where(~own).join(resolved(flat, key), ["kind", "entity"]).select("doc_id", "version", "start", "stop", "kind", "is_first", "surrogate")
+    steps = steps.unionByName(flat.where(own).select("doc_id", "version", "start", "stop", "kind", "is_first", F.lit(None).cast("string").alias("surrogate")))
+    plans = steps.groupBy(F.col("doc_id").alias("of"), F.col("version").alias("of_version")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "stop", "kind", "surrogate", "is_first"))).alias("plan"))
+    planned = hit.drop("spans").join(plans, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("version") == F.col("of_version")))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out, counts = [], []
         for text, plan in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            parts, at = [], 0
-            for step in plan or ():
-                parts += [text[at: step["start"]], written(step["kind"], text[step["start"]: step["stop"]], step["surrogate"])]
+            made, at = [], 0
+            for step in plan:
+                made += [text[at: step["start"]], written(key, step["kind"], text[step["start"]: step["stop"]], step["surrogate"])]
                 at = step["stop"]
-            out.append("".join(parts) + text[at:])
-            counts.append(len(plan or ()))
+            out.append("".join(made) + text[at:])
+            counts.append(sum(step["is_first"] for step in plan))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(counts, pa.int64())], names=["doc_id", "text", "n_entities"])
 
-    changed = by_batch(hit.select("doc_id", "text", "plan"), "doc_id long, text string, n_entities long", work)
-    return rows.where(~maybe).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities")).unionByName(changed)
+    changed = by_batch(planned.select("doc_id", "text", "plan"), "doc_id long, text string, n_entities long", work)
+    return rows.where(F.size("spans") == 0).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities")).unionByName(changed)
