@@ -1,5 +1,7 @@
 """Quality, language and toxicity: exact counts, held-out accuracy, defined cases."""
 
+import itertools
+import math
 import re
 from collections import Counter
 
@@ -145,6 +147,53 @@ def test_features_are_chosen_before_any_cut(spark):
     assert "zzkill" in toxicity.choose_features(sample, 12, 12)
 
 
+def naive_features(decoder, features, text):
+    """Every word restored by the full decoding, then looked up."""
+    return sorted({features[x] for word in decoder.words(text) for x in toxicity.beginnings(word) if x in features})
+
+
+def test_skipped_decodings_lose_no_feature(spark, toxic_model):
+    decoder, scorer = toxic_model.workers()
+    rows = documents(spark, "/root/testdata/sf0.1").where("doc_id % 7 = 0").collect()
+    extra = ["id1ot", "iddi00t", "k1llllll", "$tuuup1d!", "s-t-u-p-i-d-ity", "p@@th3t1c mor0n~", "1diot1diot"]
+    scored = 0
+    for text in [r.text or "" for r in rows] + extra:
+        want = naive_features(decoder, toxic_model.features, text)
+        assert scorer.of(text) == want, text[:200]
+        scored += bool(want)
+    assert scored > 20
+
+
+def test_score_is_the_logistic_of_the_summed_weights(spark, toxic_model):
+    decoder, scorer = toxic_model.workers()
+    rows = documents(spark, "/root/testdata/sf0.1").where("doc_id % 101 = 0")
+    want = {}
+    for r in rows.collect():
+        z = toxic_model.bias + sum(toxic_model.weights[x] for x in naive_features(decoder, toxic_model.features, r.text or ""))
+        want[r.doc_id] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(rows, toxic_model).collect()}
+    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-12 for d in got)
+
+
+@pytest.mark.parametrize("word", ["1d10t", "a--b", "$c", "mo0n", "l1", "aab3", "x.y", "!a!", "t7t"])
+def test_decoding_finds_the_best_of_all_readings(toxic_model, word):
+    """All paths through the lattice, each with its full cost; the best one must be the decoded one."""
+    decoder, _ = toxic_model.workers()
+    best = {}
+    for path in itertools.product(*decoder.lattice(word), [(" ", 0.0)]):
+        last, total, read = "  ", 0.0, ""
+        for piece, cost in path:
+            total += cost
+            for char in piece:
+                if char == " " and last[1] == " ":
+                    continue
+                total += decoder.model.cost(last, char)
+                last, read = last[1] + char, read + char
+        reading = " ".join(read.split())
+        best[reading] = max(total, best.get(reading, -1e9))
+    assert best[decoder.decode(word)] == pytest.approx(max(best.values()))
+
+
 def test_plain_words_stay(toxic_model):
     decoder, _ = toxic_model.workers()
     assert decoder.words("The thing, of all (und) Straße!") == ["the", "thing", "of", "all", "und", "straße"]

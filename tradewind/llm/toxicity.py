@@ -17,6 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -87,13 +88,23 @@ class Decoder(dict):
     def __missing__(self, word: str) -> str:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        core, open_ = word.rstrip(EDGES).lstrip(EDGES), word.rstrip(EDGES)
-        if any(c.isalpha() for c in core) and (
-                not core.isalpha() or self.doubled(core) or (open_ != core and open_[0] in LOOKALIKES)):
+        core, open_ = self.bare(word)
+        if self.is_suspect(core, open_):
             core = self.decode(open_)
         self[word] = core
         return core
 
+    @staticmethod
+    def bare(word: str) -> tuple[str, str]:
+        """The word without signs at both ends, and without those behind it."""
+        open_ = word.rstrip(EDGES)
+        return open_.lstrip(EDGES), open_
+
+    def is_suspect(self, core: str, open_: str) -> bool:
+        if core.isalpha():
+            return self.doubled(core) or (open_ != core and open_[0] in LOOKALIKES)
+        return any(map(str.isalpha, core))
+
     def doubled(self, word: str) -> bool:
         return bool(REPEATED.search(word)) and not any(x in self.known for x in beginnings(word))
 
@@ -157,11 +168,14 @@ class Decoder(dict):
         at = text.index(run, start)
         return f"{text[match.start(): at]} {self.decode(run)} {text[at + len(run): match.end()]}"
 
+    def opened(self, text: str) -> str:
+        """The lower-case text without invisible signs, its runs of single characters read."""
+        lower = text.lower()
+        return SPACED.sub(self.spaced, lower if lower.isascii() else INVISIBLE.sub("", lower))
+
     def words(self, text: str) -> list[str]:
         """The restored words of a text in order."""
-        lower = text.lower()
-        lower = SPACED.sub(self.spaced, lower if lower.isascii() else INVISIBLE.sub("", lower))
-        return " ".join(map(self.__getitem__, lower.split())).split()
+        return " ".join(map(self.__getitem__, self.opened(text).split())).split()
 
 
 def beginnings(word: str) -> list[str]:
@@ -170,19 +184,53 @@ def beginnings(word: str) -> list[str]:
 
 
 class Scorer(dict):
-    """Cache of the features of a restored word."""
+    """Cache of the features of a word as it stands in a text; a missing one is restored if a feature can come of it.
 
-    def __init__(self, features: dict[str, int]):
-        self.features = features
+    A walk over the word's lattice follows the beginnings of the features, from every place where a word may start.  Where it meets
+    none whole, no reading has a feature, and the likeliest one need not be found.
+    """
+
+    def __init__(self, decoder: Decoder, features: dict[str, int]):
+        self.decoder, self.features = decoder, features
+        spelled = {f.rstrip("~") for f in features}
+        self.whole, self.starts = spelled, {f[:n] for f in spelled for n in range(1, len(f) + 1)}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHED_WORDS:
-            self.clear()
-        found = self[word] = tuple(self.features[x] for x in beginnings(word) if x in self.features)
+            for old in list(islice(self, CACHED_WORDS // 2)):
+                del self[old]
+        decoder = self.decoder
+        core, open_ = decoder.bare(word)
+        if not decoder.is_suspect(core, open_):
+            restored = core
+        else:
+            restored = decoder.decode(open_) if self.can_score(open_) else ""
+        found = self[word] = tuple({self.features[x] for w in restored.split() for x in beginnings(w) if x in self.features})
         return found
 
-    def of(self, words: list[str]) -> list[int]:
-        return sorted({x for found in map(self.__getitem__, set(words)) if found for x in found})
+    def can_score(self, word: str) -> bool:
+        met = {""}
+        for slot in self.decoder.lattice(word):
+            after = set()
+            for read, _ in slot:
+                if read == " ":
+                    after.add("")
+                    continue
+                for state in met:
+                    for char in read:
+                        state += char
+                        if state in self.whole:
+                            return True
+                        if state not in self.starts:
+                            break
+                    else:
+                        after.add(state)
+            met = after
+        return False
+
+    def of(self, text: str) -> list[int]:
+        """The features of a text, in order."""
+        return sorted({x for found in map(self.__getitem__, set(self.decoder.opened(text).split())) if found for x in found})
 
 
 class Model:
@@ -195,7 +243,8 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def workers(self) -> tuple[Decoder, Scorer]:
-        return Decoder(CharModel(self.trigrams), self.features), Scorer(self.features)
+        decoder = Decoder(CharModel(self.trigrams), self.features)
+        return decoder, Scorer(decoder, self.features)
 
 
 def count_trigrams(docs: DataFrame) -> dict[str, float]:
@@ -226,8 +275,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     model = Model(count_trigrams(docs), features)
 
     def found(batch: pa.RecordBatch, workers: tuple[Decoder, Scorer]) -> pa.RecordBatch:
-        decoder, scorer = workers
-        rows = [scorer.of(decoder.words(t)) for t in batch.column(1).to_pylist()]
+        _, scorer = workers
+        rows = [scorer.of(t) for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["label", "found"])
 
     seen = by_batch(sample, "label int, found array<int>", found, model.workers).collect()
@@ -242,8 +291,8 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every row."""
 
     def work(batch: pa.RecordBatch, workers: tuple[Decoder, Scorer]) -> pa.RecordBatch:
-        decoder, scorer = workers
-        scores = [model.score(scorer.of(decoder.words(text))) for text in batch.column(1).to_pylist()]
+        _, scorer = workers
+        scores = [model.score(scorer.of(text)) for text in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
@@ -255,9 +304,9 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, scorer = model.workers()
+        _, scorer = model.workers()
         for part in (batch.slice(at, ROWS_PER_BATCH) for batch in batches for at in range(0, batch.num_rows, ROWS_PER_BATCH)):
-            clean = [model.score(scorer.of(decoder.words(t or ""))) < threshold for t in part.column(place).to_pylist()]
+            clean = [model.score(scorer.of(t or "")) < threshold for t in part.column(place).to_pylist()]
             yield part.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
