@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from oracles.checks import COLUMNS, KEYS, MONEY, NAMES, cardinalities, checks, source
-from oracles.questions import REV
-from oracles.views import with_views
+from oracles.questions import REV, questions
+from oracles.views import VIEWS, with_views
 
 LINE_SUMMARY = with_views("""
     select l_returnflag, l_linestatus, count(*) as rows,
@@ -44,6 +44,21 @@ def refreshed(inserted: int, deleted: int) -> str:
             f"{part('lineitem', 'l_linestatus', 'l_orderkey')}")
 
 
+def kept(question: str, sets: int) -> str:
+    """A question over orders and lines after sets 1..sets came in and went out."""
+    body = questions()[question]
+    changed = lambda table, key: f"""
+        {table}_now as (
+          select * from {table}_h where {key} not in (select k from members where refresh <= {sets})
+          union all
+          select h.* replace ({key} + s as {key}) from {table}_h h join members on k = {key}, shift where refresh <= {sets})"""
+    views = ", ".join(f"{name} as ({VIEWS[name]})" for name in ("lineitem_h", "orders_h"))
+    select = body[body.rindex("select l_returnflag" if "pricing" in question else "select n as" if "distribution" in question else "select c_name"):]
+    for table in ("lineitem", "orders"):
+        select = select.replace(f"{table}_h", f"{table}_now")
+    return f"with {views}, {SETS}, {changed('lineitem', 'l_orderkey')}, {changed('orders', 'o_orderkey')} {select}"
+
+
 def scan(table: str) -> str:
     integers = {"o_shippriority"}
     def column(name: str) -> str:
@@ -132,6 +147,9 @@ def jobs() -> dict[str, str]:
         "rf2_delete": refreshed(0, 1),
         "stored_refresh_sets": refreshed(2, 2),
         "compact_refresh_sets": refreshed(3, 3),
+        "kept_q01": kept("q01_pricing_summary", 3),
+        "kept_q13": kept("q13_customer_distribution", 3),
+        "kept_q18": kept("q18_large_orders", 3),
         "stream_refresh": refreshed(2, 2),
         "segmented_refresh": """
             with k as (select l_orderkey as key, count(*) as n from lineitem group by 1),

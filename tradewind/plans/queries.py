@@ -59,16 +59,19 @@ def _total(units: str, name: str) -> Column:
     return expr(f"{exact_sum(units)} as {name}")
 
 
-def q01(c: Catalog, days: int) -> DataFrame:
-    """Pricing summary of lines shipped up to ``days`` before December 1998."""
+def pricing_sums(lines: DataFrame, days: int) -> DataFrame:
+    """Per flag and status, in exact units, the sums over lines shipped up to ``days`` before December 1998."""
     last = date(1998, 12, 1) - timedelta(days=days)
-    sums = (
-        c.lineitem.filter(f"l_shipdate <= {_day(last)}")
+    return (
+        lines.filter(f"l_shipdate <= {_day(last)}")
         .groupBy("l_returnflag", "l_linestatus")
         .agg(expr(f"sum({cents('l_quantity')}) as quantity"),
              _total(cents("l_extendedprice"), "price"), _total(REVENUE, "revenue"),
              _total(CHARGE, "charge"), expr(f"sum({cents('l_discount')}) as discount"),
              expr("count(*) as count_order")))
+
+
+def pricing_report(sums: DataFrame) -> DataFrame:
     return sums.selectExpr(
         "l_returnflag", "l_linestatus",
         f"{money('quantity', 2)} as sum_qty", f"{money('price', 2)} as sum_base_price",
@@ -79,6 +82,11 @@ def q01(c: Catalog, days: int) -> DataFrame:
         "count_order").orderBy("l_returnflag", "l_linestatus")
 
 
+def q01(c: Catalog, days: int) -> DataFrame:
+    """Pricing summary of lines shipped up to ``days`` before December 1998."""
+    return pricing_report(pricing_sums(c.lineitem, days))
+
+
 def q02(c: Catalog, size: int, metal: str, region: str) -> DataFrame:
     """Cheapest suppliers of a region for parts of one size and metal."""
     parts = c.part.filter((col("p_size") == size) & col("p_type").endswith(metal)).select(
@@ -293,22 +301,31 @@ def q12(c: Catalog, mode_a: str, mode_b: str, start: date) -> DataFrame:
         .orderBy("l_shipmode"))
 
 
-def orders_per_customer(c: Catalog, first: str, second: str) -> DataFrame:
-    """Every customer with the number of orders whose comment lacks two words."""
-    counted = (
-        c.orders.filter(~col("o_comment").like(f"%{first}%{second}%"))
+def counted_orders(orders: DataFrame, first: str, second: str) -> DataFrame:
+    """Per customer key the number of orders whose comment lacks two words."""
+    return (
+        orders.filter(~col("o_comment").like(f"%{first}%{second}%"))
         .groupBy("o_custkey").agg(expr("count(o_orderkey) as n")))
+
+
+def with_all_customers(c: Catalog, counted: DataFrame) -> DataFrame:
     return (
         _meet(c.customer.select("c_custkey"), counted, "c_custkey = o_custkey", "left")
         .selectExpr("c_custkey", "coalesce(n, 0) as c_count"))
 
 
+def orders_per_customer(c: Catalog, first: str, second: str) -> DataFrame:
+    """Every customer with the number of orders whose comment lacks two words."""
+    return with_all_customers(c, counted_orders(c.orders, first, second))
+
+
+def histogram(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("c_count").agg(expr("count(*) as custdist")).orderBy(col("custdist").desc(), col("c_count").desc())
+
+
 def q13(c: Catalog, first: str, second: str) -> DataFrame:
     """Histogram of orders per customer."""
-    return (
-        orders_per_customer(c, first, second)
-        .groupBy("c_count").agg(expr("count(*) as custdist"))
-        .orderBy(col("custdist").desc(), col("c_count").desc()))
+    return histogram(orders_per_customer(c, first, second))
 
 
 def month_revenue_by_part(c: Catalog, start: date) -> DataFrame:
@@ -372,13 +389,16 @@ def q17(c: Catalog, brand: str, container: str) -> DataFrame:
         .agg(expr(f"{money('sum(price)', 2)} / 7D as avg_yearly")))
 
 
-def q18(c: Catalog, quantity: int) -> DataFrame:
-    """Hundred largest orders by price among those above a total quantity."""
+def large_orders(orders: DataFrame, lines: DataFrame, quantity: int) -> DataFrame:
+    """Orders above a total quantity, with it in hundredths."""
     large = (
-        c.lineitem.groupBy("l_orderkey").agg(expr(f"sum({cents('l_quantity')}) as q"))
+        lines.groupBy("l_orderkey").agg(expr(f"sum({cents('l_quantity')}) as q"))
         .filter(col("q") > quantity * 100))
-    orders = _meet(c.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
-                   large, "o_orderkey = l_orderkey")
+    return _meet(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+                 large, "o_orderkey = l_orderkey").drop("l_orderkey")
+
+
+def hundred_largest(c: Catalog, orders: DataFrame) -> DataFrame:
     return (
         _meet(orders, c.customer.select("c_custkey", "c_name"), "o_custkey = c_custkey")
         .orderBy(col("o_totalprice").desc(), "o_orderdate", "o_orderkey").limit(100)
@@ -386,6 +406,11 @@ def q18(c: Catalog, quantity: int) -> DataFrame:
                     f"{money('q', 2)} as sum_qty"))
 
 
+def q18(c: Catalog, quantity: int) -> DataFrame:
+    """Hundred largest orders by price among those above a total quantity."""
+    return hundred_largest(c, large_orders(c.orders, c.lineitem, quantity))
+
+
 def q19(c: Catalog, brands: tuple[str, ...], quantities: tuple[int, ...]) -> DataFrame:
     """Revenue of hand-delivered air lines for three brand/container/size clauses.
 

@@ -18,10 +18,11 @@ from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
-from tradewind.operators import compaction, quality, refresh, warehouse
+from tradewind.operators import compaction, kept, quality, refresh, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
+from tradewind.plans.params import TEST_VALUES
 from tradewind.schema import TABLES
 from tradewind.session import scratch, stored
 from tradewind.sources import flatfile
@@ -292,6 +293,22 @@ def compacted_sets(spark: SparkSession, folder: str) -> DataFrame:
     return _status_report(now.orders, now.lineitem)
 
 
+KEPT = {"q01": kept.pricing_summary(**TEST_VALUES["q01"]), "q13": kept.customer_distribution(**TEST_VALUES["q13"]),
+        "q18": kept.large_orders(**TEST_VALUES["q18"])}
+
+
+def kept_answer(name: str):
+    """One question as it stands after three refresh sets, from its state."""
+    def rows(spark: SparkSession, folder: str) -> DataFrame:
+        catalog, store, state = filled_catalog(spark, folder), scratch(spark, "refresh"), scratch(spark, "kept")
+        own = {name: KEPT[name]}
+        _write_sets(catalog, store, 3)
+        kept.begin(catalog, state, own)
+        kept.keep_up(catalog, store, state, own)
+        return kept.answer(catalog, state, name, own)
+    return rows
+
+
 # -- streaming --------------------------------------------------------------
 
 def streamed_steps(spark: SparkSession, folder: str) -> DataFrame:
@@ -423,6 +440,7 @@ SHOWCASE = {
     "segmented_refresh": segmented_set,
     "stored_refresh_sets": stored_sets,
     "compact_refresh_sets": compacted_sets,
+    **{f"kept_{name}": kept_answer(name) for name in KEPT},
     "stream_step_ingest": streamed_steps,
     "stream_refresh": streamed_sets,
     "stream_throughput": streamed_throughput,
