@@ -114,6 +114,9 @@ def jobs() -> dict[str, str]:
             select cast(year(l_shipdate) as int) as year, l_linestatus, count(*) as rows,
                    cast(sum({REV}) as double) as revenue
             from lineitem_h group by 1, 2""", "lineitem_h"),
+        "zorder_layout": with_views(f"""
+            select cast(year(l_shipdate) as int) as year, count(*) as rows, cast(sum({REV}) as double) as revenue
+            from lineitem_h where l_discount between 0.02 and 0.03 and l_quantity < 10 group by 1""", "lineitem_h"),
         "colocated_join": with_views(f"""
             select o_orderpriority, count(distinct o_orderkey) as orders,
                    cast(sum({REV}) as double) as revenue

@@ -18,7 +18,7 @@ from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
-from tradewind.operators import compaction, kept, quality, refresh, warehouse
+from tradewind.operators import compaction, kept, layout, quality, refresh, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
@@ -141,6 +141,14 @@ def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
                  F.expr(money(exact_sum(REVENUE), 4)).alias("revenue")))
 
 
+def zordered_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by ship year of lines with certain discounts and quantities, whatever their date, read from a Z-ordered copy."""
+    path = layout.write_zordered(filled_catalog(spark, folder).lineitem, scratch(spark, "zordered"), "lineitem")
+    lines = spark.read.parquet(path).filter("l_discount between 0.02 and 0.03 and l_quantity < 10")
+    return lines.groupBy(F.year("l_shipdate").alias("year")).agg(
+        F.count("*").alias("rows"), F.expr(money(exact_sum(REVENUE), 4)).alias("revenue"))
+
+
 LINE_BYTES, OFFER_BYTES = 150, 160  # widths of a stored row of the larger table of each pair
 
 
@@ -431,6 +439,7 @@ SHOWCASE = {
     "analyze_tables": analyzed_tables,
     "warm_cache": cached_tables,
     "cluster_layout": clustered_layout,
+    "zorder_layout": zordered_layout,
     "colocated_join": colocated_join,
     "colocated_parts": colocated_parts,
     "null_aware_anti_join": not_in_with_nulls,
