@@ -121,6 +121,11 @@ def jobs() -> dict[str, str]:
             select o_orderpriority, count(distinct o_orderkey) as orders,
                    cast(sum({REV}) as double) as revenue
             from orders join lineitem_h on o_orderkey = l_orderkey group by 1""", "lineitem_h"),
+        "colocated_hot_key": with_views(f"""
+            select o_orderpriority, count(*) as lines, cast(sum({REV}) as double) as revenue
+            from lineitem_h join orders
+              on o_orderkey = case when l_orderkey % 10 < 3 then (select min(o_orderkey) from orders) else l_orderkey end
+            group by 1""", "lineitem_h"),
         "colocated_parts": with_views("""
             select p_brand, count(*) as offers, cast(sum(ps_availqty) as bigint) as quantity
             from part join partsupp_h on p_partkey = ps_partkey group by p_brand""", "partsupp_h"),

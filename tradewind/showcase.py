@@ -18,7 +18,7 @@ from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
-from tradewind.operators import compaction, kept, layout, quality, refresh, warehouse
+from tradewind.operators import compaction, hot_keys, kept, layout, quality, refresh, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
@@ -185,6 +185,20 @@ def colocated_join(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count("*").alias("orders"), F.expr(money("sum(units)", 4)).alias("revenue")))
 
 
+def dealt_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by order priority where three lines of ten belong to one order, from tables that deal it over the buckets."""
+    name, path = _database(spark, "dealt")
+    catalog = filled_catalog(spark, folder)
+    first = catalog.orders.agg(F.min("o_orderkey").alias("n")).scalar()
+    lines = catalog.lineitem.withColumn("l_orderkey", F.when(col("l_orderkey") % 10 < 3, first).otherwise(col("l_orderkey")))
+    buckets = max(8, warehouse.buckets_for(lines.count() * LINE_BYTES))
+    tables = (f"{name}.lineitem", f"{name}.orders")
+    hot_keys.write_dealt(lines, catalog.orders, ("l_orderkey", "o_orderkey"), tables, (os.path.join(path, "lineitem"), os.path.join(path, "orders")), buckets)
+    joined = hot_keys.dealt_join(spark, tables, ("l_orderkey", "o_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(
+        F.count("*").alias("lines"), F.expr(money(exact_sum(REVENUE), 4)).alias("revenue"))
+
+
 # -- joins and functions ----------------------------------------------------
 
 def not_in_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
@@ -442,6 +456,7 @@ SHOWCASE = {
     "zorder_layout": zordered_layout,
     "colocated_join": colocated_join,
     "colocated_parts": colocated_parts,
+    "colocated_hot_key": dealt_join,
     "null_aware_anti_join": not_in_with_nulls,
     "expand_step_range": step_ranges,
     "rf1_insert": insert_set,
