@@ -59,6 +59,27 @@ def kept(question: str, sets: int) -> str:
     return f"with {views}, {SETS}, {changed('lineitem', 'l_orderkey')}, {changed('orders', 'o_orderkey')} {select}"
 
 
+def step_keys() -> str:
+    """Keys of the last step, repeated inside it and in earlier ones, and references without a parent."""
+    tables = {"orders": ("o", "k1, k2", "select o_orderkey as k1, 0 as k2, o_orderkey % 4 as part from orders"),
+              "lineitem": ("l", "k1, k2", "select k1, l_linenumber as k2, part from lines"),
+              "partsupp": ("p", "k1, k2", "select distinct l_partkey as k1, l_suppkey as k2, l_partkey % 4 as part from lineitem")}
+    reports = [f"""
+        select 'primary key' as check_name, '{name}' as object_name, count(*) as keys, count(*) filter (n > 1) as violating_keys,
+               count(*) filter ((k1, k2) in (select (k1, k2) from (select k1, k2 from ({rows}) x where part < 3))) as earlier_keys
+        from (select k1, k2, count(*) as n from ({rows}) y where part = 3 group by 1, 2) z""" for name, (_, _, rows) in tables.items()]
+    references = {"lineitem_orders": ("k1", "select o_orderkey from orders"),
+                  "lineitem_partsupp": ("(l_partkey, l_suppkey)", "select (l_partkey, l_suppkey) from lineitem")}
+    reports += [f"""
+        select 'foreign key', '{name}', count(*), count(*) filter (k not in ({parents})), cast(0 as bigint)
+        from (select distinct {key} as k from lines where part = 3) z""" for name, (key, parents) in references.items()]
+    return f"""
+        with lines as (
+          select *, l_partkey % 4 as part,
+                 case when l_partkey % 4 = 3 and l_quantity = 13 then l_orderkey + (select max(o_orderkey) + 1 from orders) else l_orderkey end as k1
+          from lineitem) {' union all '.join(reports)}"""
+
+
 def scan(table: str) -> str:
     integers = {"o_shippriority"}
     def column(name: str) -> str:
@@ -105,6 +126,7 @@ def jobs() -> dict[str, str]:
         "load_step_append": STEPS,
         "stream_step_ingest": STEPS,
         "initial_load": initial_load(counts),
+        "check_step_keys": step_keys(),
         "warm_cache": cardinalities(),
         "drop_tables": with_views(f"select *, false as there from ({counts})", *NAMES),
         "analyze_tables": with_views(" union all ".join(

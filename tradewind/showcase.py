@@ -18,7 +18,7 @@ from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
-from tradewind.operators import compaction, hot_keys, kept, layout, quality, refresh, warehouse
+from tradewind.operators import compaction, hot_keys, kept, layout, quality, refresh, step_checks, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
@@ -90,6 +90,24 @@ def steps_appended(spark: SparkSession, folder: str) -> DataFrame:
     return _step_report(spark.read.parquet(os.path.join(path, "orders")))
 
 
+def step_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Key checks of the last of four steps; some of its lines name orders that do not exist, and pairs of order and number repeat across steps."""
+    catalog, path = filled_catalog(spark, folder), scratch(spark, "step-keys")
+    shift = catalog.orders.agg((F.max("o_orderkey") + 1).alias("n")).scalar()
+    lost = (col("l_partkey") % 4 == 3) & (col("l_quantity") == 13)
+    lines = catalog.lineitem.withColumn("l_orderkey", F.when(lost, col("l_orderkey") + shift).otherwise(col("l_orderkey")))
+    steps = {"orders": (catalog.orders, col("o_orderkey") % 4), "lineitem": (lines, col("l_partkey") % 4), "partsupp": (catalog.partsupp, col("ps_partkey") % 4)}
+    for name, (rows, part) in steps.items():
+        for step in range(1, 5):
+            step_checks.append_remembered(rows.filter(part == step - 1), path, name, step)
+    primary = [step_checks.check_primary(spark, path, name, 4) for name in steps]
+    report = reduce(DataFrame.unionByName, primary).select(
+        "check_name", "object_name", "keys", col("repeated_inside").alias("violating_keys"), col("repeated_before").alias("earlier_keys"))
+    foreign = step_checks.check_foreign(spark, path, "lineitem", 4)
+    return report.unionByName(foreign.select(
+        "check_name", "object_name", "keys", col("orphan_keys").alias("violating_keys"), lit(0).cast("bigint").alias("earlier_keys")))
+
+
 def _database(spark: SparkSession, label: str) -> tuple[str, str]:
     path = scratch(spark, label)
     name = os.path.basename(path).replace("-", "_")
@@ -449,6 +467,7 @@ SHOWCASE = {
     "write_and_read_tab_dump": dumped_jobs,
     "load_step_append": steps_appended,
     "initial_load": loaded_tables,
+    "check_step_keys": step_keys,
     "drop_tables": dropped_tables,
     "analyze_tables": analyzed_tables,
     "warm_cache": cached_tables,
