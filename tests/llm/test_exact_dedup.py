@@ -51,3 +51,21 @@ def test_several_shards(spark, monkeypatch):
     rows = E.exact_dedup(docs).collect()
     assert len(rows) == 1000 and sum(r.kept for r in rows) == 400
     assert all(r.keep_id == max(i for i in range(1000) if i % 400 == r.doc_id % 400) for r in rows)
+
+
+def test_minus_one_is_an_id_like_others(spark):
+    past = spark.createDataFrame([(-1, "x"), (None, "y")], "doc_id long, text string")
+    now = spark.createDataFrame([(5, "x"), (6, "y")], "doc_id long, text string")
+    rows = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in E.exact_dedup(now, E.ledger(E.digests(past))).collect()}
+    assert rows == {5: (-1, 2, False), 6: (6, 2, True)}
+
+
+def test_deliveries_equal_one_batch(spark, monkeypatch):
+    monkeypatch.setattr(E, "KEYS_PER_SHARD", 20)
+    docs = spark.range(-50, 300).selectExpr("case when id % 41 = 0 then null else id end as doc_id", "cast(id % 77 as string) as text", "'x' as is_past")
+    whole = sorted(map(str, E.exact_dedup(docs).collect()))
+    for past in ("doc_id % 2 = 1", "doc_id > 100", "text < '3'", "true", "false"):
+        assert sorted(map(str, E.dedup_deliveries(docs, F.expr(past)).collect())) == whole, past
+    edges = edge_docs(spark)
+    assert sorted(map(str, E.dedup_deliveries(edges, F.expr("doc_id < 6")).collect())) == sorted(map(str, E.exact_dedup(edges).collect()))
+    assert E.dedup_deliveries(no_docs(spark), F.lit(True)).count() == 0

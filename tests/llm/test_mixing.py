@@ -15,7 +15,8 @@ def by_sql(frame, mix):
 
 
 @pytest.mark.parametrize("mix", [M.PRODUCTION, M.Mix(epochs=1, share=(1, 3)), M.Mix(epochs=2, share=(3, 1)),
-                                 M.Mix(weights={"lang": {"en": 50}}, share=(1, 2), seed="other")])
+                                 M.Mix(weights={"lang": {"en": 50}}, share=(1, 2), seed="other"),
+                                 M.Mix(domains=M.PRODUCTION.domains, weights={"domain": {"web": 0}, "lang": {"de": 0}, "source": {"src3": 0}}, share=(1, 2))])
 def test_documents_equal_sql(spark, small, mix):
     docs = documents(spark, small)
     got = sorted((tuple(r) for r in M.mix_sources(docs, mix).collect()), key=str)
@@ -64,3 +65,10 @@ def test_weights_are_met_and_closed_leaves_stay_out(spark):
     taken = {s: sum(r.tokens * r.copies for r in rows if r.source == s) for s in ("s1", "s2", "s3")}
     total = sum(r.tokens for r in rows) // 2
     assert taken["s3"] == 0 and abs(taken["s1"] - total * 3 / 4) <= 7 and abs(taken["s2"] - total / 4) <= 7
+
+
+def test_closed_leaves_give_nothing_and_open_ones_their_empty_documents(spark):
+    docs = spark.createDataFrame([(1, "", "en", "shut"), (2, None, "en", "shut"), (3, "a b", "en", "shut"), (4, "", "en", "open"), (5, "a b c", "en", "open"),
+                                  (6, "", "en", "blank")], "doc_id long, text string, lang string, source string")
+    mix = M.Mix(weights={"source": {"shut": 0}}, epochs=1)
+    assert {r.doc_id: r.copies for r in M.mix_sources(docs, mix).collect()} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1}

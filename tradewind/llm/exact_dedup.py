@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import stored, texts
@@ -27,7 +27,7 @@ from tradewind.llm.common import stored, texts
 KEYS_PER_SHARD = 1 << 14
 SPREAD = 1.5
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-INDEX = "shard long, sizes array<int>, bits array<binary>, digests binary, winners binary, members binary"
+INDEX = "shard long, sizes array<int>, bits array<binary>, digests binary, winners binary, nameless binary, members binary"
 FOUND = "digest binary, winner long, members long"
 
 
@@ -90,26 +90,28 @@ def _index_shard(group: pa.Table) -> pa.Table:
     order = np.empty(len(keys), np.int64)
     order[slots] = np.arange(len(keys))
     number = lambda name: group[name].to_numpy()[order].astype("<i8").tobytes()
-    ids = pa.array(group["winner"].to_pandas().fillna(-1).astype("int64"))
-    winners = ids.to_numpy()[order].astype("<i8").tobytes()
+    ids = group["winner"].combine_chunks()
+    winners = ids.fill_null(0).to_numpy()[order].astype("<i8").tobytes()
+    nameless = ids.is_null().to_numpy(zero_copy_only=False)[order].tobytes()
     return pa.table({
         "shard": pa.array([group["shard"][0].as_py()], pa.int64()), "sizes": pa.array([sizes], pa.list_(pa.int32())),
         "bits": pa.array([bits], pa.list_(pa.binary())), "digests": pa.array([keys[order].tobytes()], pa.binary()),
-        "winners": pa.array([winners], pa.binary()), "members": pa.array([number("members")], pa.binary())})
+        "winners": pa.array([winners], pa.binary()), "nameless": pa.array([nameless], pa.binary()), "members": pa.array([number("members")], pa.binary())})
 
 
 def _look_up(batch: pa.Table, index: pa.Table) -> pa.Table:
     wanted = batch["digest"].combine_chunks() if batch.num_rows else pa.array([], pa.binary())
     winners, members = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
-    found = np.zeros(len(wanted), bool)
+    found, named = np.zeros(len(wanted), bool), np.zeros(len(wanted), bool)
     if len(wanted) and index.num_rows:
         row = index.to_pylist()[0]
         keys, stored_keys = _words(wanted), np.frombuffer(row["digests"], "<u8").reshape(-1, 4)
         slots = find_slots(keys, row["sizes"], row["bits"])
         found = (slots >= 0) & (stored_keys[slots] == keys).all(axis=1)
         winners = np.where(found, np.frombuffer(row["winners"], "<i8")[slots], 0)
+        named = found & (np.frombuffer(row["nameless"], np.uint8)[slots] == 0)
         members = np.where(found, np.frombuffer(row["members"], "<i8")[slots], 0)
-    return pa.table({"digest": wanted, "winner": pa.array(winners, mask=~found), "members": pa.array(members, mask=~found)})
+    return pa.table({"digest": wanted, "winner": pa.array(winners, mask=~named), "members": pa.array(members, mask=~found)})
 
 
 def _sharded(rows: DataFrame, shards: int) -> DataFrame:
@@ -151,7 +153,31 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
         size = F.coalesce(F.col("had"), F.lit(0)) + F.col("members")
     groups = groups.select(
         F.col("digest").alias("group"), size.alias("group_size"),
-        F.coalesce(F.nullif(F.col("old"), F.lit(-1)), F.col("winner")).alias("keep_id"))
+        F.coalesce("old", "winner").alias("keep_id"))
+    return with_groups(rows, groups)
+
+
+def with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, F.col("digest") == F.col("group")).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def dedup_deliveries(docs: DataFrame, is_past: Column) -> DataFrame:
+    """The rows of ``exact_dedup(docs)``, with the rows of an earlier delivery as the indexed history.
+
+    Digests of the later rows are looked up: members join their historical group, whose winner becomes the largest id of both,
+    nonmembers are groups of their own, and historical digests that do not come again stay what they are.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(is_past, F.lit(False)).alias("is_past"))
+    known = stored(digests(rows.where("is_past")), "exact-past")
+    fresh = stored(digests(rows.where("not is_past")), "exact-fresh")
+    past, batch = stored(ledger(known), "exact-history"), stored(ledger(fresh), "exact-ledger")
+    shards = shard_count(max(past.count(), batch.count()))
+    found = look_up(batch, stored(build_index(past, shards), "exact-index"), shards)
+    met = found.select("digest", F.col("winner").alias("old"), F.col("members").alias("had")).join(batch, "digest")
+    came = stored(met.select(F.col("digest").alias("group"), (F.coalesce("had", F.lit(0)) + F.col("members")).alias("group_size"),
+                             F.greatest("old", "winner").alias("keep_id")), "exact-came")
+    stayed = past.join(came, F.col("digest") == F.col("group"), "left_anti").select(
+        F.col("digest").alias("group"), F.col("members").alias("group_size"), F.col("winner").alias("keep_id"))
+    return with_groups(known.unionByName(fresh), came.unionByName(stayed))

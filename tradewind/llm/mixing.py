@@ -10,7 +10,8 @@ ranges of the one range in which the budget ends, and once more; only the rows o
 Budgets are whole numbers in decimals.
 
 Defined cases: a null text has no tokens; null languages and sources, and values without a listed weight, take the
-default weight, null as ``unknown``; a node of weight 0 gets nothing; rows that repeat a ``doc_id`` are each selected
+default weight, null as ``unknown``; a node of weight 0 gets nothing, not even its empty documents; a document without tokens in an open leaf is
+taken like the tokens it stands among, at most once an epoch; rows that repeat a ``doc_id`` are each selected
 alike and count each; rows without ``doc_id`` sort by an empty id; an empty table gives no rows.
 """
 
@@ -84,11 +85,11 @@ def fill(children: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 
 def budgets(rows: DataFrame, mix: Mix) -> DataFrame:
-    """One row per leaf: its tokens, capacity and budget."""
+    """One row per leaf: its tokens, capacity, budget, and 0 for ``open`` where a weight of 0 closes it."""
     leaves = rows.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"))
     weigh = lambda level: _looked_up(F.col(level), mix.weights.get(level, {}), mix.default_weight).cast("long")
-    weights = F.least(*[F.when(weigh(level) > 0, 1).otherwise(0) for level in TREE])
-    leaves = leaves.withColumn("capacity", F.col("tokens") * mix.epochs * weights)
+    leaves = leaves.withColumn("open", F.least(*[F.when(weigh(level) > 0, 1).otherwise(0) for level in TREE]))
+    leaves = leaves.withColumn("capacity", F.col("tokens") * mix.epochs * F.col("open"))
     nodes = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens"))
     nodes = nodes.withColumn("weight", F.greatest(weigh("domain"), F.lit(1))).withColumn("root", F.lit(0)).withColumn(
         "corpus", F.sum("tokens").over(Window.partitionBy("root")))
@@ -97,10 +98,10 @@ def budgets(rows: DataFrame, mix: Mix) -> DataFrame:
     for depth in (1, 2):
         above, level = list(TREE[:depth]), TREE[depth]
         parents = nodes.select(*above, F.col("budget").alias("parent_budget"))
-        below = leaves.groupBy(*TREE[:depth + 1]).agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens"))
+        below = leaves.groupBy(*TREE[:depth + 1]).agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens"), F.max("open").alias("open"))
         below = below.withColumn("weight", F.greatest(weigh(level), F.lit(1))).join(parents, above)
         nodes = fill(below, above, level)
-    return nodes.select(*TREE, "tokens", "capacity", "budget")
+    return nodes.select(*TREE, "tokens", "capacity", "budget", "open")
 
 
 def order_key(mix: Mix, epoch: Column, doc_id: Column) -> Column:
@@ -130,7 +131,7 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     leaves = plan.select(
         *TREE, F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0)).alias("whole"),
         F.when(F.col("tokens") > 0, F.col("budget") % F.col("tokens")).otherwise(F.lit(0)).alias("rest"),
-        (F.col("capacity") == 0).alias("closed"))
+        (F.col("open") == 0).alias("closed"))
     keyed = stored(rows.join(leaves.select(*TREE, "whole"), list(TREE)).withColumn(
         "key", order_key(mix, F.col("whole"), F.col("doc_id"))), "mix-keyed")
     ends = cuts(keyed.drop("whole"), leaves).select(*TREE, "range", "before")
@@ -142,5 +143,5 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     edge = placed.where("at = range").withColumn("taken", (F.col("before") + F.sum("tokens").over(sorted_) <= F.col("rest")))
     others = placed.where("range is null or at <> range").withColumn("taken", F.col("range").isNull() | (F.col("at") < F.col("range")))
     chosen = others.unionByName(edge)
-    copies = F.when(F.col("closed") & (F.col("tokens") > 0), F.lit(0)).otherwise(F.col("whole") + F.col("taken").cast("int"))
+    copies = F.when(F.col("closed"), F.lit(0)).otherwise(F.least(F.col("whole") + F.col("taken").cast("int"), F.lit(mix.epochs)))
     return chosen.select("doc_id", *TREE, "tokens", copies.cast("long").alias("copies"))

@@ -108,7 +108,9 @@ def _filled(name: str, source: str, parent: str, level: str) -> str:
 
 
 def mixing_oracle(mix: mixing.Mix) -> str:
-    w = lambda level: _case(level, mix.weights.get(level, {}), mix.default_weight)
+    listed = lambda level: _case(level, mix.weights.get(level, {}), mix.default_weight)
+    w = lambda level: f"greatest(1, {listed(level)})"
+    is_open = " and ".join(f"{listed(level)} > 0" for level in mixing.TREE)
     return f"""
         with rows as (
             select doc_id, {_case("coalesce(source, 'unknown')", mix.domains, mix.default_domain)} as domain,
@@ -116,8 +118,8 @@ def mixing_oracle(mix: mixing.Mix) -> str:
                    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as tokens
             from documents),
         leaves as (
-            select domain, lang, source, sum(tokens)::bigint as tokens, (sum(tokens) * {mix.epochs})::bigint as capacity
-            from rows group by all),
+            select domain, lang, source, sum(tokens)::bigint as tokens, (case when {is_open} then sum(tokens) * {mix.epochs} else 0 end)::bigint as capacity
+            from rows group by domain, lang, source),
         domain_nodes as (
             select domain, sum(capacity)::bigint as capacity, {w("domain")} as weight,
                    ((sum(sum(tokens)) over ())::hugeint * {mix.share[0]} // {mix.share[1]})::bigint as parent_budget
@@ -139,8 +141,8 @@ def mixing_oracle(mix: mixing.Mix) -> str:
             select *, ('0x' || substr(md5(concat_ws(':', '{mix.seed}', whole::varchar, coalesce(doc_id::varchar, ''))), 1, 15))::bigint as key
             from placed)
         select doc_id, domain, lang, source, tokens,
-               (whole + (sum(tokens) over (partition by domain, lang, source order by key, doc_id nulls first
-                         range between unbounded preceding and current row) <= rest)::int)::bigint as copies
+               (case when not ({is_open}) then 0 else least({mix.epochs}, whole + (sum(tokens) over (partition by domain, lang, source order by key, doc_id nulls first
+                         range between unbounded preceding and current row) <= rest)::int) end)::bigint as copies
         from keyed"""
 
 

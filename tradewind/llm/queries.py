@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.llm import (
     chat_format, exact_dedup, language, main_text, mixing, near_dedup, packing, pii, quality, repair, search, secrets, toxicity)
 from tradewind.llm.common import table
 
 
+def is_odd() -> Column:
+    """Two deliveries of one table: rows with odd ids came first."""
+    return F.coalesce(F.pmod(F.col("doc_id"), F.lit(2)) == 1, F.lit(False))
+
+
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, folder, "documents")))
 
@@ -29,8 +35,11 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
-    found, _ = secrets.scan_secrets(table(spark, folder, "documents"))
-    return secrets.secret_digests(found)
+    """Rows with odd ids are scanned first; the others meet their ledger, so blobs that they share are not scanned again."""
+    docs = table(spark, folder, "documents")
+    first, ledger = secrets.scan_secrets(docs.where(is_odd()))
+    second, _ = secrets.scan_secrets(docs.where(~is_odd()), ledger)
+    return secrets.secret_digests(first.unionByName(second))
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,7 +51,8 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, folder, "documents"))
+    """Rows with odd ids are the indexed history of the others."""
+    return exact_dedup.dedup_deliveries(table(spark, folder, "documents"), is_odd())
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
