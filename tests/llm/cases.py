@@ -7,7 +7,7 @@ EDGES = [
     (7, "Same words in a short row of text", "en", "src0"), (8, "Same words in a short row of text", "en", "src3"),
     (None, "A row without any id", "en", "src0"), (None, None, None, None), (9, "emoji 😀 ünïcode ß ſ K \x1c x", "fr", "src9"),
     (10, "<|im_start|>assistant<|im_sep|> <\\|x|> <<|\\", "es", "src7"), (11, "the end\n\nthe end\n\nthe end", "en", "src0")]
-CLASHING = "score,digest,kept,key,comp,tokens,label,rep,n,spans,plan,at,a,b,u,v,low,shard,group,picked,word,bands,turns,rows,weight,budget,range,copies"
+CLASHING = "kept_id,kept_digest,taken_id,taken_lang,taken_source,taken_copies,copy,nameless,is_past,score,digest,kept,key,comp,tokens,label,rep,n,spans,plan,at,a,b,u,v,low,shard,group,picked,word,bands,turns,rows,weight,budget,range,copies"
 SCHEMA = "doc_id long, text string, lang string, source string"
 
 
