@@ -195,6 +195,20 @@ def jobs() -> dict[str, str]:
                    date_trunc('minute', ts) + interval 1 minute as window_end,
                    count(*) as queries, cast(count(*) as double) as qpm
             from q group by 1, 2""",
+        "stream_job_reports": """
+            with w as (
+              select user_id as job, case when user_id % 3 = 0 then 5 else 60 end as seconds,
+                     floor(epoch(ts) / case when user_id % 3 = 0 then 5 else 60 end)::bigint as slot,
+                     count(*) filter (event_type = 'purchase') as streams, count(*) as queries
+              from events group by all),
+            t as (
+              select *, make_timestamp(slot * seconds * 1000000) as window_start, make_timestamp((slot + 1) * seconds * 1000000) as window_end,
+                     cast(sum(streams) over sofar as bigint) as all_streams, cast(sum(queries) over sofar as bigint) as all_queries,
+                     (slot + 1 - min(slot) over sofar) * seconds as elapsed
+              from w window sofar as (partition by job order by slot))
+            select job, seconds, window_start, window_end, streams, queries, all_streams, all_queries, elapsed,
+                   round(cast(all_queries * 60 as double) / elapsed, 6) as qpm
+            from t""",
         "sweep_q06": with_views("""
             select cast((y - 1993) * 16 + (d - 2) * 2 + (q - 24) + 1 as int) as set_id,
                    cast(y as int) as year, cast(d as int) as discount, cast(q as int) as quantity,

@@ -176,17 +176,8 @@ def questions() -> dict[str, str]:
                               and l3.l_suppkey <> l1.l_suppkey
                               and l3.l_receiptdate > l3.l_commitdate)
             group by s_name order by numwait desc, s_name limit 100""", "lineitem_h"),
-        "q22_global_sales": with_views("""
-            select left(c_phone, 2) as cntrycode, count(*) as numcust,
-                   cast(sum(c_acctbal) as double) as totacctbal
-            from customer_h
-            where left(c_phone, 2) in ('13', '31', '23', '29', '30', '18', '17')
-              and c_acctbal * (select count(*) from rich) > (select sum(c_acctbal) from rich)
-              and not exists (select 1 from orders where o_custkey = c_custkey
-                              and o_orderdate >= date '2001-01-01')
-            group by 1 order by 1""", "customer_h", extra="""
-            rich as (select c_acctbal from customer_h where c_acctbal > 0
-                     and left(c_phone, 2) in ('13', '31', '23', '29', '30', '18', '17'))"""),
+        "q22_global_sales": global_sales(""),
+        "q22_global_sales_since": global_sales("and o_orderdate >= date '2001-01-01'"),
         "q08a_market_share": market_share(),
         "q12a_shipping_modes": shipping_modes(),
         "q13a_customer_distribution": customer_distribution("ordercount"),
@@ -195,6 +186,19 @@ def questions() -> dict[str, str]:
     }
 
 
+def global_sales(condition: str) -> str:
+    return with_views(f"""
+        select left(c_phone, 2) as cntrycode, count(*) as numcust,
+               cast(sum(c_acctbal) as double) as totacctbal
+        from customer_h
+        where left(c_phone, 2) in ('13', '31', '23', '29', '30', '18', '17')
+          and c_acctbal * (select count(*) from rich) > (select sum(c_acctbal) from rich)
+          and not exists (select 1 from orders where o_custkey = c_custkey {condition})
+        group by 1 order by 1""", "customer_h", extra="""
+        rich as (select c_acctbal from customer_h where c_acctbal > 0
+                 and left(c_phone, 2) in ('13', '31', '23', '29', '30', '18', '17'))""")
+
+
 def market_share() -> str:
     return with_views(f"""
         select cast(year(o_orderdate) as int) as o_year,

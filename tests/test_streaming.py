@@ -114,3 +114,48 @@ def test_numbered_steps_give_the_rest_to_the_last(spark):
     frame = spark.range(5, 28).toDF("k")
     got = warehouse.numbered_steps(frame, "k", 4).groupBy("step").count().orderBy("step").collect()
     assert [(r.step, r["count"]) for r in got] == [(1, 5), (2, 5), (3, 5), (4, 8)]
+
+
+def test_short_jobs_report_often(spark, tmp_path):
+    """Two jobs in one stream over two triggers: intervals of five and of sixty seconds, open ones included."""
+    source, target, state = (str(tmp_path / n) for n in ("events", "windows", "state"))
+    begin = datetime(2024, 5, 1, 12, 0, 0)
+    planned = spark.createDataFrame([(1, 60), (2, 600), (3, 600)], "job long, planned int")
+    schema = spark.createDataFrame([], "job long, name string, ts timestamp").schema
+    made = [(job, "last" if n % 4 == 3 else "other", begin + timedelta(seconds=7 * n)) for job in (1, 2) for n in range(24)]
+    given = (spark, schema, source, planned, lambda rows: rows, "last", target, "30 seconds")
+    for part in (made[:12] + made[24:36], made[12:24] + made[36:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        jobs.stream_job_windows(*given[:7], state, given[7]).awaitTermination()
+    want = {}
+    for job, name, ts in made:
+        width = 5 if job == 1 else 60
+        at = begin + timedelta(seconds=(ts - begin).total_seconds() // width * width)
+        streams, queries = want.get((job, at), (0, 0))
+        want[job, at] = (streams + (name == "last"), queries + 1)
+    got = jobs.job_reports(*given).collect()
+    assert {(r.job, r.window_start): (r.streams, r.queries) for r in got} == want and len(got) == len(want)
+    last = {job: max((r for r in got if r.job == job), key=lambda r: r.window_start) for job in (1, 2)}
+    assert all((r.all_streams, r.all_queries) == (6, 24) for r in last.values())
+    assert last[2].elapsed == 180 and last[2].qpm == 8.0 and last[1].elapsed == 165
+    written = spark.read.parquet(target).count()
+    assert 0 < written < len(want)
+
+
+def test_a_closed_source_without_events_has_no_reports(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("events", "windows", "state"))
+    schema = spark.createDataFrame([], "job long, name string, ts timestamp").schema
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(source)
+    planned = spark.createDataFrame([(1, 60)], "job long, planned int")
+    given = (spark, schema, source, planned, lambda rows: rows, "last", target)
+    jobs.stream_job_windows(*given, state).awaitTermination()
+    assert jobs.job_reports(*given).count() == 0
+
+
+def test_open_windows_read_late_events_only(spark, tmp_path):
+    source = str(tmp_path / "events")
+    rows = [(datetime(2024, 5, 1) + timedelta(minutes=n),) for n in range(600)]
+    frame = spark.createDataFrame(rows, "ts timestamp")
+    frame.coalesce(1).write.parquet(source)
+    left, _ = jobs._still_open(spark, frame.schema, source, 60, "1 hour", "*.parquet")
+    assert 55 <= left.count() <= 65 and "GreaterThan(ts" in left._jdf.queryExecution().toString()

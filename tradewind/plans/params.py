@@ -54,7 +54,6 @@ TEST_VALUES: dict[str, dict] = {
     "q19": {"brands": ("Brand#9", "Brand#3", "Brand#24"), "quantities": (1, 15, 5)},
     "q20": {"word": "blue", "start": date(1996, 1, 1), "nation": "NATION_3"},
     "q21": {"nation": "NATION_7"},
-    "q22": {"codes": ("13", "31", "23", "29", "30", "18", "17"), "since": date(2001, 1, 1)},
 }
 
 

@@ -393,6 +393,18 @@ def streamed_throughput(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.all_windows(spark, schema, folder, target, pattern="events.parquet").orderBy("window_start")
 
 
+def streamed_job_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports of every user's events as a job: every third one short, with five-second intervals."""
+    target, state = scratch(spark, "job-windows"), scratch(spark, "state")
+    events = read_columns(spark, folder, "events")
+    planned = F.when(col("job") % 3 == 0, 60).otherwise(3600)
+    users = stored(events.select(col("user_id").alias("job")).distinct().withColumn("planned", planned), "planned-jobs")
+    read = lambda rows: rows.select(col("user_id").alias("job"), col("event_type").alias("name"), "ts")
+    given = (spark, events.schema, folder, users, read, "purchase", target)
+    jobs.stream_job_windows(*given, state, pattern="events.parquet").awaitTermination()
+    return jobs.job_reports(*given, pattern="events.parquet")
+
+
 # -- sweeps -----------------------------------------------------------------
 
 def swept_q06(spark: SparkSession, folder: str) -> DataFrame:
@@ -487,6 +499,7 @@ SHOWCASE = {
     "stream_step_ingest": streamed_steps,
     "stream_refresh": streamed_sets,
     "stream_throughput": streamed_throughput,
+    "stream_job_reports": streamed_job_reports,
     "sweep_q06": swept_q06,
     "sweep_q14": swept_q14,
     "gen_draw": draws,
