@@ -112,6 +112,10 @@ def jobs() -> dict[str, str]:
     return {
         **{f"scan_table_{t}": scan(t) for t in COLUMNS},
         "write_and_scan_flat_file": LINE_SUMMARY,
+        "flat_file_rejects": """
+            select case l_orderkey % 40 when 1 then '9 fields instead of 16' when 2 then 'l_quantity: no double'
+                                        when 3 then 'l_orderkey: missing' else 'good' end as reason, count(*) as rows
+            from lineitem group by 1""",
         "write_tab_copy": LINE_SUMMARY,
         "write_and_read_tab_dump": """
             select user_id as id, 1 + user_id % 5 as run,

@@ -56,6 +56,19 @@ def pipe_files(spark: SparkSession, folder: str) -> DataFrame:
     return _lines_summary(flatfile.read_pipe(spark, path, "lineitem"))
 
 
+def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a flat file by what is wrong with them: some are cut off, some have no number or no key."""
+    path, key = scratch(spark, "flat"), col("l_orderkey") % 40
+    fields = [F.when(key == 2, lit("many")).otherwise(col(c).cast("string")) if c == "l_quantity"
+              else F.when(key == 3, lit("")).otherwise(col(c).cast("string")) if c == "l_orderkey"
+              else F.coalesce(col(c).cast("string"), lit("")) for c in TABLES["lineitem"].column_names]
+    line = F.concat_ws("|", *fields)
+    filled_catalog(spark, folder).lineitem.select(F.when(key == 1, F.substring_index(line, "|", 9)).otherwise(F.concat(line, lit("|")))).write.text(path)
+    good, rejects = flatfile.read_pipe_checked(spark, path, "lineitem")
+    return rejects.groupBy("reason").count().unionByName(good.select(lit("good").alias("reason")).groupBy("reason").count()).select(
+        "reason", col("count").alias("rows"))
+
+
 def tab_files(spark: SparkSession, folder: str) -> DataFrame:
     path = flatfile.write_tabs(filled_catalog(spark, folder).lineitem, scratch(spark, "tabs"), "lineitem")
     return _lines_summary(flatfile.read_tabs(spark, path, "lineitem")
@@ -475,6 +488,7 @@ GENERATED = {
 SHOWCASE = {
     **{f"scan_table_{name}": scan(name) for name in TABLES},
     "write_and_scan_flat_file": pipe_files,
+    "flat_file_rejects": rejected_lines,
     "write_tab_copy": tab_files,
     "write_and_read_tab_dump": dumped_jobs,
     "load_step_append": steps_appended,
