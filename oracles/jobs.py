@@ -131,6 +131,10 @@ def jobs() -> dict[str, str]:
         "stream_step_ingest": STEPS,
         "initial_load": initial_load(counts),
         "check_step_keys": step_keys(),
+        "locate_differences": """
+            select o_orderkey, cast(1 as bigint) as in_first, cast(case o_orderkey % 1499 when 3 then 1 else 0 end as bigint) as in_second
+            from orders where o_orderkey % 1499 in (3, 4)
+            union all select -o_orderkey - 1, 0, 1 from orders where o_orderkey % 1499 = 5""",
         "warm_cache": cardinalities(),
         "drop_tables": with_views(f"select *, false as there from ({counts})", *NAMES),
         "analyze_tables": with_views(" union all ".join(

@@ -18,7 +18,7 @@ from tradewind.functions import words as W
 from tradewind.functions.draws import STREAMS, draw, jump, pick, positioned, sparse_key
 from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
-from tradewind.operators import compaction, hot_keys, kept, layout, quality, refresh, step_checks, warehouse
+from tradewind.operators import compaction, differences, hot_keys, kept, layout, quality, refresh, step_checks, warehouse
 from tradewind.operators.joins import null_aware_anti
 from tradewind.operators.ordered import id_block, row_numbers
 from tradewind.plans import sweeps
@@ -121,6 +121,19 @@ def step_keys(spark: SparkSession, folder: str) -> DataFrame:
         "check_name", "object_name", "keys", col("orphan_keys").alias("violating_keys"), lit(0).cast("bigint").alias("earlier_keys")))
 
 
+def located_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that another load has changed, lost or gained, found from the digest trees of both."""
+    orders, path = filled_catalog(spark, folder).orders, scratch(spark, "trees")
+    key = col("o_orderkey")
+    other = orders.filter(key % 1499 != 4).withColumn(
+        "o_totalprice", F.when(key % 1499 == 3, col("o_totalprice") + 1).otherwise(col("o_totalprice")))
+    other = other.unionByName(orders.filter(key % 1499 == 5).withColumn("o_orderkey", -key - 1))
+    trees = [os.path.join(path, name) for name in ("first", "second")]
+    levels = tuple(differences.build_tree(rows, "orders", tree) for rows, tree in zip((orders, other), trees))
+    found = differences.differing_leaves(spark, *trees, levels)
+    return differences.differing_rows(orders, other, "orders", found.leaves)
+
+
 def _database(spark: SparkSession, label: str) -> tuple[str, str]:
     path = scratch(spark, label)
     name = os.path.basename(path).replace("-", "_")
@@ -494,6 +507,7 @@ SHOWCASE = {
     "load_step_append": steps_appended,
     "initial_load": loaded_tables,
     "check_step_keys": step_keys,
+    "locate_differences": located_differences,
     "drop_tables": dropped_tables,
     "analyze_tables": analyzed_tables,
     "warm_cache": cached_tables,
