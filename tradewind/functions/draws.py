@@ -115,6 +115,39 @@ def pick(stream: str, words: list[str] | list[tuple[str, int]],
     return weighted(pairs)[(draw(stream, 1, total, nth) - 1).cast("int")]
 
 
+def alias_table(weights: list[int]) -> tuple[list[int], list[int]]:
+    """For each of as many slots as words, the share of the slot that is its own word's (in ``MODULUS``-ths), and whose the rest is.
+
+    Every slot has the size of the average weight; what a light word leaves of its own is filled from a heavy one.  In whole
+    numbers throughout, so each word gets its weight's share of all states to one state a slot.
+    """
+    total, n = sum(weights), len(weights)
+    if total <= 0 or min(weights) < 0:
+        raise ValueError("weights must not be negative, and not all zero")
+    left, own, other = [w * n for w in weights], [MODULUS] * n, list(range(n))
+    light = [i for i, w in enumerate(left) if w < total]
+    heavy = [i for i, w in enumerate(left) if w >= total]
+    while light:
+        small, large = light.pop(), heavy[-1]
+        own[small], other[small] = left[small] * MODULUS // total, large
+        left[large] -= total - left[small]
+        if left[large] < total:
+            light.append(heavy.pop())
+    return own, other
+
+
+def alias_pick(stream: str, words: list[tuple[str, int]], nth: int | Column = 1) -> Column:
+    """A word by weight from two lookups, whatever the weights: the table has one entry a word.
+
+    The words that ``pick`` chooses for the same draws are others; where values must be those, ``pick`` stays.
+    """
+    own, other = alias_table([weight for _, weight in words])
+    scaled = state(stream, nth) * F.lit(len(words))
+    slot, rest = F.floor(scaled / F.lit(MODULUS)).cast("int"), scaled % F.lit(MODULUS)
+    place = F.when(rest < longs(own)[slot], slot).otherwise(longs(other)[slot].cast("int"))
+    return F.array(*[F.lit(word) for word, _ in words])[place]
+
+
 def sparse_key(index: Column, sequence: int | Column = 0) -> Column:
     """Spread keys: the low three bits stay, two sequence bits go in above them."""
     sequence = F.lit(sequence) if isinstance(sequence, int) else sequence
