@@ -62,3 +62,46 @@ def test_components_of_a_path_and_a_star(spark):
     frame = spark.createDataFrame(links, "a long, b long")
     got = {r.node: r.root for r in N.components(frame, "test-links").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def framed(pages, frame, own, buckets=1):
+    """Members of shared buckets, each a component of its own, and their sets: a common frame and shingles of their own."""
+    sets = [(p, sorted([*range(-frame, 0), *range(p * own, (p + 1) * own)])) for p in range(pages)]
+    return [(b, p, frame + own, p) for p, _ in sets for b in range(buckets)], sets
+
+
+def frames(spark, members, sets):
+    return (spark.createDataFrame(members, "key long, rep long, n long, comp long"),
+            spark.createDataFrame(sets, "id long, items array<long>"))
+
+
+def test_pages_of_one_frame_need_no_pairs_and_no_blocks(spark):
+    members, sets = frames(spark, *framed(20_000, 60, 30, 2))
+    assert N.beginnings(members, sets, 80).count() == 0
+    assert N.links_across(members, sets, 80).count() == 0
+
+
+@pytest.mark.parametrize("rare", [0, 2, 64])
+def test_links_within_mixed_buckets_equal_brute_force(spark, monkeypatch, rare):
+    """Linked pairs among framed pages, through rare shingles, through common ones, and on the edge of the similarity."""
+    monkeypatch.setattr(N, "RARE", rare)
+    members, sets = framed(150, 40, 20)
+    for p in range(0, 150, 3):  # every third page has a near copy; the number of changed shingles goes over the edge
+        changed, copy = p % 13, 1000 + p
+        items = sorted([*sets[p][1][changed:], *(10**6 + p * 20 + i for i in range(changed))])
+        sets.append((copy, items))
+        members.append((0 if p % 2 else 7, copy, len(items), copy))
+        members.append((7, p, 60, p))
+    held = dict(sets)
+    by_key = defaultdict(set)
+    for key, rep, _, _ in members:
+        by_key[key].add(rep)
+    want = set()
+    for reps in by_key.values():
+        for a in reps:
+            for b in reps:
+                common = len(set(held[a]) & set(held[b]))
+                if a < b and 100 * common >= 80 * (len(held[a]) + len(held[b]) - common):
+                    want.add((a, b))
+    got = {tuple(r) for r in N.links_across(*frames(spark, members, sets), 80).collect()}
+    assert got == want and 20 < len(want) < 50

@@ -9,8 +9,10 @@ more than one in a thousand of pairs at 0.9 times that.  A link is decided on th
 Equal shingle sets are one class with the smallest id as its representative, so copies cost one row each.  In a
 bucket of candidates nobody is paired with everybody: every member is verified against two leaders, linked
 members are contracted into components, and only buckets whose members still lie in several components go on.
-Of those, all members that lie in different components are compared, block by block, so no link between
-candidates is lost.  Components come from repeated star contraction of the links.
+Their members meet again where they share a rare shingle at the beginning of their sets, in an order from rare to common
+(an exact prefix filter); only members whose beginnings reach common shingles are compared block by block.  So no
+link between candidates is lost, and pages that share a frame but less than the asked similarity cost one row for each
+shingle.  Components come from repeated star contraction of the links.
 
 Defined cases: a text that is null, empty or blank has no shingle and links with nothing; with fewer words than
 a shingle takes, the whole sequence is the one shingle; rows that repeat a ``doc_id`` count as one document
@@ -33,6 +35,7 @@ from tradewind.llm.common import LOWER, by_batch, stored, texts
 BANDS, ROWS = 32, 5
 CACHED_WORDS = 300_000
 BLOCK, CHUNK = 512, 1024
+RARE = 64  # a shingle in more sets than this pairs nobody; its holders are compared in blocks
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
 
@@ -163,6 +166,56 @@ def _is_settled(edges: DataFrame) -> bool:
 def links_across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All links ``a, b`` between components whose members share a bucket.
 
+    The first shingle that two linked sets have in common stands at the beginning of both.  Where it is rare, the
+    two meet as a pair; where it is common, both beginnings reach common shingles, and both go to the blocks.
+    """
+    shares = members.groupBy(F.col("key").alias("at"), "comp").agg(F.count("*").alias("size"))
+    mixed = shares.groupBy("at").agg(F.count("*").alias("comps")).where("comps > 1").select("at")
+    rows = stored(members.join(mixed, F.col("key") == F.col("at")).drop("at"), "near-members")
+    begun = stored(beginnings(rows, sets, percent), "near-beginnings")
+    pairs = stored(pairs_of(begun, percent), "near-pairs")
+    close = verified(pairs, sets, percent).select(F.least("comp_a", "comp_b").alias("a"), F.greatest("comp_a", "comp_b").alias("b"))
+    crowded = begun.where("crowded").select(F.col("rep").alias("at"))
+    left = rows.join(crowded, F.col("rep") == F.col("at"), "left_semi")
+    return close.distinct().unionByName(links_in_blocks(left, sets, percent))
+
+
+def beginnings(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rep, n, comp, buckets, alone, rare, crowded`` of every member that can have a link.
+
+    Shingles are ordered by the number of sets that hold them, then by value.  A set's beginning has n - least common + 1
+    of them: ``alone`` that no other set holds, then ``rare`` ones; it is ``crowded`` if it goes on from there.
+    """
+    members = rows.groupBy("rep").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.collect_set("key").alias("buckets"))
+    items = members.select("rep").join(sets, F.col("rep") == F.col("id")).select("rep", F.explode("items").alias("item"))
+    holders = items.groupBy(F.col("item").alias("at")).agg(F.count("*").alias("held")).where(F.col("held") <= RARE)
+    known = items.join(holders, F.col("item") == F.col("at")).groupBy(F.col("rep").alias("at")).agg(
+        F.count_if(F.col("held") == 1).alias("alone"),
+        F.array_sort(F.collect_list(F.when(F.col("held") > 1, F.struct("held", "item")))).alias("rare"))
+    begin = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    all_ = members.join(known, F.col("rep") == F.col("at"), "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where(
+        F.col("alone") < begin)
+    rare = F.coalesce(F.slice("rare", F.lit(1), (begin - F.col("alone")).cast("int")), F.array())
+    return all_.select("rep", "n", "comp", "buckets", "alone", F.transform(rare, lambda x: x["item"]).alias("rare"),
+                       (F.col("alone") + F.size(rare) < begin).alias("crowded"))
+
+
+def pairs_of(begun: DataFrame, percent: int) -> DataFrame:
+    """``a, b, comp_a, comp_b``: members of different components that share a bucket and a rare shingle of their beginnings.
+
+    What can still be in common from that shingle on has to reach the similarity.
+    """
+    at = begun.select("rep", "n", "comp", "buckets", "alone", F.posexplode("rare").alias("place", "item"))
+    side = lambda x: at.select("item", F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("comp").alias(f"comp_{x}"),
+                               F.col("buckets").alias(f"in_{x}"), (F.col("n") - F.col("alone") - F.col("place")).alias(f"left_{x}"))
+    met = side("a").join(side("b"), "item").where("a < b and comp_a <> comp_b").where(size_allows("n_a", "n_b", percent))
+    enough = F.least("left_a", "left_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return met.where(enough & F.arrays_overlap("in_a", "in_b")).select("a", "b", "comp_a", "comp_b").distinct()
+
+
+def links_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links ``a, b`` between components whose members share a bucket, without a row for any pair.
+
     In a bucket of several components the members outside the largest one are compared with all others.  The
     bucket is dealt out in blocks of bounded size, which those members visit in chunks of bounded size;
     inside a block an index of its shingles counts what they have in common, so no pair becomes a row.
