@@ -139,16 +139,18 @@ def components(links: DataFrame, label: str) -> DataFrame:
     """``node, root`` for every end of a link; the root is the smallest node of its component.
 
     Each round hangs the larger neighbours of a node, then the smaller ones with the node, on the smallest of
-    them, until every node hangs on one that hangs on none.
+    them, until every node hangs on one that hangs on none.  The smallest neighbours are written before the joins
+    with them, so that both sides of a join are rows as stored and a node with very many links can be split or broadcast against.
     """
     down = lambda e: e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = stored(down(links), label)
     while not _is_settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("low")).select("at", F.least("at", "low").alias("low"))
+        least = stored(least, label)
         large = both.join(least, F.col("u") == F.col("at")).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         large = stored(large, label)
-        least = large.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("low"))
+        least = stored(large.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("low")), label)
         small = large.join(least, F.col("u") == F.col("at")).select(F.col("v").alias("a"), F.col("low").alias("b"))
         edges = stored(down(small.unionByName(least.select(F.col("at").alias("a"), F.col("low").alias("b")))), label)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
