@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind import registry
 from tradewind.functions import steps as S
 from tradewind.operators import tracking as K
 from tradewind.schema import JOB, QUERY, RUN
-from tradewind.sources.tracking import Tracking, read_dump, read_logs, write_dump
+from tradewind.sources.tracking import Tracking, read_dump, read_logs, read_packed_logs, write_dump, write_packed_logs
 from datetime import datetime
 
 DAY = datetime(2024, 1, 1)
@@ -126,3 +127,24 @@ def test_throughput(tables):
     got = {r.job_id: (r.streams, r.queries, r.queries_per_minute)
            for r in K.throughput(tables).collect()}
     assert got == {3: (3, 6, 6.0), 5: (1, 1, 2.0)}
+
+
+def test_packed_logs_keep_names_order_and_lines(spark, tmp_path):
+    rows = [("007", 0, 1, "select"), ("007", 0, 2, "a\tb\nc"), ("007", 0, 3, "Time: 1.5 ms"), ("b", None, 9, ""), (None, 3, 1, "x"),
+            ("007", 10, 5, "Time: 2.5 ms"), ("007", 9, 4, "select")]
+    write_packed_logs(spark.createDataFrame(rows, "log string, block bigint, pos bigint, line string"), str(tmp_path / "logs"))
+    back = read_packed_logs(spark, str(tmp_path / "logs")).orderBy("log", "block", "pos").collect()
+    assert [(r.log, r.block.part, r.line) for r in back] == [
+        (None, 3, "x"), ("007", 0, "select"), ("007", 0, "a\tb"), ("007", 0, "c"), ("007", 0, "Time: 1.5 ms"),
+        ("007", 9, "select"), ("007", 10, "Time: 2.5 ms"), ("b", None, "")]
+
+
+def test_registering_writes_as_many_files_as_tasks(spark, tmp_path, monkeypatch):
+    """A file for each log would make the files grow with the logs."""
+    spark.range(600).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "id % 300 as user_id", "concat('q', id % 2) as event_type",
+        "cast(id as double) as value", "'' as props").write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(registry, "scratch", lambda _, label: str(tmp_path / label))
+    got = registry.all_queries()["track_register"](spark, str(tmp_path)).collect()
+    assert {(r.log, r.name): r.duration for r in got} == {(str(u), f"q{u % 2}"): (u + 300) / 1000 for u in range(300) if u % 3}
+    assert len(list((tmp_path / "logs").glob("**/part-*.txt"))) <= 8

@@ -105,6 +105,29 @@ def read_logs(spark: SparkSession, folder: str) -> DataFrame:
             F.col("value").alias("line")))
 
 
+def write_packed_logs(lines: DataFrame, path: str) -> None:
+    """(log, block, pos, line) rows as text files that many logs share.
+
+    Each line follows the log's name and the block, with tabs between, so there are as many files as tasks, however many
+    logs.  All lines of a log's block lie in one file, in order.  Names hold no tab and no line end.
+    """
+    before = F.concat(F.coalesce("log", F.lit("")), F.lit("\t"), F.coalesce(F.col("block").cast("string"), F.lit("")), F.lit("\t"))
+    # A line with line ends in it is read as several.
+    pieces = F.transform(F.split("line", "\r\n|\r|\n", -1), lambda piece: F.concat(before, piece))
+    (lines.repartition("log", "block").sortWithinPartitions("log", "block", "pos")
+     .select(F.array_join(pieces, "\n").alias("value")).write.text(path))
+
+
+def read_packed_logs(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of packed logs as (log, block, pos, line), ordered as ``read_logs`` orders them."""
+    field = lambda n: F.nullif(F.split("value", "\t", 3)[n], F.lit(""))
+    return spark.read.text(path).select(
+        field(0).alias("log"),
+        F.struct(field(1).cast("bigint").alias("part"), F.col("_metadata.file_block_start").alias("offset")).alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.split("value", "\t", 3)[2].alias("line"))
+
+
 def logs_from_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Log lines and the planned query names of every stream job, from ``events``.
 
