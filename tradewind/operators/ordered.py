@@ -56,6 +56,13 @@ def row_numbers(frame: DataFrame, group: list[str], block: str, order: str,
     return counted.withColumn(name, F.col(name) + 1)
 
 
+def last_block(frame: DataFrame, block: str, rows: int) -> int | None:
+    """The block in which the first ``rows`` rows end, nulls first; None if there are fewer."""
+    sums = frame.groupBy(block).agg(F.count("*").alias("_n"))
+    reached = sums.withColumn("_upto", F.col("_n") + F.coalesce(F.sum("_n").over(_before([], block)), F.lit(0)))
+    return reached.filter((F.col("_upto") >= rows) & F.col(block).isNotNull()).agg(F.min(block)).first()[0]
+
+
 def carry_forward(frame: DataFrame, group: list[str], block: str, order: str,
                   value: str, name: str) -> DataFrame:
     """Add ``name``: the latest non-null ``value`` strictly before this row."""

@@ -20,7 +20,7 @@ from tradewind.functions.money import REVENUE, cents, exact_sum, money
 from tradewind.functions.text import comment
 from tradewind.operators import compaction, differences, hot_keys, kept, layout, quality, refresh, step_checks, warehouse
 from tradewind.operators.joins import null_aware_anti
-from tradewind.operators.ordered import id_block, row_numbers
+from tradewind.operators.ordered import BLOCK_BITS, id_block, last_block, row_numbers
 from tradewind.plans import sweeps
 from tradewind.plans.params import TEST_VALUES
 from tradewind.schema import TABLES
@@ -275,21 +275,37 @@ def step_ranges(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- refresh ----------------------------------------------------------------
 
-def _sets(catalog: Catalog, count: int) -> tuple[DataFrame, DataFrame]:
-    """Refresh sets over the given orders: set u deletes the u-th thousandth of the
-    orders by key, and inserts copies of them, with their lines, under new keys."""
+def _members(catalog: Catalog, count: int) -> DataFrame:
+    """``o_orderkey, refresh``: set u has the u-th thousandth of the orders by key.
+
+    Only keys of the blocks that the sets reach are numbered; what is stored is a thousandth of the keys for each set.
+    """
     keys = catalog.orders.select("o_orderkey").withColumn("block", id_block("o_orderkey"))
-    size = keys.agg(F.greatest(F.floor(F.count("*") / lit(1000)), lit(1)).alias("n")).scalar()
+    size = max(keys.count() // 1000, 1)
+    last = last_block(keys, "block", count * size)
+    if last is not None:  # keys without a value are counted as before all others
+        keys = keys.filter(col("o_orderkey").isNull() | (col("o_orderkey") < (last + 1) << BLOCK_BITS))
     ranked = row_numbers(keys, [], "block", "o_orderkey", "row")
-    members = ranked.select(
+    return stored(ranked.select(
         "o_orderkey", (F.floor((col("row") - 1) / size) + 1).cast("int").alias("refresh")
-    ).filter(col("refresh") <= count)
-    shift = catalog.orders.agg((F.max("o_orderkey") + 1).alias("n")).scalar()
-    orders = catalog.orders.join(members, "o_orderkey").withColumn(
-        "o_orderkey", col("o_orderkey") + shift)
-    lines = catalog.lineitem.join(members, col("l_orderkey") == col("o_orderkey")).drop(
-        "o_orderkey").withColumn("l_orderkey", col("l_orderkey") + shift)
-    return members, orders, lines
+    ).filter(col("refresh") <= count), "refresh-members")
+
+
+def _sets(catalog: Catalog, count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Refresh sets over the given orders: set u deletes the u-th thousandth of the
+    orders by key, and inserts copies of them, with their lines, under new keys.
+
+    The range of the members' keys reaches the scans, so that no join moves a table; the sets are found once and stored.
+    """
+    members = _members(catalog, count)
+    low, high = members.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    near = lambda key: lit(False) if low is None else col(key).between(low, high)
+    shift = catalog.orders.agg((F.max("o_orderkey") + 1).alias("n")).first().n
+    orders = catalog.orders.filter(near("o_orderkey")).join(members, "o_orderkey").withColumn(
+        "o_orderkey", col("o_orderkey") + lit(shift).cast("bigint"))
+    lines = catalog.lineitem.filter(near("l_orderkey")).join(members, col("l_orderkey") == col("o_orderkey")).drop(
+        "o_orderkey").withColumn("l_orderkey", col("l_orderkey") + lit(shift).cast("bigint"))
+    return members, stored(orders, "refresh-orders"), stored(lines, "refresh-lines")
 
 
 def _status_report(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -311,7 +327,7 @@ def insert_set(spark: SparkSession, folder: str) -> DataFrame:
 
 def delete_set(spark: SparkSession, folder: str) -> DataFrame:
     catalog = filled_catalog(spark, folder)
-    members, _, _ = _sets(catalog, 1)
+    members = _members(catalog, 1)
     return _status_report(refresh.delete_orders(catalog.orders, members, "o_orderkey"),
                           refresh.delete_orders(catalog.lineitem, members, "l_orderkey"))
 
