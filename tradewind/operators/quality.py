@@ -35,12 +35,30 @@ def cardinalities(c: Catalog) -> DataFrame:
                         for label in labels.values()])
 
 
+KEYS_PER_TASK = 1 << 19  # what one task adds up in memory, whatever the table's size
+
+
+def rows_per_key(rows: DataFrame, keys: tuple[str, ...], most: int) -> DataFrame:
+    """The keys with their rows as ``n``, in as many tasks as ``most`` rows need.
+
+    Nearly all keys differ, so adding up before the shuffle would only hold them all in memory.  Rows of one key are dealt
+    over all tasks first, so a hot key reaches the second shuffle as one row a task.
+    """
+    tasks = -(-most // KEYS_PER_TASK)
+    if tasks <= 1:
+        return rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    dealt = rows.select(*keys, (F.monotonically_increasing_id() % tasks).alias("_deal"))
+    parts = dealt.repartition(tasks, *keys, "_deal").groupBy(*keys, "_deal").agg(F.count("*").alias("_n"))
+    return parts.repartition(tasks, *keys).groupBy(*keys).agg(F.sum("_n").alias("n"))
+
+
 def primary_keys(c: Catalog) -> DataFrame:
     """Rows, distinct keys, repeated keys and null keys per table."""
     checks = []
     for table in TABLES.values():
         filled = reduce(lambda a, b: a & b, [col(k).isNotNull() for k in table.primary_key])
-        keys = getattr(c, table.name).groupBy(*table.primary_key).agg(F.count("*").alias("n"))
+        most = c.most_rows(table.name)
+        keys = rows_per_key(getattr(c, table.name), table.primary_key, most)
         checks.append(keys.agg(
             F.coalesce(F.sum("n"), lit(0)).alias("rows"), F.count("*").alias("distinct_keys"),
             _count(col("n") > 1).alias("repeated_keys"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions import words as W
-from tradewind.sources.tables import Catalog, conform, read_columns, stored
+from tradewind.sources.tables import Catalog, conform, exists, read_columns, stored
 
 # Fixed values of the fill-in rules for folders without these columns.
 SHIP_INSTRUCTIONS = ["DELIVER IN PERSON", "COLLECT COD", "NONE", "TAKE BACK RETURN"]
@@ -96,6 +96,10 @@ class FilledCatalog(Catalog):
             return read_columns(self.spark, self.folder, "lineitem", "offers", lambda lines: filled(derive_partsupp(lines)))
         return frame if frame is not None else read_columns(self.spark, self.folder, name)
 
+    def most_rows(self, name: str) -> int:
+        derived = name == "partsupp" and name not in self._frames and not exists(self.spark, self.folder, name)
+        return super().most_rows("lineitem" if derived else name)
+
 
 def filled_catalog(spark: SparkSession, folder: str) -> FilledCatalog:
     """A fresh catalog, so that a folder that has grown is read as it is now."""
