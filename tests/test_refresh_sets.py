@@ -48,3 +48,14 @@ def test_sets_are_found_once(spark, base):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not any("Exchange" in plan for plan in plans)
+
+
+def test_an_insert_set_reads_only_what_its_report_needs(spark, tmp_path):
+    """Rules for columns that are not stored do not hold for keys below zero; the report asks for none of them."""
+    spark.range(-2, 8).selectExpr("id as o_orderkey", "id as o_custkey", "'O' as o_orderstatus", "1.0D as o_totalprice", "date'1995-01-01' as o_orderdate",
+                                  "'1-URGENT' as o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(-2, 8).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber", "1.0D as l_quantity", "1.0D as l_extendedprice", "0.0D as l_discount",
+        "0.0D as l_tax", "'N' as l_returnflag", "'O' as l_linestatus", "date'1995-01-01' as l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.table_name: (r.rows, r.key_sum) for r in showcase.insert_set(spark, str(tmp_path)).collect()}
+    assert got == {"orders": (11, 25 + 6), "lineitem": (11, 25 + 6)}

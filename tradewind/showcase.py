@@ -291,11 +291,11 @@ def _members(catalog: Catalog, count: int) -> DataFrame:
     ).filter(col("refresh") <= count), "refresh-members")
 
 
-def _sets(catalog: Catalog, count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _set_rows(catalog: Catalog, count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Refresh sets over the given orders: set u deletes the u-th thousandth of the
     orders by key, and inserts copies of them, with their lines, under new keys.
 
-    The range of the members' keys reaches the scans, so that no join moves a table; the sets are found once and stored.
+    The range of the members' keys reaches the scans, so that no join moves a table.
     """
     members = _members(catalog, count)
     low, high = members.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
@@ -305,6 +305,12 @@ def _sets(catalog: Catalog, count: int) -> tuple[DataFrame, DataFrame, DataFrame
         "o_orderkey", col("o_orderkey") + lit(shift).cast("bigint"))
     lines = catalog.lineitem.filter(near("l_orderkey")).join(members, col("l_orderkey") == col("o_orderkey")).drop(
         "o_orderkey").withColumn("l_orderkey", col("l_orderkey") + lit(shift).cast("bigint"))
+    return members, orders, lines
+
+
+def _sets(catalog: Catalog, count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Refresh sets that are written to a store, so all columns are needed: found once for all writes."""
+    members, orders, lines = _set_rows(catalog, count)
     return members, stored(orders, "refresh-orders"), stored(lines, "refresh-lines")
 
 
@@ -319,7 +325,7 @@ def _status_report(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def insert_set(spark: SparkSession, folder: str) -> DataFrame:
     catalog = filled_catalog(spark, folder)
-    _, orders, lines = _sets(catalog, 1)
+    _, orders, lines = _set_rows(catalog, 1)
     return _status_report(
         refresh.insert_orders(catalog.orders, orders.select(*catalog.orders.columns)),
         refresh.insert_orders(catalog.lineitem, lines.select(*catalog.lineitem.columns)))
