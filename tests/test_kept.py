@@ -85,3 +85,19 @@ def test_an_answer_reads_no_orders(spark, base, tmp_path):
     bare = Catalog(spark, "").with_tables(customer=base.customer)
     for name in KEPT:
         kept.answer(bare, state, name, KEPT).collect()
+
+
+def test_whole_orders_are_not_moved_for_few_large_ones(spark, tmp_path):
+    """The size of the lines promises far more large orders than there are; going by it, the join moved all orders."""
+    orders, lines = (str(tmp_path / name) for name in ("orders", "lineitem"))
+    spark.range(30000).selectExpr("id as o_orderkey", "id * 7 % 1000 as o_custkey", "date'1995-01-01' as o_orderdate", "id * 1.5D as o_totalprice").write.parquet(orders)
+    spark.range(60000).selectExpr("id * 7919 % 30000 as l_orderkey", "cast(case when id < 3 then 300 else 1 end as decimal(12,2)) as l_quantity").write.parquet(lines)
+    base = Catalog(spark, "").with_tables(orders=spark.read.parquet(orders), lineitem=spark.read.parquet(lines))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        rows = KEPT["q18"].change(None, base)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert {(r.o_orderkey, r.q) for r in rows.collect()} == {(0, 30100), (7919, 30100), (15838, 30100)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning(o_orderkey" not in plan

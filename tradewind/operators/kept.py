@@ -69,14 +69,18 @@ def customer_distribution(first: str, second: str) -> Kept:
 
 
 def large_orders(quantity: int) -> Kept:
-    """The state holds large orders, and a row without a quantity for each large order that a set took away or made small."""
+    """The state holds large orders, and a row without a quantity for each large order that a set took away or made small.
+
+    Of whole tables the large totals are stored first: their real size then decides whether the join has to move the orders.
+    """
     columns = ["o_custkey", "o_orderdate", "o_totalprice", "q"]
 
     def change(before: Catalog | None, after: Catalog) -> DataFrame:
-        now = Q.large_orders(after.orders, after.lineitem, quantity)
+        large = Q.large_totals(after.lineitem, quantity)
         if before is None:
-            return now
-        was = Q.large_orders(before.orders, before.lineitem, quantity).select(col("o_orderkey").alias("_was"))
+            return Q.large_orders(after.orders, stored(large, "kept-large"))
+        now = Q.large_orders(after.orders, large)
+        was = Q.large_orders(before.orders, Q.large_totals(before.lineitem, quantity)).select(col("o_orderkey").alias("_was"))
         joined = now.join(was, col("o_orderkey") == col("_was"), "full")
         return joined.select(F.coalesce("o_orderkey", "_was").alias("o_orderkey"), *columns)
 

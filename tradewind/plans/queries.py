@@ -389,11 +389,15 @@ def q17(c: Catalog, brand: str, container: str) -> DataFrame:
         .agg(expr(f"{money('sum(price)', 2)} / 7D as avg_yearly")))
 
 
-def large_orders(orders: DataFrame, lines: DataFrame, quantity: int) -> DataFrame:
-    """Orders above a total quantity, with it in hundredths."""
-    large = (
+def large_totals(lines: DataFrame, quantity: int) -> DataFrame:
+    """Order keys above a total quantity, with it in hundredths."""
+    return (
         lines.groupBy("l_orderkey").agg(expr(f"sum({cents('l_quantity')}) as q"))
         .filter(col("q") > quantity * 100))
+
+
+def large_orders(orders: DataFrame, large: DataFrame) -> DataFrame:
+    """The orders that ``large_totals`` names."""
     return _meet(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
                  large, "o_orderkey = l_orderkey").drop("l_orderkey")
 
@@ -408,7 +412,7 @@ def hundred_largest(c: Catalog, orders: DataFrame) -> DataFrame:
 
 def q18(c: Catalog, quantity: int) -> DataFrame:
     """Hundred largest orders by price among those above a total quantity."""
-    return hundred_largest(c, large_orders(c.orders, c.lineitem, quantity))
+    return hundred_largest(c, large_orders(c.orders, large_totals(c.lineitem, quantity)))
 
 
 def q19(c: Catalog, brands: tuple[str, ...], quantities: tuple[int, ...]) -> DataFrame:
